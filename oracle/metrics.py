@@ -22,7 +22,7 @@ unrefunded AS (
   JOIN products p USING (product) JOIN prices r USING (product)
   WHERE i.charge NOT IN (SELECT refunded FROM refunds)
 ),
-revenue AS (
+yearly_revenue AS (
   SELECT invoice_id AS id, customer, email AS customer_email, sub_id AS subscription, paid, status,
          product_name AS name,
          (cents::DOUBLE / 100) / 12 AS unit_amount, (total::DOUBLE / 100) / 12 AS amount,
@@ -33,13 +33,17 @@ revenue AS (
                                 INTERVAL 1 MONTH)) AS subscription_start,
          line_end AS subscription_end
   FROM unrefunded WHERE span = 'year'
-  UNION
-  SELECT invoice_id, customer, email, sub_id, paid, status, product_name,
-         (cents // 100)::DOUBLE, (total // 100)::DOUBLE,
-         make_timestamp(from_s * 1000000), make_timestamp(to_s * 1000000),
-         line_start, line_end
+),
+other_revenue AS (
+  SELECT invoice_id AS id, customer, email AS customer_email, sub_id AS subscription, paid, status,
+         product_name AS name,
+         (cents // 100)::DOUBLE AS unit_amount, (total // 100)::DOUBLE AS amount,
+         make_timestamp(from_s * 1000000) AS usage_start,
+         make_timestamp(to_s * 1000000) AS usage_end,
+         line_start AS subscription_start, line_end AS subscription_end
   FROM unrefunded WHERE span <> 'year'
-)"""
+),
+revenue AS (SELECT * FROM yearly_revenue UNION SELECT * FROM other_revenue)"""
 
 ARPU_MONTHS = """
 SELECT rpad(monthname(subscription_start), 9, ' ') AS month_name,

@@ -79,7 +79,7 @@ def periods(f: Flavour) -> str:
 priced AS (
   SELECT product, product_name, cents // 100 AS unit FROM products JOIN prices USING (product)
 ),
-periods AS (
+yearly AS (
   SELECT customer, email, status, product_name, unit{extras}{year_total},
          day AS starts, CAST(day + INTERVAL 1 MONTH AS DATE) AS ends
   FROM (
@@ -90,12 +90,14 @@ periods AS (
     FROM kept w JOIN lines l USING (invoice_id) JOIN priced c USING (product)
     WHERE l.type = 'subscription' AND l.span = 'year'
   )
-  UNION
+),
+others AS (
   SELECT {shared}{extras}{total},
-         CAST({span}.line_start AS DATE), CAST({span}.line_end AS DATE)
+         CAST({span}.line_start AS DATE) AS starts, CAST({span}.line_end AS DATE) AS ends
   FROM kept w JOIN lines l USING (invoice_id) JOIN priced c USING (product)
   WHERE l.type = 'subscription' AND l.span <> 'year'
 ),
+periods AS (SELECT * FROM yearly UNION SELECT * FROM others),
 final_periods AS (
   SELECT * FROM periods
   {"WHERE canceled IS NULL OR CAST(ends AS TIMESTAMP) <= canceled" if f.cancel else ""}
@@ -197,7 +199,8 @@ def delinquent(f: Flavour) -> str:
         joins, off = "", "discounts[1]"
     return f"""
 failed AS (
-  SELECT s.customer, l.line_key,
+  SELECT s.sub_id, s.customer, s.status, s.reason, i.invoice_id, l.line_key, l.line_start,
+         product_name, cents AS price_cents,
          CAST(month(l.line_start) AS INTEGER) AS month,
          CAST(year(l.line_start) AS INTEGER) AS year,
          round_even((coalesce(l.amount, 0)::DOUBLE - coalesce({off}, 0)::DOUBLE) / 100, 0) AS total

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subtally import steps
 from subtally.plans import analytics, arpu, counts, mrr, receivables
 from subtally.sources.schemas import Layout
 from subtally.sources.star import billing_tables
@@ -71,3 +72,8 @@ def metric_queries() -> dict[str, Query]:
             for i, step in enumerate(LAYOUT_METRICS)
         }
     return queries
+
+
+def step_queries() -> dict[str, Query]:
+    """P and C steps and the table scan by id."""
+    return {key: over_star(step, layout) for key, (step, layout) in steps.step_queries(AS_OF).items()}

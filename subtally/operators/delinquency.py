@@ -19,7 +19,8 @@ def cancelled(t: BillingTables, subscriptions: DataFrame) -> DataFrame:
     return subscriptions.join(dated, "id", "left_semi")
 
 
-def _failed_subscriptions(t: BillingTables) -> DataFrame:
+def failed_subscriptions(t: BillingTables) -> DataFrame:
+    """Subscriptions with a cancel date whose payment failed."""
     reasoned = reasoned_subscriptions(t, "inner").filter(F.col("reason") == PAYMENT_FAILED)
     return cancelled(t, reasoned.select("id", "customer", "latest_invoice", "status", "reason"))
 
@@ -30,7 +31,7 @@ def failed_payments(t: BillingTables, net: bool = False) -> DataFrame:
     All line types and invoice states; one row per price of the line's product and, in
     the normalized layout with `net`, per discount. `total` is the net line amount.
     """
-    failed = _failed_subscriptions(t).withColumnRenamed("latest_invoice", "invoice_id")
+    failed = failed_subscriptions(t).withColumnRenamed("latest_invoice", "invoice_id")
     invoices = t.invoices.select(F.col("id").alias("invoice_id"))
     lines = invoice_lines(t, kind=None, product="price", discount=net)
     rows = failed.join(invoices, "invoice_id").join(lines, "invoice_id")
@@ -46,11 +47,11 @@ def failed_payments(t: BillingTables, net: bool = False) -> DataFrame:
     )
 
 
-def invoice_months(t: BillingTables) -> DataFrame:
-    """Months (customer, year, month) with an invoice line, of customers with a failed
-    payment; paid or not, for known subscriptions only.
+def invoice_months(t: BillingTables, customers: DataFrame) -> DataFrame:
+    """customer, year, month of every invoice line of the listed customers.
+
+    Paid or not, for known subscriptions only; a month repeats with its lines.
     """
-    customers = _failed_subscriptions(t).select("customer")
     invoices = t.invoices.join(customers, "customer", "left_semi").select(
         F.col("id").alias("invoice_id"), "customer", "subscription"
     )
@@ -62,6 +63,11 @@ def invoice_months(t: BillingTables) -> DataFrame:
     )
 
 
+def months_per_customer(months: DataFrame) -> DataFrame:
+    """Number of distinct invoice months per customer."""
+    return months.distinct().groupBy("customer").agg(F.count("customer").alias("customer_count"))
+
+
 def repeat_customers(months: DataFrame) -> DataFrame:
     """Customers with more than one month.
 
@@ -80,8 +86,10 @@ def repeat_customers(months: DataFrame) -> DataFrame:
 
 def delinquent_by_month(t: BillingTables, alias: str, net: bool = False) -> DataFrame:
     """Distinct customers, or the sum of net line amounts, by month of the failed line."""
-    failed = failed_payments(t, net).join(
-        repeat_customers(invoice_months(t)), "customer", "left_semi"
-    )
+    # Customers of failed subscriptions include all of `failed_payments` and cost no
+    # join with invoices; the final semi join removes the rest.
+    suspects = failed_subscriptions(t).select("customer")
+    repeated = repeat_customers(invoice_months(t, suspects))
+    failed = failed_payments(t, net).join(repeated, "customer", "left_semi")
     measure = F.sum("total") if net else F.countDistinct("customer")
     return failed.groupBy("month", "year").agg(measure.alias(alias))

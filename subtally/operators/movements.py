@@ -118,28 +118,38 @@ def movement_by_month(neighbours: DataFrame, movement: str, alias: str) -> DataF
     )
 
 
-def churn_by_month(coded: DataFrame, alias: str) -> DataFrame:
-    """Code 1 by start month plus code 2 by end month; months without code 1 are left out.
+def churn_sums(coded: DataFrame) -> DataFrame:
+    """Code 1 by start month and code 2 by end month, with the number of rows of each.
 
     A row has one code, so it belongs to one month and both codes fit in one grouping.
     """
-    net = "total" in coded.columns
-    measures = _measures(net)
+    measures = _measures("total" in coded.columns)
     code = F.col("churn")
     free, lapsed = code == 1, code == 2
     months = coded.filter(code != 0).select(
-        F.when(free, F.col("start_month")).otherwise(F.col("end_month")).alias("start_month"),
-        F.when(free, F.col("start_year")).otherwise(F.col("end_year")).alias("start_year"),
+        F.when(free, F.col("start_month")).otherwise(F.col("end_month")).alias("month"),
+        F.when(free, F.col("start_year")).otherwise(F.col("end_year")).alias("year"),
         F.when(free, measures["moved_to_free"]).alias("moved_to_free"),
         F.when(lapsed, measures["lapsed"]).alias("lapsed"),
     )
-    sums = months.groupBy("start_month", "start_year").agg(
+    return months.groupBy("month", "year").agg(
         F.sum("moved_to_free").alias("moved_to_free"),
         F.sum("lapsed").alias("lapsed"),
         F.count("moved_to_free").alias("moves"),
+        F.count("lapsed").alias("lapses"),
     )
-    return sums.filter("moves > 0").select(
-        "start_month", "start_year", _churn_total(net).alias(alias)
+
+
+def churn_by_month(coded: DataFrame, alias: str) -> DataFrame:
+    """Both codes added up by month; months without code 1 are left out."""
+    return (
+        churn_sums(coded)
+        .filter("moves > 0")
+        .select(
+            F.col("month").alias("start_month"),
+            F.col("year").alias("start_year"),
+            _churn_total("total" in coded.columns).alias(alias),
+        )
     )
 
 

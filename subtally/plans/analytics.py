@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtally.operators.grouping import not_in, with_neighbours
 from subtally.operators.lines import invoice_lines, with_product, with_product_prices
 from subtally.operators.periods import PAYMENT_FAILED
-from subtally.plans.counts import by_month
+from subtally.plans.months import by_month, month_order
 from subtally.sources.schemas import SUBSCRIPTION_HASH
 from subtally.sources.tables import BillingTables
 
@@ -119,10 +119,8 @@ def changes_by_month(changes: DataFrame) -> DataFrame:
 
 def with_cumulative_new(months: DataFrame) -> DataFrame:
     """Running sum of new customers; an unknown month has none."""
-    # One row per month, so one task is enough.
-    running = Window.orderBy(F.asc_nulls_last("year"), F.asc_nulls_last("month"))
     known = F.col("year").isNotNull() & F.col("month").isNotNull()
-    total = F.sum("new_customer").over(running)
+    total = F.sum("new_customer").over(month_order())
     return months.withColumn("cumulative_new_customers", F.when(known, total))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtally.operators.delinquency import delinquent_by_month
@@ -18,14 +18,10 @@ from subtally.operators.movements import (
     with_neighbours,
 )
 from subtally.operators.periods import PAID, customer_periods, period_keys
+from subtally.plans.months import by_month, month_order
 from subtally.sources.tables import BillingTables
 
 
-def by_month(frame: DataFrame, year: str, month: str) -> DataFrame:
-    """Sort a monthly result, unknown months last."""
-    return frame.orderBy(F.asc_nulls_last(year), F.asc_nulls_last(month))
-
-
 def first_invoices(t: BillingTables) -> DataFrame:
     """Each customer's earliest line of a paid invoice with a subtotal above zero."""
     invoices = t.invoices.filter((F.col("status") == PAID) & (F.col("subtotal") > 0)).select(
@@ -106,8 +102,6 @@ def existing_customers(t: BillingTables, as_of: AsOf = None) -> DataFrame:
     )
     lost = F.coalesce("delinquent", F.lit(0))
     change = F.col("new") - F.col("voluntary_churn") + F.col("reactivation") - lost
-    # One row per month, so one task is enough.
-    running = Window.orderBy(F.asc_nulls_last("year"), F.asc_nulls_last("month"))
     return months.select(
         "month",
         "year",
@@ -117,5 +111,5 @@ def existing_customers(t: BillingTables, as_of: AsOf = None) -> DataFrame:
         F.col("downgrade").alias("downgrades"),
         F.col("reactivation").alias("reactivations"),
         lost.alias("delinquent_churn"),
-        F.sum(change).over(running).alias("existing_customers"),
+        F.sum(change).over(month_order()).alias("existing_customers"),
     )

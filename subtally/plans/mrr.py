@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtally.operators.delinquency import delinquent_by_month
@@ -17,7 +17,7 @@ from subtally.operators.movements import (
     with_neighbours,
 )
 from subtally.operators.periods import customer_periods, period_keys
-from subtally.plans.counts import by_month
+from subtally.plans.months import by_month, month_order
 from subtally.sources.tables import BillingTables
 
 
@@ -59,8 +59,8 @@ def delinquent_mrr(t: BillingTables) -> DataFrame:
     return by_month(delinquent_by_month(t, "delinquent_mrr", net=True), "year", "month")
 
 
-def existing_mrr(t: BillingTables, as_of: AsOf = None) -> DataFrame:
-    """Six movements of the months with a new customer, and the running sum."""
+def mrr_movements(t: BillingTables, as_of: AsOf = None) -> DataFrame:
+    """Six movements of the months with a new customer, and their sum."""
     periods = customer_periods(t, reason=True, cancel=True, net=True)
     months = all_movements_by_month(periods, as_of).join(
         delinquent_by_month(t, "lost", net=True), ["year", "month"], "left"
@@ -76,7 +76,13 @@ def existing_mrr(t: BillingTables, as_of: AsOf = None) -> DataFrame:
         F.coalesce("lost", F.lit(0.0)).alias("delinquent_mrr"),
     )
     change = sum((F.col(name) for name in named.columns[3:]), F.col("new_customer_mrr"))
-    # One row per month, so one task is enough.
-    running = Window.orderBy(F.asc_nulls_last("year"), F.asc_nulls_last("month"))
-    total = F.coalesce(F.sum(change).over(running), F.lit(0.0))
-    return by_month(named.withColumn("existing_mrr", total), "year", "month")
+    return named.withColumn("summed_metrics", change)
+
+
+def existing_mrr(t: BillingTables, as_of: AsOf = None) -> DataFrame:
+    """Six movements of the months with a new customer, and the running sum."""
+    months = mrr_movements(t, as_of)
+    running = F.sum("summed_metrics").over(month_order())
+    total = F.coalesce(running, F.lit(0.0))
+    result = months.withColumn("existing_mrr", total).drop("summed_metrics")
+    return by_month(result, "year", "month")
