@@ -3,6 +3,11 @@
 import datetime as dt
 import json
 
+import pyarrow as pa
+from pyspark.sql import SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
 from subtally.sources.schemas import SCHEMAS
 from subtally.sources.tables import BillingTables
 
@@ -43,9 +48,12 @@ def subscription(customer="c1", **over):
     return {**row, **over}
 
 
-def _table(spark, rows, schema):
-    fields = spark.createDataFrame([], schema).columns
-    return spark.createDataFrame([tuple(row[f] for f in fields) for row in rows], schema)
+def _table(rows, ddl):
+    """Rows as an in-memory relation; the Arrow path needs no Python worker."""
+    schema = StructType.fromDDL(ddl)
+    picked = [{name: row[name] for name in schema.names} for row in rows]
+    table = pa.Table.from_pylist(picked, schema=to_arrow_schema(schema))
+    return SparkSession.active().createDataFrame(table, schema)
 
 
 def ledger(spark, layout, invoices, lines, subscriptions=(), prices=None, refunds=(), intents=None):
@@ -93,7 +101,7 @@ def ledger(spark, layout, invoices, lines, subscriptions=(), prices=None, refund
                 {**s, "cancellation_details": json.dumps({"reason": s["reason"]})} for s in subs
             ],
         }
-    frames = {name: _table(spark, rows[name], ddl) for name, ddl in SCHEMAS[layout].items()}
+    frames = {name: _table(rows[name], ddl) for name, ddl in SCHEMAS[layout].items()}
     return BillingTables(layout, frames)
 
 
