@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from subtally import steps
 from subtally.plans import analytics, arpu, counts, mrr, receivables
+from subtally.session import tune
 from subtally.sources.schemas import Layout
 from subtally.sources.star import billing_tables
 from subtally.sources.tables import BillingTables
@@ -21,11 +22,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def over_star(step: Step, layout: Layout = "normalized") -> Query:
-    """A query over the star tables in a folder, in UTC."""
+    """A query over the star tables in a folder, with the settings of this package."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return step(billing_tables(spark, sf_dir, layout))
+        return step(billing_tables(tune(spark), sf_dir, layout))
 
     return run
 

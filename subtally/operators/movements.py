@@ -184,12 +184,12 @@ def new_customers_by_month(first: DataFrame, alias: str) -> DataFrame:
 def all_movements_by_month(periods: DataFrame, as_of: AsOf) -> DataFrame:
     """Every movement of the periods by month, for months that have a new customer.
 
-    One shuffle by customer serves both the neighbour windows and the first paid
-    period, and one grouping by month all movements. Columns: year, month, new,
-    voluntary_churn, upgrade, downgrade, reactivation.
+    The periods come partitioned by customer, which serves the neighbour windows and the
+    first paid period alike; one grouping by month serves all movements. Columns: year,
+    month, new, voluntary_churn, upgrade, downgrade, reactivation.
     """
     net = "total" in periods.columns
-    by_customer = with_month_keys(periods.repartition("customer")).withColumns(
+    by_customer = with_month_keys(periods).withColumns(
         {
             "billable": F.coalesce(is_billable(), F.lit(False)),
             "payable": F.coalesce(is_payable(), F.lit(False)),

@@ -56,3 +56,27 @@ SCHEMAS: dict[str, dict[str, str]] = {
     "normalized": {**_SHARED, **_NORMALIZED},
     "json": {**_SHARED, **_JSON},
 }
+
+# The join key each table is bucketed by when stored; None for the small ones.
+_SHARED_KEYS: dict[str, str | None] = {
+    "invoices": "id",
+    "products": None,
+    "prices": None,
+    "payment_intents": "invoice",
+    "refunds": "charge",
+}
+
+BUCKET_KEYS: dict[str, dict[str, str | None]] = {
+    "normalized": {
+        **_SHARED_KEYS,
+        "invoice_line_items": LINE_HASH,
+        "invoice_line_items_period": LINE_HASH,
+        "invoice_line_items_price": LINE_HASH,
+        "invoice_line_items_plan": LINE_HASH,
+        "invoice_line_items_discount_amounts": LINE_HASH,
+        "subscriptions": SUBSCRIPTION_HASH,
+        "subscriptions_plan": SUBSCRIPTION_HASH,
+        "subscriptions_cancellation_details": SUBSCRIPTION_HASH,
+    },
+    "json": {**_SHARED_KEYS, "invoice_line_items": "invoice_id", "subscriptions": "id"},
+}

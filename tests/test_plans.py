@@ -3,6 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from subtally import catalog_tables, read_tables
+from subtally.plans import counts
+from subtally.session import SETTINGS
+from subtally.sources.schemas import SCHEMAS
+from subtally.sources.star import billing_tables
+from subtally.sources.tables import store_tables
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = entry_module.queries()
@@ -13,15 +19,14 @@ def _plan(frame):
 
 
 @pytest.fixture
-def unsized(spark):
+def unsized(spark, monkeypatch):
     """No side is small enough to be broadcast, as on large tables."""
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    before = {key: spark.conf.get(key) for key in keys}
-    for key in keys:
-        spark.conf.set(key, "-1")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    monkeypatch.setitem(SETTINGS, "spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     yield spark
-    for key, value in before.items():
-        spark.conf.set(key, value)
+    spark.conf.set(key, before)
 
 
 @pytest.mark.parametrize("key", [k for k in QUERIES if k.startswith("Q")])
@@ -38,11 +43,42 @@ def test_scan_is_pruned_and_filtered(spark):
     assert "discounts" not in plan and "charge" not in plan
 
 
-def test_combined_metrics_shuffle_once_by_customer(spark):
-    """Neighbours and first paid period share one exchange; there is one month grouping."""
+def _exchanges(plan):
+    return [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "Reused" not in x]
+
+
+def test_combined_metrics_shuffle_periods_once(spark):
+    """Lines move to their customer once; months, distinct and windows stay there."""
     for key in ("Q13", "Q20", "Q27", "Q34"):
         plan = _plan(QUERIES[key](spark, SF_DIR))
-        lines = [x for x in plan.split("\n") if "hashpartitioning(customer#" in x]
-        by_customer = [x for x in lines if "REPARTITION_BY_COL" in x]
-        assert len(by_customer) == 1
+        assert sum("REPARTITION_BY_COL" in x for x in _exchanges(plan)) == 1
+        assert not any("subscription_start" in x for x in _exchanges(plan))
         assert plan.count("Generate inline") == 1
+
+
+def test_both_reads_of_lines_share_their_shuffles(unsized):
+    frame = QUERIES["Q08"](unsized, SF_DIR)
+    frame.collect()
+    final = _plan(frame).split("== Initial Plan ==")[0]
+    reused = [x for x in final.split("\n") if "ReusedExchange" in x]
+    assert any("invoice_id" in x for x in reused) and any("to_epoch" in x for x in reused)
+
+
+def test_bucketed_lines_join_without_shuffle(unsized, tmp_path):
+    t = billing_tables(unsized, SF_DIR)
+    unsized.sql(f"CREATE DATABASE bucketed LOCATION '{tmp_path}'")
+    store_tables(t, "bucketed", 4)
+    stored = catalog_tables(unsized, "bucketed")
+    result = counts.upgrades(stored)
+    assert not any("line_key" in x or "hashid" in x for x in _exchanges(_plan(result)))
+    assert result.collect() == counts.upgrades(t).collect()
+
+
+def test_tables_read_back_from_files(spark, tmp_path):
+    t = billing_tables(spark, SF_DIR, "json")
+    for name in SCHEMAS["json"]:
+        getattr(t, name).write.parquet(f"{tmp_path}/{name}")
+    again = read_tables(spark, str(tmp_path), "json")
+    assert counts.upgrades(again).collect() == counts.upgrades(t).collect()
+    with pytest.raises(AttributeError):
+        again.invoice_line_items_period
