@@ -31,6 +31,8 @@ def build_session(master: str | None = None, app_name: str = "subtally", **extra
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    # Call sites for error messages cost several driver calls per column expression.
+    driver = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+    for key, value in {**SETTINGS, **driver, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -251,6 +251,25 @@ def _shared_root(spark: SparkSession) -> str | None:
     return None
 
 
+class _OnDemand(Mapping):
+    """Tables by name, each built when first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 class _Store:
     """Writes each wide table once per application and reads it back afterwards.
 
@@ -264,6 +283,29 @@ class _Store:
         root = _shared_root(spark)
         self._path = f"{root}/billing-{uuid.uuid4().hex}" if root else None
         self._ready: dict[str, DataFrame] = {}
+        self._opened: dict[Layout, BillingTables] = {}
+
+    def tables(self, layout: Layout) -> BillingTables:
+        if layout not in self._opened:
+            self._opened[layout] = BillingTables(layout, _OnDemand(self._builders(layout)))
+        return self._opened[layout]
+
+    def _builders(self, layout: Layout) -> dict[str, Callable[[], DataFrame]]:
+        wide = self.wide
+        shared = {
+            "invoices": lambda: wide("invoices").drop("order_key"),
+            "products": lambda: wide("products"),
+            "prices": lambda: wide("prices"),
+            "payment_intents": lambda: _payment_intents(wide("invoices")),
+            "refunds": lambda: _refunds(wide("invoices")),
+        }
+        if layout == "json":
+            return {
+                **shared,
+                "invoice_line_items": lambda: wide("lines_json"),
+                "subscriptions": lambda: wide("subscriptions_json"),
+            }
+        return {**shared, **{name: partial(_normalized, wide, name) for name in _NORMALIZED_CUTS}}
 
     def wide(self, name: str) -> DataFrame:
         if name not in self._ready:
@@ -285,43 +327,12 @@ class _Store:
         return self._spark.read.schema(frame.schema).parquet(target)
 
 
-_STORES: dict[tuple[str, str], _Store] = {}
-
-
-class _OnDemand(Mapping):
-    """Tables by name, each built when first asked for."""
-
-    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
-        self._builders = builders
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return self._builders[name]()
-
-    def __iter__(self):
-        return iter(self._builders)
-
-    def __len__(self) -> int:
-        return len(self._builders)
+_STORES: dict[tuple[str, int, str], _Store] = {}
 
 
 def billing_tables(spark: SparkSession, sf_dir: str, layout: Layout = "normalized") -> BillingTables:
     """Billing tables derived from the star tables in `sf_dir`."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _STORES:
         _STORES[key] = _Store(spark, sf_dir)
-    wide = _STORES[key].wide
-    builders = {
-        "invoices": lambda: wide("invoices").drop("order_key"),
-        "products": lambda: wide("products"),
-        "prices": lambda: wide("prices"),
-        "payment_intents": lambda: _payment_intents(wide("invoices")),
-        "refunds": lambda: _refunds(wide("invoices")),
-    }
-    if layout == "json":
-        builders["invoice_line_items"] = lambda: wide("lines_json")
-        builders["subscriptions"] = lambda: wide("subscriptions_json")
-    else:
-        builders.update(
-            {name: partial(_normalized, wide, name) for name in _NORMALIZED_CUTS}
-        )
-    return BillingTables(layout, _OnDemand(builders))
+    return _STORES[key].tables(layout)
