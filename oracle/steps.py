@@ -14,6 +14,7 @@ from oracle.metrics import (
     _movement_ctes,
     existing_customers,
     existing_mrr,
+    metric_statements,
 )
 from oracle.timeline import (
     MOVES,
@@ -317,3 +318,27 @@ SELECT n.year, n.month,
        so_far - coalesce(voluntary, 0) - coalesce(involuntary, 0) AS existing_customers
 FROM months n LEFT JOIN losses l ON l.year = n.year AND l.month = n.month"""),
     }
+
+
+_BOTH_DAYS = ("subscription_start", "subscription_end")
+_LAST_DAY = ("subscription_end",)
+
+# Results that hold dates: shown as midnight timestamps, as by the Spark queries.
+_DAYS = {
+    "Q05": ("usage_start", "usage_end"),
+    "Q06": ("cancel_at", "cancelled_at"),
+    "C11": ("usage_start", "usage_end"),
+    **dict.fromkeys(
+        ("P2", "P2a", "P2c", "P3", "P3a", "P3c", "P4", "P5", "P6", "P22", "P25"), _BOTH_DAYS
+    ),
+    **dict.fromkeys(("P7", "P8", "P8a", "P8b", "P12", "P14", "P16"), _LAST_DAY),
+}
+
+
+def all_statements() -> dict[str, str]:
+    """Every metric and step by id."""
+    sql = {**metric_statements(), **step_statements()}
+    for key, days in _DAYS.items():
+        casts = ", ".join(f"CAST({day} AS TIMESTAMP) AS {day}" for day in days)
+        sql[key] = f"SELECT * REPLACE ({casts}) FROM ({sql[key]})"
+    return sql

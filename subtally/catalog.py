@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from subtally import steps
 from subtally.plans import analytics, arpu, counts, mrr, receivables
@@ -21,11 +22,17 @@ Step = Callable[[BillingTables], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _days_as_timestamps(frame: DataFrame) -> DataFrame:
+    """Dates as midnight timestamps, which every client's data frame holds alike."""
+    days = [f.name for f in frame.schema.fields if isinstance(f.dataType, DateType)]
+    return frame.withColumns({name: F.col(name).cast("timestamp") for name in days})
+
+
 def over_star(step: Step, layout: Layout = "normalized") -> Query:
     """A query over the star tables in a folder, with the settings of this package."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return step(billing_tables(tune(spark), sf_dir, layout))
+        return _days_as_timestamps(step(billing_tables(tune(spark), sf_dir, layout)))
 
     return run
 
