@@ -4,14 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subtally.llm.common import read
+from subtally.llm import bpe, oracles
+from subtally.llm.common import hex_digest, read
+from subtally.llm.license_scan import scan_licenses
 from subtally.llm.quality_rules import score_quality
+from subtally.llm.url_filters import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Host, path and verdict of the rules that `op1_url_filters` applies.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, rules).drop("url")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count, and digests of the ids and of the decoded text, of every document."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(documents, vocabulary).drop("text"), vocabulary)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        hex_digest(ids).alias("ids_sha256"),
+        hex_digest(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, likelihood-ratio score and verdict of every document."""
     trusted = read(spark, sf_dir, "labels").filter("quality = 1")
@@ -21,9 +57,22 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def queries() -> dict[str, Query]:
-    return {"op7_quality_rules": op7_quality_rules}
+    return {
+        "op1_url_filters": op1_url_filters,
+        "op3_bpe": op3_bpe,
+        "op7_quality_rules": op7_quality_rules,
+        "op9_license_scan": op9_license_scan,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_url_filters": oracles.url_filters(URL_RULES),
+        "op9_license_scan": oracles.license_scan(),
+    }
