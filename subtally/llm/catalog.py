@@ -12,6 +12,7 @@ from subtally.llm import bpe, oracles
 from subtally.llm.common import hex_digest, read
 from subtally.llm.license_scan import scan_licenses
 from subtally.llm.quality_rules import score_quality
+from subtally.llm.substring_dedup import remove_passages
 from subtally.llm.url_filters import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that an earlier document holds."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_passages(documents).select(
+        "doc_id", "n_words", "n_removed", hex_digest(F.col("kept_text")).alias("kept_sha256")
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, likelihood-ratio score and verdict of every document."""
     trusted = read(spark, sf_dir, "labels").filter("quality = 1")
@@ -66,6 +75,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_url_filters": op1_url_filters,
         "op3_bpe": op3_bpe,
+        "op4_substring_dedup": op4_substring_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op9_license_scan": op9_license_scan,
     }
@@ -74,5 +84,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filters": oracles.url_filters(URL_RULES),
+        "op4_substring_dedup": oracles.substring_dedup(),
         "op9_license_scan": oracles.license_scan(),
     }

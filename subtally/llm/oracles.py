@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from subtally.llm.license_scan import PHRASES, SHARE, SHIFT, TEMPLATES
+from subtally.llm.substring_dedup import MIN_WORDS
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -73,3 +74,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BI
        coalesce(array_to_string(every, ','), '') AS labels,
        CAST(coalesce(score, 0.0) AS DOUBLE) AS score
 FROM d LEFT JOIN s USING (n)"""
+
+
+def substring_dedup(size: int = MIN_WORDS) -> str:
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+p AS (SELECT n, doc_id, b, sha256(array_to_string(w[b:b + {size - 1}], ' ')) AS h
+      FROM (SELECT n, doc_id, w, unnest(range(1, len(w) - {size - 2})) AS b FROM d)),
+o AS (SELECT h, min(doc_id) AS low FROM p GROUP BY h),
+g AS (SELECT DISTINCT n, unnest(range(b, b + {size})) AS gone
+      FROM p JOIN o USING (h) WHERE low < doc_id),
+r AS (SELECT n, list(gone) AS gone FROM g GROUP BY n),
+k AS (
+  SELECT doc_id, w, coalesce(gone, []) AS gone,
+         CASE WHEN gone IS NULL THEN w
+              ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END AS kept
+  FROM d LEFT JOIN r USING (n)
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
+       sha256(array_to_string(kept, ' ')) AS kept_sha256
+FROM k"""
