@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from subtally.llm import bpe, oracles
 from subtally.llm.common import hex_digest, read
+from subtally.llm.jaccard_join import near_duplicates
 from subtally.llm.license_scan import scan_licenses
 from subtally.llm.quality_rules import score_quality
 from subtally.llm.substring_dedup import remove_passages
@@ -57,6 +58,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and group of near duplicates of every document."""
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, likelihood-ratio score and verdict of every document."""
     trusted = read(spark, sf_dir, "labels").filter("quality = 1")
@@ -76,6 +82,7 @@ def queries() -> dict[str, Query]:
         "op1_url_filters": op1_url_filters,
         "op3_bpe": op3_bpe,
         "op4_substring_dedup": op4_substring_dedup,
+        "op5_jaccard_join": op5_jaccard_join,
         "op7_quality_rules": op7_quality_rules,
         "op9_license_scan": op9_license_scan,
     }
@@ -85,5 +92,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filters": oracles.url_filters(URL_RULES),
         "op4_substring_dedup": oracles.substring_dedup(),
+        "op5_jaccard_join": oracles.jaccard_join(),
         "op9_license_scan": oracles.license_scan(),
     }

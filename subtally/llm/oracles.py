@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from subtally.llm.jaccard_join import PERCENT, SHINGLE_WORDS
 from subtally.llm.license_scan import PHRASES, SHARE, SHIFT, TEMPLATES
 from subtally.llm.substring_dedup import MIN_WORDS
 
@@ -98,3 +99,30 @@ k AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(gone) AS BIGINT) AS n_removed,
        sha256(array_to_string(kept, ' ')) AS kept_sha256
 FROM k"""
+
+
+def jaccard_join(size: int = SHINGLE_WORDS, percent: int = PERCENT) -> str:
+    return rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[b:b + {size - 1}], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {size - 2}, 2))) AS b FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+  SELECT o.a, o.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS m
+    FROM s x JOIN s y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY ALL) o
+  JOIN n p ON p.doc_id = o.a JOIN n q ON q.doc_id = o.b
+  WHERE 100 * m >= {percent} * (p.n + q.n - m)
+),
+c(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT l.b, c.root FROM c JOIN l ON l.a = c.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(root) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id) GROUP BY ALL"""
