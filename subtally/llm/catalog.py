@@ -14,6 +14,7 @@ from subtally.llm.jaccard_join import near_duplicates
 from subtally.llm.license_scan import scan_licenses
 from subtally.llm.quality_rules import score_quality
 from subtally.llm.substring_dedup import remove_passages
+from subtally.llm.suffix_dedup import remove_repeats
 from subtally.llm.url_filters import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,14 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules).drop("url")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without byte strings that also start elsewhere."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(documents).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", hex_digest(F.col("kept_bytes")).alias("kept_sha256")
+    )
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count, and digests of the ids and of the decoded text, of every document."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +89,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filters": op1_url_filters,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_bpe": op3_bpe,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_jaccard_join": op5_jaccard_join,

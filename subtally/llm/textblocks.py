@@ -151,9 +151,14 @@ def window_hashes(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return at, mix((sums[at + size] - sums[at]) * scale[at])
 
 
-def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
-    """Which of n places lie in a run of `size` that begins at one of `starts`."""
+def covered_ranges(first: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in one of the ranges [first, end)."""
     steps = np.zeros(n + 1, np.int64)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, np.minimum(starts + size, n), -1)
+    np.add.at(steps, first, 1)
+    np.add.at(steps, np.minimum(end, n), -1)
     return np.cumsum(steps[:-1]) > 0
+
+
+def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
+    """Which of n places lie in a run of `size` that begins at one of `starts`."""
+    return covered_ranges(starts, starts + size, n)
