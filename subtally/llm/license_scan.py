@@ -16,6 +16,7 @@ result columns replace input columns of the same name.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,8 +54,9 @@ def _template_pairs(spark, phrases: dict[str, str], templates: dict[str, str]) -
         for words in [text.split()]
         for at in range(len(words) - 1)
     ]
-    kinds = "template int, label string, phrase boolean, pairs int, t_at int, t_one string, t_two string"
-    frame = spark.createDataFrame(rows, kinds)
+    names = ("template", "label", "phrase", "pairs", "t_at", "t_one", "t_two")
+    # An Arrow table becomes a local relation, whose size the planner knows.
+    frame = spark.createDataFrame(pa.table(dict(zip(names, map(list, zip(*rows))))))
     return frame.withColumn("gram", F.xxhash64("t_one", "t_two"))
 
 
