@@ -4,15 +4,17 @@ Anchors are runs of `anchor_words` words that begin at the positions of a differ
 modulo a period. For any two positions some shift below the period brings both onto the
 cover, and period + anchor - 1 is the passage length, so any two equal passages hold an
 equal anchor at the same place inside them. Anchors that only one document has are
-dropped; each remaining one is extended to all windows of full length around it, whose
-hashes find the smallest document with that window. Removing is then exact: a word goes if
-a window over it also begins in a document with a smaller id.
-
-Work per document is linear, hot passages are aggregated before they are shuffled, and no
-group of documents ever meets in one task. Texts that are equal as a whole need windows
-only once: later copies lose every word that any window covers. The live anchors travel to
-the tasks as a bit filter of fixed size; it only saves work (see `BitFilter`). Windows are
-compared by 64-bit hashes.
+dropped; each remaining one is extended to all windows of full length around it, and of
+each window the smallest document that has it is found. Removing is then exact: a word
+goes if a window over it also begins in a document with a smaller id.
+
+Neighbouring windows with the same minimal anchor travel together, as one context. Equal
+contexts are combined before the shuffle, whatever the number of their documents; the
+different contexts of one anchor meet in a block of bounded size, and where an anchor has
+more than `BLOCK_CONTEXTS` of them its windows are aggregated one by one instead. Texts
+that are equal as a whole need windows only once: later copies lose all words of a text
+that has windows. The live anchors travel to the tasks as a bit filter of fixed size, which
+only saves work (see `BitFilter`). Windows are compared by 64-bit hashes.
 
 Defined results: null and empty texts have no words. Null ids count as larger than all
 others, and rows of equal id never remove each other's words, so of repeated rows all stay.
@@ -25,16 +27,24 @@ from collections.abc import Iterator
 from math import isqrt
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subtally.llm.common import BitFilter, arrow_map, lists
-from subtally.llm.textblocks import Block, Words, covered, text_blocks, window_hashes, words_of
+from subtally.llm.common import BitFilter, arrow_map, lists, stored
+from subtally.llm.suffix_dedup import leftmost_minima
+from subtally.llm.textblocks import (
+    Block, Words, covered, covered_ranges, mix, prefix_sums, text_blocks, window_hashes, words_of,
+)
 
 MIN_WORDS = 50
 ANCHOR_WORDS = 20
+#: Different contexts of one key that may share a block, and windows that a block aims at.
+BLOCK_CONTEXTS = 2048
+BLOCK_WINDOWS = 1 << 18
 _LAST_ID = (1 << 63) - 1
+_U = np.uint64
 #: A perfect difference set, each difference modulo 31 occurs exactly once.
 _PERFECT_31 = [1, 5, 11, 24, 25, 27]
 
@@ -93,16 +103,6 @@ def _text_number(words: Words, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(words.first, at, "right") - 1
 
 
-def _shared_by_documents(keyed: DataFrame) -> DataFrame:
-    """hash and smallest document of hashes that more than one document has."""
-    return (
-        keyed.groupBy("hash")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        .filter("low < high")
-        .select("hash", "low")
-    )
-
-
 def _keep_words(block: Block, words: Words, keep: np.ndarray) -> pa.Array:
     """Kept words of each text, joined by one space."""
     text = np.repeat(np.arange(block.rows), words.counts)
@@ -122,6 +122,81 @@ def _keep_words(block: Block, words: Words, keep: np.ndarray) -> pa.Array:
     ).cast(pa.string())
 
 
+class _Windows:
+    """Windows around live anchors of a block, in contexts that share a minimal anchor."""
+
+    def __init__(self, block: Block, live: BitFilter, wanted: np.ndarray, size: int, anchor: int):
+        period = size - anchor + 1
+        self.words, self.size = words_of(block), size
+        words = self.words
+        at, found = window_hashes(words, anchor)
+        on_cover = _cover_positions(words, period)[at]
+        alive = at[on_cover][live.contains(found[on_cover])]
+        near = covered(np.maximum(alive - period + 1, 0), period, len(words.start))
+        start, hashes = window_hashes(words, size)
+        chosen = near[start] & wanted[_text_number(words, start)]
+        self.start, self.hashes = start[chosen], hashes[chosen]
+        least = leftmost_minima(found, period)
+        self.least = least[np.searchsorted(at, self.start)] if len(self.start) else self.start
+        new = np.ones(len(self.start), bool)
+        new[1:] = (np.diff(self.start) != 1) | (np.diff(self.least) != 0)
+        self.first = np.flatnonzero(new)
+        self.bounds = np.append(self.first, len(self.start))
+        self.key = found[self.least[self.first]]
+        begin, count = self.start[self.first], np.diff(self.bounds)
+        sums, scale = prefix_sums(words.hash)
+        shape = (count.astype(np.uint64) << _U(32)) + (at[self.least[self.first]] - begin).astype(np.uint64)
+        self.run = mix(mix((sums[begin + count - 1 + size] - sums[begin]) * scale[begin]) ^ mix(shape + _U(1)))
+        self.text = _text_number(words, begin)
+        self.place = begin - words.first[self.text]
+
+
+def _owned(rows: pd.DataFrame) -> pd.DataFrame:
+    """Smallest document of each window of the contexts of a block, where others have it too."""
+    sizes = np.array([len(h) for h in rows["hashes"]])
+    run = np.repeat(np.arange(len(rows)), sizes)
+    _, window = np.unique(np.concatenate(rows["hashes"].to_list()), return_inverse=True)
+    low = np.full(window.max() + 1, _LAST_ID)
+    high = np.full(window.max() + 1, -(1 << 63))
+    np.minimum.at(low, window, rows["low"].to_numpy()[run])
+    np.maximum.at(high, window, rows["high"].to_numpy()[run])
+    place = np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    use = np.flatnonzero((low < high)[window])
+    run, place, least = run[use], place[use], low[window[use]]
+    new = np.ones(len(use), bool)
+    new[1:] = (np.diff(run) != 0) | (np.diff(place) != 1) | (np.diff(least) != 0)
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(use)) - 1
+    picked = rows.iloc[run[begin]]
+    return pd.DataFrame({
+        "key": picked["key"].to_numpy(), "run": picked["run"].to_numpy(),
+        "first": place[begin], "last": place[end] if len(use) else place, "low": least[begin],
+    })
+
+
+_OWNED = "key long, run long, first int, last int, low long"
+
+
+def _owners(contexts: DataFrame) -> DataFrame:
+    """For each context, which of its windows a smaller document has, as runs of windows."""
+    per_key = contexts.groupBy("key").agg(F.count("*").alias("n"))
+    alone = contexts.join(per_key.filter("n = 1"), "key", "left_semi").filter("low < high").select(
+        "key", "run", F.lit(0).alias("first"), (F.size("hashes") - 1).alias("last"), "low"
+    )
+    several = contexts.join(per_key.filter(f"n BETWEEN 2 AND {BLOCK_CONTEXTS}"), "key", "left_semi")
+    total = contexts.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    block = F.pmod(F.xxhash64("key"), F.lit(int(total // BLOCK_WINDOWS + 1))).alias("block")
+    in_blocks = several.groupBy(block).applyInPandas(_owned, _OWNED)
+    every = contexts.join(per_key.filter(f"n > {BLOCK_CONTEXTS}"), "key", "left_semi").select(
+        "key", "run", "low", "high", F.posexplode("hashes").alias("first", "window")
+    )
+    least = every.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    counted = every.select("key", "run", "first", "window").join(least.filter("low < high"), "window").select(
+        "key", "run", "first", F.col("first").alias("last"), "low"
+    )
+    return alone.unionByName(in_blocks).unionByName(counted)
+
+
 def remove_passages(documents: DataFrame, min_words: int = MIN_WORDS,
                     anchor_words: int = ANCHOR_WORDS, text: str = "text",
                     row_id: str = "doc_id") -> DataFrame:
@@ -146,78 +221,92 @@ def remove_passages(documents: DataFrame, min_words: int = MIN_WORDS,
             row = block.row + _text_number(words, at)
             hashes += [found[wanted[row]]] * 2
             docs += [doc[row[wanted[row]]], whole[row[wanted[row]]]]
+        # Equal anchors of a batch are one row here, so nothing is left to combine before the shuffle.
         yield _extremes(hashes, docs)
 
-    live = _shared_by_documents(arrow_map(texts, anchors, "hash long, low long, high long"))
-    filtered = BitFilter(spark, live.select("hash"), "hash")
+    found = arrow_map(texts, anchors, "hash long, low long, high long")
+    live = found.groupBy("hash").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    filtered = BitFilter(spark, live.filter("low < high").select("hash"), "hash")
 
-    def candidates(batch: pa.RecordBatch) -> Iterator[tuple[Block, np.ndarray, np.ndarray, np.ndarray]]:
-        """Block, batch row, place in text and hash of windows around a live anchor."""
+    def windows(batch: pa.RecordBatch) -> Iterator[tuple[Block, _Windows]]:
         wanted = _first_of_each_text(batch)
         for block in text_blocks(batch.column("text")):
-            words = words_of(block)
-            at, found = _anchors(words, anchor_words, period)
-            alive = at[filtered.contains(found)]
-            near = covered(np.maximum(alive - period + 1, 0), period, len(words.start))
-            start, hashes = window_hashes(words, min_words)
-            number = _text_number(words, start)
-            chosen = near[start] & wanted[block.row + number]
-            start, number = start[chosen], number[chosen]
-            yield block, block.row + number, start - words.first[number], hashes[chosen]
-
-    def windows(batch: pa.RecordBatch) -> Iterator[dict]:
+            own = wanted[block.row : block.row + block.rows]
+            yield block, _Windows(block, filtered, own, min_words, anchor_words)
+
+    def contexts(batch: pa.RecordBatch) -> Iterator[dict]:
         doc = np.asarray(batch.column("doc"))
         whole = _copies(batch, doc)
-        hashes, docs = [], []
-        for _, row, _, found in candidates(batch):
-            hashes += [found] * 2
-            docs += [doc[row], whole[row]]
-        yield _extremes(hashes, docs)
+        for block, w in windows(batch):
+            low, high = doc[block.row + w.text], whole[block.row + w.text]
+            _, one, same = np.unique(w.run, return_index=True, return_inverse=True)
+            least, most = low[one], high[one]
+            np.minimum.at(least, same, low)
+            np.maximum.at(most, same, high)
+            sizes = np.diff(w.bounds)[one]
+            ends = np.cumsum(sizes)
+            flat = np.repeat(w.first[one] - (ends - sizes), sizes) + np.arange(sizes.sum())
+            yield {"key": w.key[one], "run": w.run[one], "low": least, "high": most,
+                   "hashes": lists(w.hashes[flat], np.concatenate(([0], ends)))}
 
     def places(batch: pa.RecordBatch) -> Iterator[dict]:
         doc, text_hash = np.asarray(batch.column("doc")), np.asarray(batch.column("text_hash"))
-        for _, row, place, found in candidates(batch):
-            yield {"hash": found, "doc": doc[row], "text_hash": text_hash[row], "place": place}
-
-    owners = _shared_by_documents(arrow_map(texts, windows, "hash long, low long, high long"))
+        for block, w in windows(batch):
+            row = block.row + w.text
+            yield {"key": w.key, "run": w.run, "doc": doc[row], "text_hash": text_hash[row],
+                   "place": w.place}
+
+    distinct = stored(
+        arrow_map(texts, contexts, "key long, run long, low long, high long, hashes array<long>")
+        .groupBy("key", "run")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.first("hashes").alias("hashes"))
+    )
     marks = (
-        arrow_map(texts, places, "hash long, doc long, text_hash long, place int")
-        .join(owners, "hash")
+        arrow_map(texts, places, "key long, run long, doc long, text_hash long, place int")
+        .join(_owners(distinct), ["key", "run"])
         .filter("low < doc")
-        .select("doc", "text_hash", "place", F.lit(False).alias("whole"))
+        .select(
+            "doc", "text_hash",
+            F.struct(
+                (F.col("place") + F.col("first")).alias("first"),
+                (F.col("place") + F.col("last") + min_words).alias("end"),
+            ).alias("range"),
+            F.lit(False).alias("whole"),
+        )
     )
     small = keyed.select(
         F.col("__doc").alias("doc"), F.col("__row").alias("text_hash"),
         F.sha2(F.col(text), 256).alias("digest"),
     )
-    first = small.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    first = small.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
     copies = (
-        small.join(first.filter("first < last"), "digest")
-        .filter("doc > first")
-        .select("doc", "text_hash", F.lit(None).cast("int").alias("place"), F.lit(True).alias("whole"))
+        small.join(first.filter("least < most"), "digest")
+        .filter("doc > least")
+        .select("doc", "text_hash", F.lit(None).cast("struct<first:int,end:int>").alias("range"),
+                F.lit(True).alias("whole"))
         .distinct()
     )
     by_text = (
         marks.unionByName(copies)
         .groupBy(F.col("doc").alias("__doc"), F.col("text_hash").alias("__row"))
-        # At most one place for each word of one text.
-        .agg(F.collect_set("place").alias("__starts"), F.bool_or("whole").alias("__whole"))
+        # Ranges of one text, at most one for each of its words.
+        .agg(F.collect_set("range").alias("__ranges"), F.bool_or("whole").alias("__whole"))
     )
     joined = keyed.join(by_text, ["__doc", "__row"], "left").drop("__doc", "__row")
     results = ("n_words", "n_removed", "removed", "kept_text")
     carried = [c for c in documents.columns if c not in results]
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
-        starts, whole = batch.column("__starts"), np.asarray(batch.column("__whole").fill_null(False))
+        whole = np.asarray(batch.column("__whole").fill_null(False))
         for block in text_blocks(batch.column(text)):
             words = words_of(block)
-            own = starts.slice(block.row, block.rows)
+            own = batch.column("__ranges").slice(block.row, block.rows)
             number = np.repeat(np.arange(block.rows), np.asarray(own.value_lengths().fill_null(0)))
-            begin = words.first[number] + np.asarray(own.flatten(), np.int64)
-            everything = np.flatnonzero(whole[block.row : block.row + block.rows])
-            at = np.flatnonzero(words.room() >= min_words)
-            begin = np.concatenate((begin, at[np.isin(_text_number(words, at), everything)]))
-            gone = covered(begin, min_words, len(words.start))
+            flat, base = own.flatten(), words.first[number]
+            everything = whole[block.row : block.row + block.rows] & (words.counts >= min_words)
+            first = np.concatenate((base + np.asarray(flat.field("first")), words.first[:-1][everything]))
+            end = np.concatenate((base + np.asarray(flat.field("end")), words.first[1:][everything]))
+            gone = covered_ranges(first.astype(np.int64), end.astype(np.int64), len(words.start))
             sums = np.concatenate(([0], np.cumsum(gone)))[words.first]
             yield {n: batch.column(n).slice(block.row, block.rows) for n in carried} | {
                 "n_words": words.counts,

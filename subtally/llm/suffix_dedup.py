@@ -42,7 +42,7 @@ BLOCK_CONTEXTS = 1024
 BLOCK_BYTES = 1 << 20
 
 
-def _leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
+def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
     """For each window of `width` values the place of its leftmost minimum."""
     n = len(values)
     if n < width:
@@ -79,7 +79,7 @@ class _Strings:
             self.sums, self.scale = prefix_sums(_BYTE_VALUES[block.data])
             n = len(block.data) - seed + 1
             seeds = mix((self.sums[seed:] - self.sums[:-seed]) * self.scale[:n])
-            self.anchor = _leftmost_minima(seeds, length - seed + 1)[self.start]
+            self.anchor = leftmost_minima(seeds, length - seed + 1)[self.start]
             self.hash = seeds[self.anchor]
         else:
             self.anchor, self.hash = self.start, np.empty(0, np.uint64)
