@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtally.llm import bpe, oracles
+from subtally.llm.co_training import classify
 from subtally.llm.common import hex_digest, read
 from subtally.llm.jaccard_join import near_duplicates
 from subtally.llm.license_scan import scan_licenses
+from subtally.llm.metric_search import search
+from subtally.llm.packing import pack
 from subtally.llm.quality_rules import score_quality
 from subtally.llm.substring_dedup import remove_passages
 from subtally.llm.suffix_dedup import remove_repeats
@@ -72,6 +75,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in a packed sequence."""
+    return pack(read(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, likelihood-ratio score and verdict of every document."""
     trusted = read(spark, sf_dir, "labels").filter("quality = 1")
@@ -81,11 +89,24 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of both views, calibrated probability and verdict of every document."""
+    documents = read(spark, sf_dir, "documents")
+    return classify(documents, read(spark, sf_dir, "labels")).select(
+        "doc_id", "text_score", "meta_score", "probability", "kept"
+    )
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
     return scan_licenses(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op10_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every vector whose id is divisible by 50."""
+    return search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filters": op1_url_filters,
@@ -93,8 +114,11 @@ def queries() -> dict[str, Query]:
         "op3_bpe": op3_bpe,
         "op4_substring_dedup": op4_substring_dedup,
         "op5_jaccard_join": op5_jaccard_join,
+        "op6_best_fit_packing": op6_best_fit_packing,
         "op7_quality_rules": op7_quality_rules,
+        "op8_co_training": op8_co_training,
         "op9_license_scan": op9_license_scan,
+        "op10_metric_search": op10_metric_search,
     }
 
 
@@ -104,4 +128,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_substring_dedup": oracles.substring_dedup(),
         "op5_jaccard_join": oracles.jaccard_join(),
         "op9_license_scan": oracles.license_scan(),
+        "op10_metric_search": oracles.METRIC_SEARCH,
     }

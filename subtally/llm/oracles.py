@@ -126,3 +126,20 @@ c(doc_id, root) AS (
 )
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(root) AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id) GROUP BY ALL"""
+
+
+METRIC_SEARCH = """
+WITH e AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM s QUALIFY rank <= 5"""
