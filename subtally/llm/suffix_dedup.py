@@ -3,8 +3,8 @@
 1. Every string of `length` bytes is represented by its smallest-hashed `seed`-byte piece,
    its anchor. Equal strings have equal anchors, so strings whose anchor occurs once in
    the corpus are unique. Neighbouring strings with the same anchor form one context.
-2. Equal contexts are counted before they are shuffled; contexts of one anchor meet in a
-   block of bounded size.
+2. Contexts are counted by hash. Equal ones settle each other; the bytes of the different
+   contexts of an anchor, equal ones combined, meet in a block of bounded expected size.
 3. In each block the suffixes are sorted and their Burrows-Wheeler transform is taken.
    Common prefixes are derived by increasing value: boundaries between suffixes that differ
    in their first letter have value 0, and backward extension by one letter carries the
@@ -13,8 +13,9 @@
 4. An anchor with more than `BLOCK_CONTEXTS` different contexts is not put into a block;
    its strings are counted by hash, with partial counts before the shuffle.
 
-The anchors that occur twice or more reach the tasks as a bit filter of fixed size, which
-only saves work. Texts equal as a whole are found by digest and lose all their bytes.
+What is known of the anchors (which occur twice or more, which have several contexts or very
+many) reaches the tasks as bit filters of fixed size. A filter that lets too much through
+costs work but changes no result. Texts equal as a whole are found by digest and lose all their bytes.
 Anchors and contexts are compared by 64-bit hashes, two for each context.
 
 Defined results: null and empty texts have 0 bytes and nothing is removed. Each row is a
@@ -200,8 +201,8 @@ def _runs(flags: np.ndarray) -> np.ndarray:
 _FOUND = "hash long, content long, first int, last int"
 
 
-def _in_blocks(contexts: DataFrame, length: int) -> DataFrame:
-    """Repeated strings of contexts whose anchor has few enough of them."""
+def _in_blocks(contexts: DataFrame, length: int, blocks: int) -> DataFrame:
+    """Repeated strings of contexts that are dealt over blocks by their anchor."""
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         flags = repeated_strings(rows["bytes"].tolist(), length)
@@ -212,8 +213,6 @@ def _in_blocks(contexts: DataFrame, length: int) -> DataFrame:
         ]
         return pd.DataFrame(out, columns=["hash", "content", "first", "last"])
 
-    total = contexts.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    blocks = int(total // BLOCK_BYTES + 1)
     block = F.pmod(F.xxhash64("hash"), F.lit(blocks)).alias("block")
     return contexts.groupBy(block).applyInPandas(search, _FOUND)
 
@@ -291,36 +290,46 @@ def remove_repeats(documents: DataFrame, length: int = MIN_BYTES, seed: int = SE
             found = strings.contexts(live.contains(strings.hash))
             at = rows[found["text"]]
             yield {"doc": doc.take(pa.array(at)), "row": row[at], "hash": found["hash"],
-                   "content": found["content"],
+                   "content": found["content"], "size": found["end"] - found["begin"],
                    "begin": found["begin"] - block.offsets[found["text"]]}
 
-    def contexts(batch: pa.RecordBatch) -> Iterator[dict]:
-        for block, _ in blocks(batch):
-            strings = _Strings(block, length, seed)
-            found = strings.contexts(live.contains(strings.hash))
-            _, first, counts = np.unique(found["content"], return_index=True, return_counts=True)
-            data = block.data.tobytes()
-            bounds = zip(found["begin"][first].tolist(), found["end"][first].tolist())
-            yield {"hash": found["hash"][first], "content": found["content"][first],
-                   "copies": counts, "bytes": [data[a:b] for a, b in bounds]}
-
-    distinct = stored(
-        arrow_map(texts, contexts, "hash long, content long, copies long, bytes binary")
-        .groupBy("hash", "content")
-        .agg(F.sum("copies").alias("copies"), F.first("bytes").alias("bytes"))
-    )
-    per_anchor = distinct.groupBy("hash").agg(F.count("*").alias("n"))
-    several = distinct.join(per_anchor.filter(f"n BETWEEN 2 AND {BLOCK_CONTEXTS}"), "hash", "left_semi")
-    very_many = distinct.join(per_anchor.filter(f"n > {BLOCK_CONTEXTS}"), "hash", "left_semi")
-    copied = distinct.filter("copies > 1").select(
-        "hash", "content", F.lit(0).alias("first"), (F.length("bytes") - length).alias("last")
-    )
-    found = _in_blocks(several, length).unionByName(_by_counting(very_many, length)).unionByName(copied)
-    ranges = (
-        arrow_map(texts, occurrences, "doc long, row long, hash long, content long, begin long")
-        .join(found, ["hash", "content"])
-        .select("doc", "row", (F.col("begin") + F.col("first")).alias("first"),
-                (F.col("begin") + F.col("last") + length).alias("end"))
+    places = stored(arrow_map(
+        texts, occurrences, "doc long, row long, hash long, content long, begin long, size int"
+    ))
+    kinds = places.groupBy("hash", "content").agg(F.count("*").alias("copies"), F.first("size").alias("size"))
+    per_anchor = kinds.groupBy("hash").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    several = BitFilter(spark, per_anchor.filter("n > 1").select("hash"), "hash")
+    crowded = per_anchor.filter(f"n > {BLOCK_CONTEXTS}").select("hash")
+    crowds = BitFilter(spark, crowded, "hash", 1 << 20)
+    total = per_anchor.filter(f"n BETWEEN 2 AND {BLOCK_CONTEXTS}").agg(F.sum("bytes")).first()[0] or 0
+
+    def contexts(crowd: bool):
+        """Different contexts, with their bytes, of anchors that have several."""
+
+        def rows(batch: pa.RecordBatch) -> Iterator[dict]:
+            for block, _ in blocks(batch):
+                strings = _Strings(block, length, seed)
+                chosen = live.contains(strings.hash) & several.contains(strings.hash)
+                found = strings.contexts(chosen & (crowds.contains(strings.hash) == crowd))
+                _, first, counts = np.unique(found["content"], return_index=True, return_counts=True)
+                data = block.data.tobytes()
+                bounds = zip(found["begin"][first].tolist(), found["end"][first].tolist())
+                yield {"hash": found["hash"][first], "content": found["content"][first],
+                       "copies": counts, "bytes": [data[a:b] for a, b in bounds]}
+
+        mapped = arrow_map(texts, rows, "hash long, content long, copies long, bytes binary")
+        return mapped.groupBy("hash", "content").agg(
+            F.sum("copies").alias("copies"), F.first("bytes").alias("bytes")
+        )
+
+    found = kinds.filter("copies > 1").select(
+        "hash", "content", F.lit(0).alias("first"), (F.col("size") - length).alias("last")
+    ).unionByName(_in_blocks(contexts(False), length, int(total // BLOCK_BYTES + 1)))
+    if crowded.take(1):
+        found = found.unionByName(_by_counting(contexts(True), length))
+    ranges = places.join(found, ["hash", "content"]).select(
+        "doc", "row", (F.col("begin") + F.col("first")).alias("first"),
+        (F.col("begin") + F.col("last") + length).alias("end"),
     )
     copies = (
         long_texts.groupBy(F.sha2(F.col(text), 256).alias("digest"))
