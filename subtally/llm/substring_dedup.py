@@ -177,24 +177,18 @@ def _owned(rows: pd.DataFrame) -> pd.DataFrame:
 _OWNED = "key long, run long, first int, last int, low long"
 
 
-def _owners(contexts: DataFrame) -> DataFrame:
-    """For each context, which of its windows a smaller document has, as runs of windows."""
-    per_key = contexts.groupBy("key").agg(F.count("*").alias("n"))
-    alone = contexts.join(per_key.filter("n = 1"), "key", "left_semi").filter("low < high").select(
-        "key", "run", F.lit(0).alias("first"), (F.size("hashes") - 1).alias("last"), "low"
-    )
-    several = contexts.join(per_key.filter(f"n BETWEEN 2 AND {BLOCK_CONTEXTS}"), "key", "left_semi")
-    total = contexts.agg(F.sum(F.size("hashes"))).first()[0] or 0
-    block = F.pmod(F.xxhash64("key"), F.lit(int(total // BLOCK_WINDOWS + 1))).alias("block")
-    in_blocks = several.groupBy(block).applyInPandas(_owned, _OWNED)
-    every = contexts.join(per_key.filter(f"n > {BLOCK_CONTEXTS}"), "key", "left_semi").select(
-        "key", "run", "low", "high", F.posexplode("hashes").alias("first", "window")
-    )
+def _in_blocks(contexts: DataFrame, blocks: int) -> DataFrame:
+    block = F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block")
+    return contexts.groupBy(block).applyInPandas(_owned, _OWNED)
+
+
+def _one_by_one(contexts: DataFrame) -> DataFrame:
+    """The same for the contexts of crowded keys, window by window."""
+    every = contexts.select("key", "run", "low", "high", F.posexplode("hashes").alias("first", "window"))
     least = every.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    counted = every.select("key", "run", "first", "window").join(least.filter("low < high"), "window").select(
+    return every.select("key", "run", "first", "window").join(least.filter("low < high"), "window").select(
         "key", "run", "first", F.col("first").alias("last"), "low"
     )
-    return alone.unionByName(in_blocks).unionByName(counted)
 
 
 def remove_passages(documents: DataFrame, min_words: int = MIN_WORDS,
@@ -234,36 +228,60 @@ def remove_passages(documents: DataFrame, min_words: int = MIN_WORDS,
             own = wanted[block.row : block.row + block.rows]
             yield block, _Windows(block, filtered, own, min_words, anchor_words)
 
-    def contexts(batch: pa.RecordBatch) -> Iterator[dict]:
-        doc = np.asarray(batch.column("doc"))
-        whole = _copies(batch, doc)
-        for block, w in windows(batch):
-            low, high = doc[block.row + w.text], whole[block.row + w.text]
-            _, one, same = np.unique(w.run, return_index=True, return_inverse=True)
-            least, most = low[one], high[one]
-            np.minimum.at(least, same, low)
-            np.maximum.at(most, same, high)
-            sizes = np.diff(w.bounds)[one]
-            ends = np.cumsum(sizes)
-            flat = np.repeat(w.first[one] - (ends - sizes), sizes) + np.arange(sizes.sum())
-            yield {"key": w.key[one], "run": w.run[one], "low": least, "high": most,
-                   "hashes": lists(w.hashes[flat], np.concatenate(([0], ends)))}
-
     def places(batch: pa.RecordBatch) -> Iterator[dict]:
         doc, text_hash = np.asarray(batch.column("doc")), np.asarray(batch.column("text_hash"))
+        whole = _copies(batch, doc)
         for block, w in windows(batch):
             row = block.row + w.text
             yield {"key": w.key, "run": w.run, "doc": doc[row], "text_hash": text_hash[row],
-                   "place": w.place}
+                   "high": whole[row], "place": w.place, "size": np.diff(w.bounds)}
+
+    placed = stored(arrow_map(
+        texts, places, "key long, run long, doc long, text_hash long, high long, place int, size int"
+    ))
+    runs = placed.groupBy("key", "run").agg(
+        F.min("doc").alias("low"), F.max("high").alias("high"), F.first("size").alias("size")
+    )
+    per_key = runs.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("windows"))
+    several = BitFilter(spark, per_key.filter("n > 1").select("key"), "key")
+    crowded = per_key.filter(f"n > {BLOCK_CONTEXTS}").select("key")
+    crowds = BitFilter(spark, crowded, "key", 1 << 20)
+    total = per_key.filter(f"n BETWEEN 2 AND {BLOCK_CONTEXTS}").agg(F.sum("windows")).first()[0] or 0
+
+    def contexts(crowd: bool) -> DataFrame:
+        """Different contexts, with their windows, of keys that have several."""
+
+        def rows(batch: pa.RecordBatch) -> Iterator[dict]:
+            doc = np.asarray(batch.column("doc"))
+            whole = _copies(batch, doc)
+            for block, w in windows(batch):
+                use = np.flatnonzero(several.contains(w.key) & (crowds.contains(w.key) == crowd))
+                low, high = doc[block.row + w.text[use]], whole[block.row + w.text[use]]
+                _, one, same = np.unique(w.run[use], return_index=True, return_inverse=True)
+                least, most, at = low[one], high[one], use[one]
+                np.minimum.at(least, same, low)
+                np.maximum.at(most, same, high)
+                sizes = np.diff(w.bounds)[at]
+                ends = np.cumsum(sizes)
+                flat = np.repeat(w.first[at] - (ends - sizes), sizes) + np.arange(sizes.sum())
+                yield {"key": w.key[at], "run": w.run[at], "low": least, "high": most,
+                       "hashes": lists(w.hashes[flat], np.concatenate(([0], ends)))}
+
+        kinds = "key long, run long, low long, high long, hashes array<long>"
+        return arrow_map(texts, rows, kinds).groupBy("key", "run").agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), F.first("hashes").alias("hashes")
+        )
 
-    distinct = stored(
-        arrow_map(texts, contexts, "key long, run long, low long, high long, hashes array<long>")
-        .groupBy("key", "run")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.first("hashes").alias("hashes"))
+    # A context that several documents share is owned by the smallest of them ...
+    owned = runs.filter("low < high").select(
+        "key", "run", F.lit(0).alias("first"), (F.col("size") - 1).alias("last"), "low"
     )
+    # ... and single windows of it perhaps by one that shares only these.
+    owned = owned.unionByName(_in_blocks(contexts(False), int(total // BLOCK_WINDOWS + 1)))
+    if crowded.take(1):
+        owned = owned.unionByName(_one_by_one(contexts(True)))
     marks = (
-        arrow_map(texts, places, "key long, run long, doc long, text_hash long, place int")
-        .join(_owners(distinct), ["key", "run"])
+        placed.join(owned, ["key", "run"])
         .filter("low < doc")
         .select(
             "doc", "text_hash",
