@@ -7,9 +7,9 @@ are indexed: token -> sets, with set size and token position.
 * Lists are kept in order of set size and cut into blocks. Pairs of blocks whose sizes, or
   whose tokens behind the position, cannot reach the needed overlap are skipped whole, and
   so are blocks that lie in one known group.
-* A long list is not compared pair by pair. Its pivot, the member of smallest hash, is
-  compared with all members first. What is known of a member against the pivot then bounds
-  its overlap with any other member: at most overlap(pivot, y) + |x| - overlap(pivot, x).
+* A long list is not compared pair by pair. Its `PIVOTS` members of smallest hash are
+  compared with all others first. What is known of a member against the first pivot then
+  bounds its overlap with any other member: at most overlap(pivot, y) + |x| - overlap(pivot, x).
   Only pairs that are in different groups so far and that this bound admits are compared.
 * Candidates are compared on their prefixes, which bounds the overlap from above, and those
   that remain on their full sets.
@@ -46,7 +46,9 @@ ORDER_TOKENS = 1 << 16
 #: Texts of the order's share that hold a token before it counts as frequent.
 FREQUENT = 4
 #: Lists up to this length are compared at once, longer ones by way of their pivot.
-SHORT_LIST = 32
+SHORT_LIST = 16
+#: Members of a long list that all others are compared with first.
+PIVOTS = 6
 #: Members of a block, and of a salted part of a very long list.
 BLOCK_SETS = 256
 PART_SETS = 4096
@@ -190,16 +192,17 @@ def _search_lists(percent: int):
         members = np.flatnonzero(long)
         if len(members):
             first = np.flatnonzero(new[members])
-            spread = mix(sets[members].view(np.uint64))
             number = np.cumsum(new[members]) - 1
-            least = np.minimum.reduceat(spread, first)
-            chosen = np.flatnonzero(spread == least[number])
-            pivot = members[chosen[np.searchsorted(number[chosen], np.arange(len(first)))]][number]
-            need = needed(sizes[members], sizes[pivot], percent)
-            ok = np.minimum(sizes[members], sizes[pivot]) >= need
-            ok &= np.minimum(rest[members], rest[pivot]) >= need
-            ok &= sets[members] != sets[pivot]
-            pairs.append(np.stack((sets[members[ok]], sets[pivot[ok]])))
+            size = np.diff(np.append(first, len(members)))
+            by_spread = members[np.lexsort((mix(sets[members].view(np.uint64)), number))]
+            for k in range(PIVOTS):
+                pivot = by_spread[first + np.minimum(k, size - 1)][number]
+                need = needed(sizes[members], sizes[pivot], percent)
+                ok = np.minimum(sizes[members], sizes[pivot]) >= need
+                ok &= np.minimum(rest[members], rest[pivot]) >= need
+                ok &= sets[members] != sets[pivot]
+                pairs.append(np.stack((sets[members[ok]], sets[pivot[ok]])))
+            pivot = by_spread[first][number]
             block = (members - begin[list_no[members]]) // BLOCK_SETS + (part[members] << 32)
             yield _list_rows(sets[members], sets[pivot], token[members], block, sizes[members], rest[members])
         found = _unique_pairs(np.concatenate(pairs, axis=1))
@@ -363,6 +366,20 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, percen
     return arrow_map(both, pairs, "a long, b long").distinct()
 
 
+def _merged(groups: DataFrame, late: DataFrame) -> DataFrame:
+    """Groups after further links, which are links between whole groups."""
+    ends = [groups.select(F.col("set").alias(x), F.col("grp").alias(f"g_{x}")) for x in ("a", "b")]
+    between = late.join(ends[0], "a", "left").join(ends[1], "b", "left").select(
+        F.coalesce("g_a", "a").alias("a"), F.coalesce("g_b", "b").alias("b")
+    )
+    roots = components(between).withColumnsRenamed({"node": "old", "component": "root"})
+    moved = groups.join(roots, groups["grp"] == roots["old"], "left").select(
+        "set", F.coalesce("root", "grp").alias("grp")
+    )
+    fresh = roots.select(F.col("old").alias("set"), F.col("root").alias("grp"))
+    return moved.unionByName(fresh).groupBy("set").agg(F.min("grp").alias("grp"))
+
+
 def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
                     text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """One row per document: its id, `n_shingles` and `component_id`."""
@@ -381,9 +398,7 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
     rest = _cross_pairs(members, known, groups, percent).join(known.select("a", "b"), ["a", "b"], "left_anti")
     late = sets.compared(stored(rest)).filter("linked").select("a", "b")
     if late.take(1):
-        groups = components(linked.unionByName(late)).select(
-            F.col("node").alias("set"), F.col("component").alias("grp")
-        )
+        groups = _merged(groups, late)
     rows = sets.rows.select("doc", "set", "n").join(groups, "set", "left")
     rows = rows.withColumn("grp", F.coalesce("grp", "set"))
     smallest = rows.filter("grp IS NOT NULL").groupBy("grp").agg(F.min("doc").alias("least"))
