@@ -72,7 +72,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and group of near duplicates of every document."""
-    return near_duplicates(read(spark, sf_dir, "documents"))
+    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

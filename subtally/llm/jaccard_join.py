@@ -252,7 +252,9 @@ class _Sets:
 
     def __init__(self, documents: DataFrame, text: str, row_id: str, size: int, percent: int):
         self._spark, self._size, self._percent = documents.sparkSession, size, percent
-        self._texts = documents.select(F.col(row_id).alias("doc"), F.col(text).alias("text"))
+        self._texts = documents.select(
+            F.col(row_id).alias("doc"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")
+        )
         order = self.order = _order(documents, text, size)
 
         def rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -263,12 +265,13 @@ class _Sets:
                 flat = [k[: prefix_length(len(k), percent)] if i not in seen and not seen.add(i) else k[:0]
                         for k, i in zip(keys, ids)]
                 bounds = np.concatenate(([0], np.cumsum([len(k) for k in flat])))
-                yield {
-                    "doc": batch.column("doc").slice(block.row, block.rows), "set": ids,
-                    "n": [len(k) for k in keys], "tokens": lists(np.concatenate(flat), bounds),
+                own = {c: batch.column(c).slice(block.row, block.rows) for c in ("doc", "text_hash")}
+                yield own | {
+                    "set": ids, "n": [len(k) for k in keys], "tokens": lists(np.concatenate(flat), bounds),
                 }
 
-        self.rows = stored(arrow_map(self._texts, rows, "doc long, set long, n long, tokens array<long>"))
+        kinds = "doc long, text_hash long, set long, n long, tokens array<long>"
+        self.rows = stored(arrow_map(self._texts, rows, kinds))
         self.prefixes = self.rows.filter(F.size("tokens") > 0)
 
     def postings(self) -> DataFrame:
@@ -382,7 +385,7 @@ def _merged(groups: DataFrame, late: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
                     text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """One row per document: its id, `n_shingles` and `component_id`."""
+    """One row per document: its id and text hash, `n_shingles` and `component_id`."""
     sets = _Sets(documents, text, row_id, size, percent)
     found = stored(
         sets.postings().repartition("token", "part").mapInArrow(_search_lists(percent), _LIST_ROW)
@@ -399,10 +402,10 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
     late = sets.compared(stored(rest)).filter("linked").select("a", "b")
     if late.take(1):
         groups = _merged(groups, late)
-    rows = sets.rows.select("doc", "set", "n").join(groups, "set", "left")
+    rows = sets.rows.select("doc", "text_hash", "set", "n").join(groups, "set", "left")
     rows = rows.withColumn("grp", F.coalesce("grp", "set"))
     smallest = rows.filter("grp IS NOT NULL").groupBy("grp").agg(F.min("doc").alias("least"))
     return rows.join(smallest, "grp", "left").select(
-        F.col("doc").alias(row_id), F.col("n").alias("n_shingles"),
+        F.col("doc").alias(row_id), "text_hash", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"),
     )

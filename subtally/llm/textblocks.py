@@ -84,7 +84,9 @@ def text_blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[Block]:
     """Cut a string column into blocks of whole texts."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
+    column = column.cast(pa.large_string())
+    if column.null_count:  # else a copy of the whole batch
+        column = column.fill_null("")
     n = len(column)
     if not n:
         return
