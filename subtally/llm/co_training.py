@@ -252,7 +252,7 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED_ROWS,
         group = group.sort_values("doc_id").drop_duplicates("doc_id")
         y = group["y"].to_numpy()
         if not {0, 1} <= set(y.tolist()):
-            return pd.DataFrame({"part": [], "weights": []})
+            return pd.DataFrame({"part": pd.Series(dtype="int32"), "weights": pd.Series(dtype=object)})
         model = co_train([np.asarray(x) for x in group["words"]], [np.asarray(x) for x in group["meta"]], y)
         rest = np.array([model.text.bias, model.meta.bias, *model.mixing, model.threshold])
         return pd.DataFrame({"part": [0, 1, 2], "weights": [model.text.weights, model.meta.weights, rest]})
