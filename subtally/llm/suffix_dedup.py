@@ -2,7 +2,7 @@
 
 1. Every string of `length` bytes is represented by its smallest-hashed `seed`-byte piece,
    its anchor. Equal strings have equal anchors, so strings whose anchor occurs once in
-   the corpus are unique. Neighbouring strings with the same anchor form one context.
+   the corpus are unique. Neighbouring strings with equal anchors form one context.
 2. Contexts are counted by hash. Equal ones settle each other; the bytes of the different
    contexts of an anchor, equal ones combined, meet in a block of bounded expected size.
 3. In each block the suffixes are sorted and their Burrows-Wheeler transform is taken.
@@ -10,8 +10,9 @@
    in their first letter have value 0, and backward extension by one letter carries the
    boundaries of value v over to those of value v + 1. The expansion stops at `length`:
    neighbours without a boundary by then share at least `length` bytes.
-4. An anchor with more than `BLOCK_CONTEXTS` different contexts is not put into a block;
-   its strings are counted by hash, with partial counts before the shuffle.
+4. An anchor with more than `BLOCK_CONTEXTS` different contexts, or more bytes of them than
+   a block, is not put into a block; its strings are counted by hash, with partial counts
+   before the shuffle.
 
 What is known of the anchors (which occur twice or more, which have several contexts or very
 many) reaches the tasks as bit filters of fixed size. A filter that lets too much through
@@ -39,8 +40,8 @@ from subtally.llm.textblocks import _BYTE_VALUES, Block, covered_ranges, mix, pr
 MIN_BYTES = 400
 SEED_BYTES = 128
 #: Different contexts of one anchor that may share a block, and bytes that a block aims at.
-BLOCK_CONTEXTS = 1024
-BLOCK_BYTES = 1 << 20
+BLOCK_CONTEXTS = 512
+BLOCK_BYTES = 3 << 17
 
 
 def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -86,17 +87,22 @@ class _Strings:
             self.anchor, self.hash = self.start, np.empty(0, np.uint64)
 
     def contexts(self, chosen: np.ndarray) -> dict[str, np.ndarray]:
-        """Runs of neighbouring chosen strings that have one anchor."""
+        """Runs of neighbouring chosen strings with equal anchors.
+
+        `inner` tells whether the anchor occurs more than once, as in periodic text; only
+        then can a run repeat a string of its own.
+        """
         at = np.flatnonzero(chosen)
         new = np.ones(len(at), bool)
         new[1:] = (
             (self.start[at[1:]] != self.start[at[:-1]] + 1)
-            | (self.anchor[at[1:]] != self.anchor[at[:-1]])
+            | (self.hash[at[1:]] != self.hash[at[:-1]])
             | (self.text[at[1:]] != self.text[at[:-1]])
         )
         first = at[new]
         last = at[np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)] if len(at) else at
         begin, end = self.start[first], self.start[last] + self.length
+        inner = self.anchor[first] != self.anchor[last]
         if not len(at):
             content = np.empty(0, np.uint64)
         else:
@@ -104,7 +110,7 @@ class _Strings:
             shape = (end - begin).astype(np.uint64) << np.uint64(32)
             content = mix(content ^ mix(shape | (self.anchor[first] - begin).astype(np.uint64)))
         return {"text": self.text[first], "begin": begin, "end": end, "hash": self.hash[first],
-                "content": content}
+                "content": content, "inner": inner}
 
 
 def suffix_order(data: np.ndarray) -> np.ndarray:
@@ -290,18 +296,23 @@ def remove_repeats(documents: DataFrame, length: int = MIN_BYTES, seed: int = SE
             found = strings.contexts(live.contains(strings.hash))
             at = rows[found["text"]]
             yield {"doc": doc.take(pa.array(at)), "row": row[at], "hash": found["hash"],
-                   "content": found["content"], "size": found["end"] - found["begin"],
+                   "content": found["content"], "size": found["end"] - found["begin"], "inner": found["inner"],
                    "begin": found["begin"] - block.offsets[found["text"]]}
 
     places = stored(arrow_map(
-        texts, occurrences, "doc long, row long, hash long, content long, begin long, size int"
+        texts, occurrences, "doc long, row long, hash long, content long, begin long, size int, inner boolean"
     ))
-    kinds = places.groupBy("hash", "content").agg(F.count("*").alias("copies"), F.first("size").alias("size"))
-    per_anchor = kinds.groupBy("hash").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
-    several = BitFilter(spark, per_anchor.filter("n > 1").select("hash"), "hash")
-    crowded = per_anchor.filter(f"n > {BLOCK_CONTEXTS}").select("hash")
+    kinds = places.groupBy("hash", "content").agg(
+        F.count("*").alias("copies"), F.first("size").alias("size"), F.bool_or("inner").alias("inner")
+    )
+    per_anchor = stored(kinds.groupBy("hash").agg(
+        F.count("*").alias("n"), F.sum("size").alias("bytes"), F.bool_or("inner").alias("inner")
+    ).filter("n > 1 OR inner"))
+    several = BitFilter(spark, per_anchor.select("hash"), "hash")
+    many = (F.col("n") > BLOCK_CONTEXTS) | (F.col("bytes") > BLOCK_BYTES)
+    crowded = per_anchor.filter(many).select("hash")
     crowds = BitFilter(spark, crowded, "hash", 1 << 20)
-    total = per_anchor.filter(f"n BETWEEN 2 AND {BLOCK_CONTEXTS}").agg(F.sum("bytes")).first()[0] or 0
+    total = per_anchor.filter(~many).agg(F.sum("bytes")).first()[0] or 0
 
     def contexts(crowd: bool):
         """Different contexts, with their bytes, of anchors that have several."""
