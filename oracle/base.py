@@ -28,19 +28,13 @@ invoices AS (
 )"""
 
 LINES = """
-single_lines AS (
-  SELECT * FROM lineitem
-  QUALIFY row_number() OVER (
-    PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_partkey, l_suppkey, l_extendedprice, l_shipdate,
-             l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) = 1
-),
 lines AS (
   SELECT *, make_timestamp(start_s * 1000000) AS line_start,
          make_timestamp((start_s + CASE span WHEN 'year' THEN 31536000 ELSE 2592000 END) * 1000000)
            AS line_end
   FROM (
-    SELECT 'il_' || l_orderkey || '_' || l_linenumber AS line_key,
+    SELECT 'il_' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey
+             || '_' || CAST(round(l_extendedprice * 100) AS BIGINT) AS line_key,
            'in_' || l_orderkey AS invoice_id,
            CASE l_returnflag WHEN 'R' THEN 'invoiceitem' ELSE 'subscription' END AS type,
            CAST(round(l_extendedprice * 100) AS BIGINT) AS amount,
@@ -51,7 +45,7 @@ lines AS (
            CAST(epoch(o_orderdate) AS BIGINT) + (l_linenumber % 3) * 1728000 AS start_s,
            CASE WHEN l_partkey % 8 = 0 THEN 'year' ELSE 'month' END AS span,
            'prod_' || (l_partkey % 20) AS product
-    FROM single_lines JOIN orders ON o_orderkey = l_orderkey
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey
   )
 )"""
 

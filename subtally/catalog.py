@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType
 
 from subtally import steps
 from subtally.plans import analytics, arpu, counts, mrr, receivables
-from subtally.session import tune
+from subtally.session import utc
 from subtally.sources.schemas import Layout
 from subtally.sources.star import billing_tables
 from subtally.sources.tables import BillingTables
@@ -20,6 +20,7 @@ AS_OF = dt.datetime(2001, 6, 15, tzinfo=dt.timezone.utc)
 
 Step = Callable[[BillingTables], DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
+Source = Callable[[SparkSession, str, Layout], BillingTables]
 
 
 def _days_as_timestamps(frame: DataFrame) -> DataFrame:
@@ -28,11 +29,12 @@ def _days_as_timestamps(frame: DataFrame) -> DataFrame:
     return frame.withColumns({name: F.col(name).cast("timestamp") for name in days})
 
 
-def over_star(step: Step, layout: Layout = "normalized") -> Query:
-    """A query over the star tables in a folder, with the settings of this package."""
+def over_star(step: Step, layout: Layout = "normalized", source: Source = billing_tables) -> Query:
+    """A query over the star tables in a folder, in UTC; the session keeps its settings."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _days_as_timestamps(step(billing_tables(tune(spark), sf_dir, layout)))
+        with utc(spark):
+            return _days_as_timestamps(step(source(spark, sf_dir, layout)))
 
     return run
 
@@ -70,12 +72,12 @@ LAYOUT_METRICS: tuple[Step, ...] = (
 )
 
 
-def metric_queries() -> dict[str, Query]:
+def metric_queries(source: Source = billing_tables) -> dict[str, Query]:
     """Q01-Q34 by id."""
-    queries = {key: over_star(step) for key, step in ROOT_METRICS.items()}
+    queries = {key: over_star(step, source=source) for key, step in ROOT_METRICS.items()}
     for layout, first in (("normalized", 7), ("json", 21)):
         queries |= {
-            f"Q{first + i:02d}": over_star(step, layout)
+            f"Q{first + i:02d}": over_star(step, layout, source)
             for i, step in enumerate(LAYOUT_METRICS)
         }
     return queries

@@ -33,7 +33,8 @@ def failed_payments(t: BillingTables, net: bool = False) -> DataFrame:
     """
     failed = failed_subscriptions(t).withColumnRenamed("latest_invoice", "invoice_id")
     invoices = t.invoices.select(F.col("id").alias("invoice_id"))
-    lines = invoice_lines(t, kind=None, product="price", discount=net)
+    wanted = failed.select("invoice_id")
+    lines = invoice_lines(t, kind=None, product="price", discount=net, only=wanted)
     rows = failed.join(invoices, "invoice_id").join(lines, "invoice_id")
     priced = with_product_prices(t, rows)
     columns = ["id", "customer", "status", "reason", "invoice_id", "product_name", "price_cents"]
@@ -56,9 +57,10 @@ def invoice_months(t: BillingTables, customers: DataFrame) -> DataFrame:
         F.col("id").alias("invoice_id"), "customer", "subscription"
     )
     known = t.subscriptions.select(F.col("id").alias("subscription"))
+    invoices = invoices.join(known, "subscription", "left_semi")
+    lines = invoice_lines(t, kind=None, only=invoices.select("invoice_id"))
     return (
-        invoices.join(known, "subscription", "left_semi")
-        .join(invoice_lines(t, kind=None), "invoice_id")
+        invoices.join(lines, "invoice_id")
         .select("customer", F.year("line_start").alias("year"), F.month("line_start").alias("month"))
     )
 

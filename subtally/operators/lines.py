@@ -29,6 +29,7 @@ def invoice_lines(
     discount: bool = False,
     how: str = "inner",
     invoice_column: str = "invoice_id",
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Lines of one type, or of all, with the asked-for parts.
 
@@ -36,16 +37,19 @@ def invoice_lines(
     product (of the line's price or plan), interval, discount. `how` is the join to
     period and price. A line whose plan or interval is missing is dropped when either
     is asked for. A normalized line comes once per discount row, a JSON line has the
-    first element of its own discount list.
+    first element of its own discount list. `only` (one column, invoice_id) cuts the lines
+    down to those invoices before the parts are joined.
     """
     lines = t.invoice_line_items
     if kind is not None:
         lines = lines.filter(F.col("type") == kind)
     if t.is_json:
+        lines = _of_invoices(lines, only)
         return _json_lines(lines, period, product is not None, interval, discount)
     rows = lines.select(
         F.col(LINE_HASH).alias("line_key"), F.col(invoice_column).alias("invoice_id"), "amount"
     )
+    rows = _of_invoices(rows, only)
     extra: list = []
     if interval or product == "plan":
         columns = {"interval": "interval"} if interval else {}
@@ -69,6 +73,10 @@ def invoice_lines(
     return rows.select("invoice_id", "line_key", "amount", *extra)
 
 
+def _of_invoices(lines: DataFrame, only: DataFrame | None) -> DataFrame:
+    return lines if only is None else lines.join(only, "invoice_id", "left_semi")
+
+
 def _child(t: BillingTables, name: str, **columns: str) -> DataFrame:
     table = getattr(t, f"invoice_line_items_{name}")
     renamed = [F.col(source).alias(target) for target, source in columns.items()]
@@ -108,5 +116,7 @@ def with_product_prices(t: BillingTables, lines: DataFrame, how: str = "inner")
         F.col("product").alias("priced_product"), F.col("unit_amount").alias("price_cents")
     )
     products = t.products.select(F.col("id").alias("product"), F.col("name").alias("product_name"))
-    named = products.join(prices, F.col("product") == F.col("priced_product"), how)
-    return lines.join(named.drop("priced_product"), "product", how)
+    # One after the other: the planner judges the size of each table by itself.
+    named = lines.join(products.withColumn("known_product", F.col("product")), "product", how)
+    priced = F.col("known_product") == F.col("priced_product")
+    return named.join(prices, priced, how).drop("known_product", "priced_product")

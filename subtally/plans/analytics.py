@@ -140,7 +140,9 @@ def ended_subscriptions(t: BillingTables) -> DataFrame:
     invoices = t.invoices.select(
         F.col("id").alias("invoice_id"), "customer", F.col("status").alias("invoice_status")
     )
-    lines = invoice_lines(t, kind=None, product="price", how="left", invoice_column="invoice")
+    lines = invoice_lines(
+        t, kind=None, product="price", how="left", invoice_column="invoice", only=ended.select("invoice_id")
+    )
     rows = invoices.join(ended, "invoice_id").join(lines, "invoice_id", "left")
     return with_product(t, rows, "left").select(
         "invoice_id",

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+ZONE = "spark.sql.session.timeZone"
+
 SETTINGS = {
     # Epoch seconds turn into calendar days in the session zone.
     "spark.sql.session.timeZone": "UTC",
@@ -26,6 +31,26 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def utc(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside use days and months of UTC; the caller's zone is put back after.
+
+    Spark fixes the zone of an expression when a DataFrame is made, not when it runs.
+    """
+    before = spark.conf.get(ZONE)
+    spark.conf.set(ZONE, "UTC")
+    try:
+        yield
+    finally:
+        spark.conf.set(ZONE, before)
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Fail early: in another zone the metrics would fall into other days and months."""
+    if spark.conf.get(ZONE) not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"set {ZONE} to UTC, or make the metrics inside subtally.session.utc(spark)")
+
+
 def build_session(master: str | None = None, app_name: str = "subtally", **extra: str) -> SparkSession:
     """Create or get a session with `SETTINGS`; on a cluster leave `master` unset."""
     builder = SparkSession.builder.appName(app_name)

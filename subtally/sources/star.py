@@ -7,12 +7,10 @@ whole tables, so the derived tables grow with them.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Mapping
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subtally.sources.schemas import LINE_HASH, SUBSCRIPTION_HASH, Layout
@@ -67,14 +65,11 @@ class _Star:
         )
 
     def lines(self) -> DataFrame:
-        """One row per (order, line number) with all that its child tables hold."""
-        rank = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-            "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
-            "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-        )
-        kept = (
-            self._read("lineitem").withColumn("rank", F.row_number().over(rank)).filter("rank = 1")
-        )
+        """Every line item with all that its child tables hold.
+
+        Line numbers repeat within an order, so the id also names part, supplier and price.
+        """
+        items = self._read("lineitem")
         orders = self._read("orders").select(
             F.col("o_orderkey").alias("l_orderkey"),
             F.unix_timestamp("o_orderdate").alias("ordered"),
@@ -89,8 +84,12 @@ class _Star:
         second = F.when(number == 7, F.array(F.lit(100).cast("long"))).otherwise(
             F.array().cast("array<bigint>")
         )
-        return kept.join(orders, "l_orderkey").select(
-            F.concat(_tag("il_", F.col("l_orderkey")), _tag("_", number)).alias("id"),
+        return items.join(orders, "l_orderkey").select(
+            F.concat(
+                _tag("il_", F.col("l_orderkey")), _tag("_", number),
+                _tag("_", F.col("l_partkey")), _tag("_", F.col("l_suppkey")),
+                _tag("_", _cents(F.col("l_extendedprice"))),
+            ).alias("id"),
             _tag("in_", F.col("l_orderkey")).alias("invoice_id"),
             F.when(F.col("l_returnflag") == "R", "invoiceitem")
             .otherwise("subscription")
@@ -241,16 +240,6 @@ def _with_json_reason(subscriptions: DataFrame) -> DataFrame:
     ).drop("reason")
 
 
-def _shared_root(spark: SparkSession) -> str | None:
-    """Folder every executor sees; a local one only when the session itself is local."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="subtally-")
-    return None
-
-
 class _OnDemand(Mapping):
     """Tables by name, each built when first asked for."""
 
@@ -271,24 +260,16 @@ class _OnDemand(Mapping):
 
 
 class _Store:
-    """Writes each wide table once per application and reads it back afterwards.
+    """The wide tables: lazy, or written to a folder of the caller's and read back."""
 
-    Deriving the lines removes duplicates by a shuffle of the whole line table, and one
-    metric reads up to nine cuts of them. Without a shared folder tables stay lazy.
-    """
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str | None):
         self.star = _Star(spark, sf_dir)
         self._spark = spark
-        root = _shared_root(spark)
-        self._path = f"{root}/billing-{uuid.uuid4().hex}" if root else None
+        self._folder = folder
         self._ready: dict[str, DataFrame] = {}
-        self._opened: dict[Layout, BillingTables] = {}
 
     def tables(self, layout: Layout) -> BillingTables:
-        if layout not in self._opened:
-            self._opened[layout] = BillingTables(layout, _OnDemand(self._builders(layout)))
-        return self._opened[layout]
+        return BillingTables(layout, _OnDemand(self._builders(layout)))
 
     def _builders(self, layout: Layout) -> dict[str, Callable[[], DataFrame]]:
         wide = self.wide
@@ -320,19 +301,19 @@ class _Store:
         return getattr(self.star, name)()
 
     def _written(self, name: str, frame: DataFrame) -> DataFrame:
-        if self._path is None:
+        if self._folder is None:
             return frame
-        target = f"{self._path}/{name}"
+        target = f"{self._folder}/{name}"
         frame.write.parquet(target)
         return self._spark.read.schema(frame.schema).parquet(target)
 
 
-_STORES: dict[tuple[str, int, str], _Store] = {}
+def billing_tables(
+    spark: SparkSession, sf_dir: str, layout: Layout = "normalized", folder: str | None = None
+) -> BillingTables:
+    """Billing tables derived from the star tables in `sf_dir`.
 
-
-def billing_tables(spark: SparkSession, sf_dir: str, layout: Layout = "normalized") -> BillingTables:
-    """Billing tables derived from the star tables in `sf_dir`."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
-    if key not in _STORES:
-        _STORES[key] = _Store(spark, sf_dir)
-    return _STORES[key].tables(layout)
+    They are lazy. With a `folder`, which must be new and which all executors must reach,
+    each wide table is written there when first asked for, and read from there.
+    """
+    return _Store(spark, sf_dir, folder).tables(layout)

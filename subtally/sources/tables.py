@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subtally.session import require_utc
 from subtally.sources.schemas import BUCKET_KEYS, SCHEMAS, Layout
 
 
@@ -32,6 +33,7 @@ def read_tables(
     spark: SparkSession, path: str, layout: Layout = "normalized", source: str = "parquet"
 ) -> BillingTables:
     """Open `path/<table>` for every table of the layout with its declared schema."""
+    require_utc(spark)
     frames = {
         name: spark.read.format(source).schema(schema).load(f"{path}/{name}")
         for name, schema in SCHEMAS[layout].items()
@@ -43,6 +45,7 @@ def catalog_tables(
     spark: SparkSession, database: str = "public", layout: Layout = "normalized"
 ) -> BillingTables:
     """Open the tables of the layout from a database of the session catalog."""
+    require_utc(spark)
     frames = {name: spark.table(f"{database}.{name}") for name in SCHEMAS[layout]}
     return BillingTables(layout, frames)
 
@@ -54,7 +57,10 @@ def store_tables(t: BillingTables, database: str, buckets: int) -> None:
     co-located buckets and shuffle nothing. Open the result with `catalog_tables`.
     """
     for name, key in BUCKET_KEYS[t.layout].items():
-        writer = getattr(t, name).write.format("parquet")
+        table = getattr(t, name)
+        if key:  # one task writes a bucket, so there is one file for each
+            table = table.repartition(buckets, key)
+        writer = table.write.format("parquet")
         if key:
             writer = writer.bucketBy(buckets, key).sortBy(key)
         writer.saveAsTable(f"{database}.{name}")

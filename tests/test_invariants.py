@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from subtally.catalog import AS_OF
 from subtally.operators import movements, periods
 from subtally.plans import arpu, counts, mrr
-from subtally.sources import star
 from subtally.sources.star import billing_tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -67,9 +66,8 @@ def test_layouts_agree_on_single_line_invoices(spark):
     assert sums[0] and sums[0] == sums[1]
 
 
-def test_tables_stay_lazy_without_a_shared_folder(spark, monkeypatch):
-    written = counts.new_customer_count(billing_tables(spark, SF_DIR)).collect()
-    monkeypatch.setattr(star, "_shared_root", lambda spark: None)
-    lazy = star._Store(spark, SF_DIR).tables("normalized")
-    assert not any("billing-" in f for f in lazy.invoice_line_items.inputFiles())
-    assert counts.new_customer_count(lazy).collect() == written
+def test_tables_are_lazy_or_written_to_the_named_folder(spark, tmp_path):
+    lazy = counts.new_customer_count(billing_tables(spark, SF_DIR)).collect()
+    stored = billing_tables(spark, SF_DIR, folder=str(tmp_path / "billing"))
+    assert counts.new_customer_count(stored).collect() == lazy
+    assert {p.name for p in (tmp_path / "billing").iterdir()} >= {"invoices", "lines"}

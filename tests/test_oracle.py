@@ -9,10 +9,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from oracle.steps import all_statements
+from subtally import read_tables
+from subtally.catalog import metric_queries, step_queries
+from subtally.session import ZONE
+from subtally.sources.star import billing_tables
 
 SF_DIR = os.environ.get("SUBTALLY_TEST_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_module.queries()
-CHECKS = entry_module.oracle_sql()
+QUERIES = {**metric_queries(), **step_queries()}
+CHECKS = all_statements()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="no star tables")
 
@@ -42,6 +47,32 @@ def _canonical(columns, rows):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry_module.queries())
+
+
+def test_every_line_item_is_a_line(spark, duck):
+    (items,) = duck.execute("SELECT count(*) FROM lineitem").fetchone()
+    for layout in ("normalized", "json"):
+        lines = billing_tables(spark, SF_DIR, layout).invoice_line_items
+        assert (lines.count(), lines.select("id").distinct().count()) == (items, items)
+
+
+@pytest.mark.parametrize("key", ["Q03", "Q13", "Q28"])
+def test_results_do_not_depend_on_the_session_zone(spark, key):
+    def rows():
+        frame = QUERIES[key](spark, SF_DIR)
+        return sorted(map(tuple, frame.selectExpr(*[f"CAST({c} AS STRING)" for c in frame.columns]).collect()))
+
+    expected, zone = rows(), spark.conf.get(ZONE)
+    try:
+        spark.conf.set(ZONE, "Asia/Tokyo")
+        assert spark.conf.get(ZONE) == "Asia/Tokyo"
+        assert rows() == expected
+        assert spark.conf.get(ZONE) == "Asia/Tokyo"
+        with pytest.raises(ValueError):
+            read_tables(spark, SF_DIR)
+    finally:
+        spark.conf.set(ZONE, zone)
 
 
 @pytest.mark.parametrize("key", list(QUERIES))

@@ -5,7 +5,6 @@ import pytest
 import __spark_entry__ as entry_module
 from subtally import catalog_tables, read_tables
 from subtally.plans import counts
-from subtally.session import SETTINGS
 from subtally.sources.schemas import SCHEMAS
 from subtally.sources.star import billing_tables
 from subtally.sources.tables import store_tables
@@ -19,14 +18,15 @@ def _plan(frame):
 
 
 @pytest.fixture
-def unsized(spark, monkeypatch):
+def unsized(spark):
     """No side is small enough to be broadcast, as on large tables."""
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    monkeypatch.setitem(SETTINGS, "spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {key: spark.conf.get(key) for key in keys}
+    for key in keys:
+        spark.conf.set(key, "-1")
     yield spark
-    spark.conf.set(key, before)
+    for key, value in before.items():
+        spark.conf.set(key, value)
 
 
 @pytest.mark.parametrize("key", [k for k in QUERIES if k.startswith("Q")])
@@ -37,8 +37,9 @@ def test_no_join_needs_a_small_side(unsized, key):
         assert forbidden not in plan
 
 
-def test_scan_is_pruned_and_filtered(spark):
-    plan = _plan(QUERIES["Q08"](spark, SF_DIR))
+def test_scan_is_pruned_and_filtered(spark, tmp_path):
+    stored = billing_tables(spark, SF_DIR, folder=str(tmp_path / "billing"))
+    plan = _plan(counts.upgrades(stored))
     assert "EqualTo(status,paid)" in plan and "EqualTo(type,subscription)" in plan
     assert "discounts" not in plan and "charge" not in plan
 

@@ -4,7 +4,6 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from subtally.session import SETTINGS
 from tests.test_oracle import _canonical
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,11 +18,11 @@ def skewed(tmp_path_factory):
     con.execute("SET TimeZone = 'UTC'")
     changed = {
         "orders": "SELECT * REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 10 ELSE o_custkey END AS o_custkey)",
-        # Line numbers stay unique within the hot order, or its lines would collapse.
+        # The hot order keeps the line numbers; what repeats then differs in its supplier.
         "lineitem": """
             SELECT * REPLACE (
               CASE WHEN n % 3 = 0 THEN 5 ELSE l_orderkey END AS l_orderkey,
-              CASE WHEN n % 3 = 0 THEN CAST(n + 10 AS INTEGER) ELSE l_linenumber END AS l_linenumber)""",
+              CASE WHEN n % 3 = 0 THEN n ELSE l_suppkey END AS l_suppkey)""",
         "customer": "SELECT *",
         "part": "SELECT *",
     }
@@ -39,18 +38,18 @@ def skewed(tmp_path_factory):
 
 
 @pytest.fixture
-def splitting(spark, monkeypatch):
+def splitting(spark):
     """Every partition above a few kilobytes counts as skewed, and nothing is broadcast."""
     eager = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
     before = {key: spark.conf.get(key) for key in eager}
     for key, value in eager.items():
         spark.conf.set(key, value)
-    monkeypatch.setitem(SETTINGS, "spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     yield spark
     for key, value in before.items():
         spark.conf.set(key, value)
