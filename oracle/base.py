@@ -22,6 +22,7 @@ invoices AS (
          CAST(epoch(o_orderdate) AS BIGINT) AS from_s,
          CAST(epoch(o_orderdate) AS BIGINT) + 2592000 AS to_s,
          CAST(round(o_totalprice * 100) AS BIGINT) AS total,
+         CAST(round(o_totalprice * 100) AS BIGINT) - o_orderkey % 13 AS untaxed,
          CASE WHEN o_orderkey % 11 = 0 THEN 0
               ELSE CAST(round(o_totalprice * 100) AS BIGINT) END AS subtotal
   FROM orders

@@ -25,7 +25,7 @@ unrefunded AS (
 yearly_revenue AS (
   SELECT invoice_id AS id, customer, email AS customer_email, sub_id AS subscription, paid, status,
          product_name AS name,
-         (cents::DOUBLE / 100) / 12 AS unit_amount, (total::DOUBLE / 100) / 12 AS amount,
+         (cents::DOUBLE / 100) / 12 AS unit_amount, (untaxed::DOUBLE / 100) / 12 AS amount,
          make_timestamp(from_s * 1000000) AS usage_start,
          make_timestamp(to_s * 1000000) AS usage_end,
          unnest(generate_series(CAST(line_start AS DATE),
@@ -37,7 +37,7 @@ yearly_revenue AS (
 other_revenue AS (
   SELECT invoice_id AS id, customer, email AS customer_email, sub_id AS subscription, paid, status,
          product_name AS name,
-         (cents // 100)::DOUBLE AS unit_amount, (total // 100)::DOUBLE AS amount,
+         (cents // 100)::DOUBLE AS unit_amount, (untaxed // 100)::DOUBLE AS amount,
          make_timestamp(from_s * 1000000) AS usage_start,
          make_timestamp(to_s * 1000000) AS usage_end,
          line_start AS subscription_start, line_end AS subscription_end
@@ -163,7 +163,7 @@ def cancelled_subscriptions() -> str:
         [SUBSCRIPTIONS],
         """
 SELECT sub_id AS id, status, reason, customer, latest_invoice,
-       CAST(make_timestamp(cancel_s * 1000000) AS DATE) AS cancel_at,
+       CAST(make_timestamp((cancel_s + 259200) * 1000000) AS DATE) AS cancel_at,
        CAST(make_timestamp(cancel_s * 1000000) AS DATE) AS cancelled_at
 FROM subs WHERE reason IS NOT NULL AND cancel_s IS NOT NULL""",
     )

@@ -60,7 +60,7 @@ class _Star:
             (ordered + 30 * DAY).alias("period_end"),
             total.alias("total"),
             F.when(key % 11 == 0, F.lit(0)).otherwise(total).cast("long").alias("subtotal"),
-            total.alias("total_excluding_tax"),
+            (total - key % 13).alias("total_excluding_tax"),
             (key % 4).cast("int").alias("attempt_count"),
         )
 
@@ -130,7 +130,7 @@ class _Star:
             _tag("in_", F.col("last_order")).alias("latest_invoice"),
             F.col("last_seen").alias("current_period_start"),
             (F.col("last_seen") + 30 * DAY).alias("current_period_end"),
-            gone.alias("cancel_at"),
+            (gone + 3 * DAY).alias("cancel_at"),
             gone.alias("canceled_at"),
             (key % 2 == 0).alias("cancel_at_period_end"),
             reason.alias("reason"),
