@@ -38,8 +38,8 @@ from subtally.llm.common import arrow_map
 LONG_CHARS = 1 << 16
 LEAF_CHARS = 1 << 14
 FIRST_WINDOW = 64
-#: Distinct stretches remembered in one task, and their longest length.
-REMEMBERED, STRETCH_CHARS = 200_000, 48
+#: Distinct stretches remembered in one task.
+REMEMBERED = 500_000
 
 #: Letters that are composed already and fall to lower case one by one, printable ASCII and
 #: ASCII white space: here splitting at white space commutes with normalisation.
