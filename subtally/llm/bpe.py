@@ -38,8 +38,8 @@ from subtally.llm.common import arrow_map
 LONG_CHARS = 1 << 16
 LEAF_CHARS = 1 << 14
 FIRST_WINDOW = 64
-#: Distinct stretches remembered in one task.
-REMEMBERED = 500_000
+#: Distinct stretches remembered in one task, and the longest that is.
+REMEMBERED, STRETCH_CHARS = 500_000, 64
 
 #: Letters that are composed already and fall to lower case one by one, printable ASCII and
 #: ASCII white space: here splitting at white space commutes with normalisation.
@@ -60,19 +60,21 @@ class Codec:
         self.special = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if added else None
         self._known: dict[str, tuple[int, ...]] = {}
 
-    def encode(self, text: str) -> list[int] | Iterator[int]:
+    def encode(self, text: str) -> list[int]:
         if not _PLAIN.fullmatch(text) or (self.special and self.special.search(text)):
             return self.whole.encode(text, add_special_tokens=False).ids
         stretches = text.split()
+        if len(self._known) > REMEMBERED:
+            self._known.clear()
         new = {s for s in stretches if s not in self._known}
-        if new:
-            if len(self._known) > REMEMBERED:
-                self._known.clear()
-                new = set(stretches)
-            self._learn(new)
+        learned = self._learn(new) if new else {}
+        long = {s: learned.pop(s) for s in new if len(s) > STRETCH_CHARS}
+        self._known.update(learned)
+        if long:
+            return list(chain.from_iterable(long[s] if s in long else self._known[s] for s in stretches))
         return list(chain.from_iterable(map(self._known.__getitem__, stretches)))
 
-    def _learn(self, stretches: set[str]) -> None:
+    def _learn(self, stretches: set[str]) -> dict[str, tuple[int, ...]]:
         """Encode distinct stretches in one text, split again at their first characters."""
         order = list(stretches)
         encoded = self.whole.encode(" ".join(order), add_special_tokens=False)
@@ -80,8 +82,7 @@ class Codec:
         starts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(ids))
         lengths = np.fromiter(map(len, order), np.int64, len(order))
         bounds = np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths + 1))))
-        for s, a, b in zip(order, bounds.tolist(), bounds[1:].tolist()):
-            self._known[s] = tuple(ids[a:b])
+        return {s: tuple(ids[a:b]) for s, a, b in zip(order, bounds.tolist(), bounds[1:].tolist())}
 
     def parts(self, text: str) -> list[tuple[bool, str]]:
         """(is an added token, text): added tokens stand apart, the rest is normalised."""
