@@ -118,11 +118,11 @@ def _pages(vectors: DataFrame, routing) -> DataFrame:
 
 
 def _visit(visits: DataFrame, pages: DataFrame, k: int) -> DataFrame:
-    """Best k entries of each visited page for each query: query_id, v, vec_id, score."""
-    block = F.pmod(F.xxhash64("query_id", "v"), F.greatest(F.ceil(F.col("n") / QUERY_BLOCK), F.lit(1)))
+    """Best k entries of each visited page for each query: query_id, q, vec_id, score."""
+    block = F.pmod(F.col("q"), F.greatest(F.ceil(F.col("n") / QUERY_BLOCK), F.lit(1)))
     counts = visits.groupBy("dim", "node", "page").agg(F.count("*").alias("n"))
     blocks = visits.join(counts, ["dim", "node", "page"]).groupBy("dim", "node", "page", block.alias("block")).agg(
-        F.collect_list(F.struct("query_id", "v", "to_node", "bound")).alias("queries")
+        F.collect_list(F.struct("query_id", "q", "v", "to_node", "bound")).alias("queries")
     )
     both = blocks.join(pages.select("dim", "node", "page", "entries"), ["dim", "node", "page"])
 
@@ -149,14 +149,14 @@ def _visit(visits: DataFrame, pages: DataFrame, k: int) -> DataFrame:
                 places.append(ids[near][top])
                 scores.append(score[top])
             if rows:
-                yield {"query_id": query[rows], "v": q.field("v").take(pa.array(rows)),
+                yield {"query_id": query[rows], "q": np.asarray(q.field("q"))[rows],
                        "vec_id": np.concatenate(places), "score": np.concatenate(scores)}
 
-    return arrow_map(both, best, "query_id long, v array<long>, vec_id long, score long")
+    return arrow_map(both, best, "query_id long, q long, vec_id long, score long")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id", "v").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -170,7 +170,8 @@ def search(vectors: DataFrame, is_query, k: int = 5, row_id: str = "vec_id",
     integers = stored(scaled(vectors, row_id, vector, scale))
     routing = spark.sparkContext.broadcast(_routing(integers))  # at most NODES vectors per length
     pages = stored(_pages(integers, routing))
-    queries = integers.filter(is_query)
+    # Rows of one id may differ in their vector: `q` tells them apart.
+    queries = integers.filter(is_query).withColumn("q", F.xxhash64("vec_id", "v"))
 
     def route(batch: pa.RecordBatch) -> Iterator[dict]:
         for dim, at in _by_length(batch, "v"):
@@ -179,15 +180,15 @@ def search(vectors: DataFrame, is_query, k: int = 5, row_id: str = "vec_id",
             n = away.shape[1]
             order = away.argsort(axis=1).ravel()
             row = np.repeat(np.arange(len(at)), n)
-            yield {"query_id": part.column("vec_id").take(pa.array(row)), "v": part.column("v").take(pa.array(row)),
-                   "dim": np.full(len(row), dim), "node": order, "to_node": away[row, order],
+            yield {"query_id": part.column("vec_id").take(pa.array(row)), "q": part.column("q").take(pa.array(row)),
+                   "v": part.column("v").take(pa.array(row)), "dim": np.full(len(row), dim), "node": order, "to_node": away[row, order],
                    "place": np.tile(np.arange(n), len(at))}
 
     routed = arrow_map(
-        queries, route, "query_id long, v array<long>, dim int, node int, to_node double, place int"
+        queries, route, "query_id long, q long, v array<long>, dim int, node int, to_node double, place int"
     )
     unbounded = F.lit(float("inf")).alias("bound")
-    nearest = routed.filter("place = 0").select("query_id", "v", "dim", "node", "to_node", unbounded)
+    nearest = routed.filter("place = 0").select("query_id", "q", "v", "dim", "node", "to_node", unbounded)
     directory = pages.select("dim", "node", "page", "radius", "inner")
     first_visits = nearest.join(directory.groupBy("dim", "node").agg(F.min("page").alias("page")), ["dim", "node"])
     first = stored(_ranked(_visit(first_visits, pages, k), k))
@@ -197,21 +198,21 @@ def search(vectors: DataFrame, is_query, k: int = 5, row_id: str = "vec_id",
                   "m": pa.array(list(routing.value.largest.values()), pa.float64())})
     )
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    kth = first.filter(F.col("rank") == k).select("query_id", "v", F.col("score").alias("kth"))
+    kth = first.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "q", F.col("score").alias("kth"))
     slack = _SLACK * (1 + F.sqrt(F.col("m")) + F.sqrt(square))
-    bound = F.coalesce(
-        F.sqrt(F.greatest(square + F.col("m") - 2 * F.col("kth"), F.lit(0.0))) + slack, F.lit(float("inf"))
-    )
+    distance = F.sqrt(F.greatest(square + F.col("m") - 2 * F.col("kth"), F.lit(0.0)))
+    # A first page of fewer than k entries gives no bound.
+    bound = F.when(F.col("kth").isNotNull(), distance + slack).otherwise(float("inf"))
     bounded = (
         queries.withColumn("dim", F.size("v")).join(largest, "dim")
-        .join(kth.withColumnRenamed("query_id", "vec_id"), ["vec_id", "v"], "left")
-        .select(F.col("vec_id").alias("query_id"), "v", bound.alias("bound"))
+        .join(kth, ["vec_id", "q"], "left")
+        .select(F.col("vec_id").alias("query_id"), "q", bound.alias("bound"))
     )
     visits = (
-        routed.join(bounded, ["query_id", "v"])
+        routed.join(bounded, ["query_id", "q"])
         .join(directory, ["dim", "node"])
         .filter((F.col("to_node") - F.col("radius") <= F.col("bound"))
                 & (F.col("inner") - F.col("to_node") <= F.col("bound")))
-        .select("query_id", "v", "dim", "node", "page", "to_node", "bound")
+        .select("query_id", "q", "v", "dim", "node", "page", "to_node", "bound")
     )
     return _ranked(_visit(visits, pages, k), k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
