@@ -219,6 +219,15 @@ def _list_rows(*columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names)
 
 
+def _overlap(x: np.ndarray, y: np.ndarray, n: int, m: int) -> tuple[int, int]:
+    """Least and greatest overlap of sets of n and m tokens whose first ones are x and y."""
+    end = min(x[-1], y[-1])
+    p, q = np.searchsorted(x, end, "right"), np.searchsorted(y, end, "right")
+    both = np.sort(np.concatenate((x[:p], y[:q])))
+    low = int((both[1:] == both[:-1]).sum())
+    return low, low + min(n - p, m - q)
+
+
 def _bounded(pairs: DataFrame, sets: DataFrame, percent: int, whole: bool) -> DataFrame:
     """a, b, overlap at most and at least, of the pairs that can still be linked (or are)."""
     left = sets.select(F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
@@ -229,13 +238,8 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Da
         n, m = np.asarray(batch.column("n_a")), np.asarray(batch.column("n_b"))
         low, high = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
         for i, (x, y) in enumerate(zip(batch.column("t_a"), batch.column("t_b"))):
-            x = np.asarray(x.values).view(np.uint64)
-            y = np.asarray(y.values).view(np.uint64)
-            end = min(x[-1], y[-1])
-            p, q = np.searchsorted(x, end, "right"), np.searchsorted(y, end, "right")
-            both = np.sort(np.concatenate((x[:p], y[:q])))
-            low[i] = (both[1:] == both[:-1]).sum()
-            high[i] = low[i] + min(n[i] - p, m[i] - q)
+            x, y = (np.asarray(v.values).view(np.uint64) for v in (x, y))
+            low[i], high[i] = _overlap(x, y, n[i], m[i])
         ok = low >= needed(n, m, percent) if whole else high >= needed(n, m, percent)
         yield {"a": np.asarray(batch.column("a")), "b": np.asarray(batch.column("b")),
                "low": low, "high": high, "linked": ok}
@@ -243,6 +247,11 @@ def _bounded(pairs: DataFrame, sets: DataFrame, percent: int, whole: bool) -> Da
     return arrow_map(joined, measured, "a long, b long, low long, high long, linked boolean")
 
 
+def _token_lists(column: pa.Array) -> list[np.ndarray]:
+    flat = np.asarray(column.flatten()).view(np.uint64)
+    return np.split(flat, np.cumsum(np.asarray(column.value_lengths()))[:-1])
+
+
 def _one_per_set(rows: DataFrame) -> DataFrame:
     return rows.groupBy("set").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
 
@@ -313,15 +322,20 @@ class _Sets:
         """a, b, low, high, linked of the candidate pairs, exact where `high` admits a link."""
         bounded = stored(_bounded(pairs, _one_per_set(self.prefixes), self._percent, False))
         admitted = bounded.filter("linked").select("a", "b")
-        wanted = admitted.select(F.explode(F.array("a", "b")).alias("set"))
-        exact = _bounded(admitted, _one_per_set(self.full(wanted)), self._percent, True)
-        return stored(exact.unionByName(bounded.filter("NOT linked")))
+        return stored(self.verified(admitted).unionByName(bounded.filter("NOT linked")))
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The same on whole sets."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("set"))
+        return _bounded(pairs, _one_per_set(self.full(wanted)), self._percent, True)
 
 
-def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefixes: DataFrame,
+                 percent: int) -> DataFrame:
     """Pairs of long lists whose sets are in different groups and whose bounds admit a link.
 
-    `members`: set, pivot, token, block, n, rest; `known`: compared pairs; `groups`: set, grp.
+    `members`: set, pivot, token, block, n, rest; `known`: compared pairs; `groups`: set, grp;
+    `prefixes`: set, tokens. A pair is looked at in the list of its first common token only.
     """
     grouped = members.join(groups, "set", "left").withColumn("grp", F.coalesce("grp", "set"))
     mixed = grouped.groupBy("token").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).filter("x < y")
@@ -329,9 +343,9 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, percen
     facts = known.select(F.col("a").alias("set"), F.col("b").alias("pivot"), "low", "high").unionByName(
         known.select(F.col("b").alias("set"), F.col("a").alias("pivot"), "low", "high")
     )
-    left = left.join(facts, ["set", "pivot"], "left")
+    left = left.join(facts, ["set", "pivot"], "left").join(prefixes.select("set", "tokens"), "set")
     member = F.struct(
-        "set", "n", "rest", "grp", "pivot",
+        "set", "n", "rest", "grp", "pivot", "tokens",
         F.when(F.col("set") == F.col("pivot"), F.col("n")).otherwise(F.coalesce("low", F.lit(0))).alias("low"),
         F.when(F.col("set") == F.col("pivot"), F.col("n")).otherwise(F.coalesce("high", "n")).alias("high"),
     )
@@ -349,22 +363,31 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, percen
         & ~((F.col("grp_min") == F.col("grp_max")) & (F.col("grp_min_2") == F.col("grp_max_2"))
             & (F.col("grp_min") == F.col("grp_min_2")))
     )
-    both = blocks.join(other, "token").filter(reach).select("members", "members_2")
+    both = blocks.join(other, "token").filter(reach).select("token", "members", "members_2")
 
     def pairs(batch: pa.RecordBatch) -> Iterator[dict]:
-        for x, y in zip(batch.column(0), batch.column(1)):
+        for token, x, y in zip(np.asarray(batch.column(0)).view(np.uint64), batch.column(1), batch.column(2)):
             p, q = ({n: np.asarray(v.values.field(n)) for n in
                      ("set", "n", "rest", "grp", "pivot", "low", "high")} for v in (x, y))
+            first, second = (_token_lists(v.values.field("tokens")) for v in (x, y))
+            found: list[tuple[int, int]] = []
             for at in range(len(p["set"])):
-                least = needed(p["n"][at], q["n"], percent)
+                n = p["n"][at]
+                least = needed(n, q["n"], percent)
                 ok = (np.minimum(p["rest"][at], q["rest"]) >= least) & (p["grp"][at] != q["grp"])
-                ok &= np.minimum(p["n"][at], q["n"]) >= least
+                ok &= np.minimum(n, q["n"]) >= least
                 shared = p["pivot"][at] == q["pivot"]
-                ok &= ~shared | (q["high"] + p["n"][at] - p["low"][at] >= least)
+                ok &= ~shared | (q["high"] + n - p["low"][at] >= least)
                 ok &= ~shared | (p["high"][at] + q["n"] - q["low"] >= least)
-                if ok.any():
-                    mine = np.full(int(ok.sum()), p["set"][at])
-                    yield {"a": np.minimum(mine, q["set"][ok]), "b": np.maximum(mine, q["set"][ok])}
+                for j in np.flatnonzero(ok).tolist():
+                    one, two = first[at], second[j]
+                    before = one[: np.searchsorted(one, token)], two[: np.searchsorted(two, token)]
+                    if np.isin(*before, assume_unique=True).any():
+                        continue
+                    if _overlap(one, two, n, q["n"][j])[1] >= least[j]:
+                        found.append(tuple(sorted((p["set"][at], q["set"][j]))))
+            if found:
+                yield dict(zip("ab", np.array(found, np.int64).T))
 
     return arrow_map(both, pairs, "a long, b long").distinct()
 
@@ -398,8 +421,11 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
     known = sets.compared(candidates)
     linked = known.filter("linked").select("a", "b")
     groups = stored(components(linked).select(F.col("node").alias("set"), F.col("component").alias("grp")))
-    rest = _cross_pairs(members, known, groups, percent).join(known.select("a", "b"), ["a", "b"], "left_anti")
-    late = sets.compared(stored(rest)).filter("linked").select("a", "b")
+    rest = stored(
+        _cross_pairs(members, known, groups, _one_per_set(sets.prefixes), percent)
+        .join(known.select("a", "b"), ["a", "b"], "left_anti")
+    )
+    late = stored(sets.verified(rest).filter("linked").select("a", "b"))
     if late.take(1):
         groups = _merged(groups, late)
     rows = sets.rows.select("doc", "text_hash", "set", "n").join(groups, "set", "left")
