@@ -2,11 +2,13 @@
 
 All rolling pairs of words of all texts are joined by hash (and then by the words
 themselves) to the positions that such a pair has in the templates. A match votes for the
-diagonal "text position minus template position". Votes of neighbouring diagonals (words
-inserted or left out) are added up, and a span is verified by the share of template
-positions that the merged diagonals cover. A short phrase counts where its own diagonal
-covers all of it, that is, where its words stand consecutively. Only column functions,
-joins, grouping and windows are used.
+diagonal "text position minus template position". Neighbouring diagonals (words inserted or
+left out) are merged into a span, and a span is verified against the template: what counts
+is the longest chain of its matches that goes forward in the template and in the text, so
+each template position counts once and only in its order. The share of the template's pairs
+in that chain is the coverage. A short phrase counts where its own diagonal covers all of
+it, that is, where its words stand consecutively. Only column functions, joins, grouping
+and windows are used.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the lower-cased text. Defined results: null
 and empty texts have no words, no places, empty labels and score 0. Rows equal in id and
@@ -17,7 +19,7 @@ result columns replace input columns of the same name.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Phrases that give a label wherever they stand.
@@ -60,6 +62,25 @@ def _template_pairs(spark, phrases: dict[str, str], templates: dict[str, str]) -
     return frame.withColumn("gram", F.xxhash64("t_one", "t_two"))
 
 
+def _in_order(span: Column) -> Column:
+    """Length of the longest chain of matches with rising template and text positions.
+
+    `span` is an array of (diagonal, places): at most 2 * SHIFT + 1 diagonals, each with at
+    most as many places as the template has pairs.
+    """
+    matches = F.array_sort(F.flatten(F.transform(span, lambda d: F.transform(
+        d["places"], lambda t: F.struct(t.alias("t"), (d["diagonal"] + t).alias("pos"))))))
+
+    def longer(chains, match):
+        before = F.filter(chains, lambda c: (c["t"] < match["t"]) & (c["pos"] < match["pos"]))
+        n = F.coalesce(F.array_max(F.transform(before, lambda c: c["n"])), F.lit(0)) + 1
+        return F.concat(chains, F.array(F.struct(
+            match["t"].alias("t"), match["pos"].alias("pos"), n.cast("int").alias("n"))))
+
+    chains = F.aggregate(matches, F.expr("cast(array() as array<struct<t:bigint,pos:bigint,n:int>>)"), longer)
+    return F.array_max(F.transform(chains, lambda c: c["n"]))
+
+
 def scan_licenses(documents: DataFrame, phrases: dict[str, str] = PHRASES,
                   templates: dict[str, str] = TEMPLATES, text: str = "text",
                   row_id: str = "doc_id", share: float = SHARE) -> DataFrame:
@@ -81,11 +102,15 @@ def scan_licenses(documents: DataFrame, phrases: dict[str, str] = PHRASES,
         pairs.join(known, "gram")
         .filter("one = t_one AND two = t_two")
         .groupBy(*here, (F.col("pos") - F.col("t_at")).alias("diagonal"))
-        .agg(F.countDistinct("t_at").alias("votes"))
+        .agg(F.collect_set(F.col("t_at").cast("long")).alias("places"))
+        .withColumns({"diagonal": F.col("diagonal").cast("long"), "votes": F.size("places")})
     )
     near = Window.partitionBy("__id", "__text", "template").orderBy("diagonal").rangeBetween(-SHIFT, SHIFT)
-    merged = diagonals.withColumn(
-        "covered", F.least(F.lit(1.0), F.sum("votes").over(near) / F.col("pairs"))
+    span = F.collect_list(F.struct("diagonal", "places")).over(near)
+    # The matches of a single diagonal are in order.
+    merged = diagonals.withColumn("span", F.when(~F.col("phrase"), span)).withColumn(
+        "covered",
+        F.when(F.size("span") > 1, _in_order(F.col("span"))).otherwise(F.col("votes")) / F.col("pairs"),
     )
     place = F.col("phrase") & (F.col("votes") == F.col("pairs"))
     found = place | (~F.col("phrase") & (F.col("covered") >= share))

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from subtally.llm import bpe
 from subtally.llm.catalog import URL_RULES
 from subtally.llm.co_training import classify
-from subtally.llm.license_scan import PHRASES, scan_licenses
+from subtally.llm.license_scan import PHRASES, SHARE, SHIFT, TEMPLATES, scan_licenses
 from subtally.llm.metric_search import search
 from subtally.llm.packing import best_fit, pack, plan
 from subtally.llm.url_filters import judge_urls
@@ -154,6 +154,39 @@ def test_licenses(docs):
     assert labels[501] == "bsd-notice" and labels[503] == "reserved" and labels[500] == "apache,gpl,mit"
 
 
+def chain_share(words: list[str], template: list[str], shift: int) -> float:
+    """Best share of template pairs that stand in order on diagonals around one diagonal."""
+    hits = [(t, p) for t in range(len(template) - 1) for p in range(len(words) - 1)
+            if words[p : p + 2] == template[t : t + 2]]
+    best = 0
+    for middle in {p - t for t, p in hits}:
+        length: dict = {}
+        for t, p in sorted(hits):
+            if abs(p - t - middle) <= shift:
+                length[t, p] = 1 + max((n for (u, q), n in length.items() if u < t and q < p), default=0)
+        best = max(best, *length.values())
+    return best / (len(template) - 1)
+
+
+def test_license_spans_hold_the_template_once_and_in_order(docs):
+    rnd = random.Random(9)
+    full = [t.split() for t in TEMPLATES]
+    rows = [(1, "all rights all rights"), (2, "rights reserved all rights"), (3, "all rights reserved"),
+            (4, "licensed under a licensed under a licensed under a creative")]
+    for i in range(60):
+        words = list(rnd.choice(full))
+        for _ in range(rnd.randint(0, 3)):
+            at, n = rnd.randrange(len(words)), rnd.randint(1, 3)
+            words[at:at] = rnd.choice([words[at : at + n], ["x"] * n])
+            del words[(at := rnd.randrange(len(words))) : at + rnd.randint(0, 2)]
+        rows.append((10 + i, " ".join(words)))
+    for r in scan_licenses(docs(rows), phrases={"no such": "none"}).collect():
+        words = dict(rows)[r.doc_id].split()
+        share = {n: chain_share(words, t.split(), SHIFT) for t, n in TEMPLATES.items()}
+        assert r.labels == ",".join(sorted(n for n, x in share.items() if x >= SHARE)), r.doc_id
+        assert r.score == max(share.values()), r.doc_id
+
+
 def top(rows, k=5):
     kept = sorted({(i, tuple(math.floor(256 * float(x)) for x in v)) for i, v in rows
                    if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)})
