@@ -5,6 +5,11 @@ label, and those it is confident about join the other view's training set with i
 The two scores are then calibrated together on labelled documents that neither view saw,
 and every document gets the calibrated probability of being good (of quality and not toxic).
 
+Two verdicts make `kept`. A document goes if its probability is too low, or if one of its
+words is too strong evidence of toxicity: the log ratio of the word's share of toxic and of
+good training documents. A single insult in a long good text hardly moves a sum of weights,
+so this is a verdict of its own. Both thresholds come from good and bad calibration documents.
+
 The views are fitted in one task on at most `LABELLED_ROWS` labelled and `POOL_ROWS` other
 documents, chosen by the hash of their ids; that is the bound of everything held in one
 place. All documents are scored, whole texts, in one pass.
@@ -40,8 +45,10 @@ TEXT_BUCKETS = 1 << 17
 #: Training rows that must hold a bucket before it gets a weight.
 RARE = 5
 META_BUCKETS = 1 << 12
-#: The verdict leaves out at most this share of the good calibration documents.
+#: Each verdict leaves out at most this share of the good calibration documents.
 LOST_SHARE = 0.003
+#: Of the bad ones that it then could leave out, this share is given up for a wide margin.
+SPARED_SHARE = 0.1
 HIGHEST_THRESHOLD = 0.5
 
 
@@ -138,10 +145,42 @@ class Model:
     #: Weights of the two scores, and the constant, of the calibrated log odds.
     mixing: np.ndarray
     threshold: float
+    #: Strength of each word as evidence of toxicity, and the strength that rejects a text.
+    evidence: np.ndarray
+    toxic_threshold: float
 
     def probability(self, text_score: np.ndarray, meta_score: np.ndarray) -> np.ndarray:
         return _sigmoid(self.mixing[0] * text_score + self.mixing[1] * meta_score + self.mixing[2])
 
+    def toxicity(self, row: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
+        """Strongest evidence in each text."""
+        most = np.zeros(n)
+        np.maximum.at(most, row, self.evidence[bucket])
+        return most
+
+
+def _cut(good: np.ndarray, bad: np.ndarray) -> float:
+    """Least score that passes: most bad are caught while at most LOST_SHARE of the good are.
+
+    Between the least good score that has to pass and the bad scores below it, the cut lies
+    in the middle of the widest gap that gives up no more than SPARED_SHARE of those bad.
+    """
+    least = np.sort(good)[int(LOST_SHARE * len(good))]
+    below = np.sort(bad[bad < least])[::-1]
+    if not len(below):
+        return float(least)
+    edges = np.concatenate(([least], below[: int(SPARED_SHARE * len(below)) + 1]))
+    at = int(np.argmax(edges[:-1] - edges[1:]))
+    return float((edges[at] + edges[at + 1]) / 2)
+
+
+def _evidence(toxic: list[np.ndarray], good: list[np.ndarray]) -> np.ndarray:
+    """Log ratio of the shares of toxic and good texts that hold a bucket; 0 if it is rare."""
+    held = [np.bincount(np.concatenate([*sets, np.empty(0, np.int64)]).astype(np.int64), minlength=TEXT_BUCKETS)
+            for sets in (toxic, good)]
+    shares = [np.log((n + 0.5) / (len(sets) + 1)) for n, sets in zip(held, (toxic, good))]
+    return np.where(held[0] >= RARE, np.maximum(shares[0] - shares[1], 0.0), 0.0)
+
 
 def _calibrate(scores: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Logistic regression of y on two scores by Newton steps, with weights not below 0."""
@@ -169,8 +208,9 @@ class _Rows:
 
 
 def co_train(text_sets: list[np.ndarray], meta_sets: list[np.ndarray], y: np.ndarray,
-             rounds: int = ROUNDS) -> Model:
-    """y: 1 good, 0 bad, -1 without label."""
+             toxic: np.ndarray | None = None, rounds: int = ROUNDS) -> Model:
+    """y: 1 good, 0 bad, -1 without label; toxic: whether a label says so."""
+    toxic = np.zeros(len(y), bool) if toxic is None else toxic
     views = (_Rows(text_sets), _Rows(meta_sets))
     labelled, pool = np.flatnonzero(y >= 0), np.flatnonzero(y < 0)
     apart = np.zeros(len(labelled), bool)
@@ -200,28 +240,38 @@ def co_train(text_sets: list[np.ndarray], meta_sets: list[np.ndarray], y: np.nda
         models = [fitted(0), fitted(1)]
     scores = np.column_stack([models[v].score(*views[v].of(held), len(held)) for v in (0, 1)])
     mixing = _calibrate(scores, y[held])
-    model = Model(models[0], models[1], mixing, HIGHEST_THRESHOLD)
-    good = model.probability(scores[:, 0], scores[:, 1])[y[held] == 1]
+    model = Model(models[0], models[1], mixing, HIGHEST_THRESHOLD, np.zeros(TEXT_BUCKETS), np.inf)
+    good, harmful = held[y[held] == 1], held[toxic[held]]
     if len(good):
-        # A low quantile, and below it by what so few documents leave uncertain.
-        odds = np.quantile(np.log(good / (1 - good)), LOST_SHARE) - 6 / np.sqrt(len(good))
-        model.threshold = float(min(HIGHEST_THRESHOLD, _sigmoid(odds)))
+        odds = scores @ mixing[:2] + mixing[2]
+        model.threshold = float(min(HIGHEST_THRESHOLD, _sigmoid(_cut(odds[y[held] == 1], odds[y[held] == 0]))))
+    model.evidence = _evidence(
+        [text_sets[i] for i in train[toxic[train]]], [text_sets[i] for i in train[y[train] == 1]]
+    )
+    if len(good) and len(harmful):
+        strength = [-model.toxicity(*views[0].of(rows), len(rows)) for rows in (good, harmful)]
+        cut = _cut(*strength)
+        if (strength[1] < cut).any():
+            model.toxic_threshold = -cut
     return model
 
 
 def _training_rows(documents: DataFrame, labels: DataFrame, labelled: int, pool: int) -> DataFrame:
-    """doc_id and y (null without label) of the bounded training sample."""
+    """doc_id, y (-1 without label) and whether a label says toxic, of the bounded training sample."""
     ok = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
     verdicts = (
         labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
-        .groupBy("doc_id").agg(F.min(ok.cast("int")).alias("y"))
+        .groupBy("doc_id").agg(
+            F.min(ok.cast("int")).alias("y"),
+            F.max((F.coalesce(F.col("toxic"), F.lit(0)) != 0).cast("int")).alias("harm"),
+        )
     )
     spread = F.xxhash64("doc_id")
     chosen = verdicts.orderBy(spread, "doc_id").limit(labelled)
     others = (
         documents.select("doc_id").filter("doc_id IS NOT NULL").distinct()
         .join(verdicts, "doc_id", "left_anti").orderBy(spread, "doc_id").limit(pool)
-        .withColumn("y", F.lit(-1))
+        .withColumns({"y": F.lit(-1), "harm": F.lit(0)})
     )
     return chosen.unionByName(others)
 
@@ -230,7 +280,7 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED_ROWS,
         pool: int = POOL_ROWS) -> Model | None:
     """The model, or None without labels of both kinds."""
     sample = _training_rows(documents, labels, labelled, pool)
-    # At most labelled + pool ids of 12 bytes are broadcast.
+    # At most labelled + pool ids of 16 bytes are broadcast.
     rows = documents.select("doc_id", "text", meta_key(documents).alias("meta")).join(
         F.broadcast(sample), "doc_id"
     )
@@ -239,13 +289,13 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED_ROWS,
         for block in text_blocks(batch.column("text")):
             text, bucket = text_features(block)
             bounds = np.searchsorted(text, np.arange(block.rows + 1))
-            yield {n: batch.column(n).slice(block.row, block.rows) for n in ("doc_id", "y", "meta")} | {
+            yield {n: batch.column(n).slice(block.row, block.rows) for n in ("doc_id", "y", "harm", "meta")} | {
                 "words": lists(bucket, bounds)
             }
 
     trained = arrow_map(
-        rows.select("doc_id", "y", "text", "meta"), features,
-        "doc_id long, y int, meta array<long>, words array<long>",
+        rows.select("doc_id", "y", "harm", "text", "meta"), features,
+        "doc_id long, y int, harm int, meta array<long>, words array<long>",
     )
 
     def train(group: pd.DataFrame) -> pd.DataFrame:
@@ -253,16 +303,18 @@ def fit(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED_ROWS,
         y = group["y"].to_numpy()
         if not {0, 1} <= set(y.tolist()):
             return pd.DataFrame({"part": pd.Series(dtype="int32"), "weights": pd.Series(dtype=object)})
-        model = co_train([np.asarray(x) for x in group["words"]], [np.asarray(x) for x in group["meta"]], y)
-        rest = np.array([model.text.bias, model.meta.bias, *model.mixing, model.threshold])
-        return pd.DataFrame({"part": [0, 1, 2], "weights": [model.text.weights, model.meta.weights, rest]})
+        model = co_train([np.asarray(x) for x in group["words"]], [np.asarray(x) for x in group["meta"]], y,
+                         group["harm"].to_numpy() == 1)
+        rest = np.array([model.text.bias, model.meta.bias, *model.mixing, model.threshold, model.toxic_threshold])
+        weights = [model.text.weights, model.meta.weights, model.evidence, rest]
+        return pd.DataFrame({"part": range(len(weights)), "weights": weights})
 
     # One group of at most labelled + pool rows.
     parts = trained.groupBy().applyInPandas(train, "part int, weights array<double>").collect()
     if not parts:
         return None
-    text, meta, rest = (np.array(w) for _, w in sorted((p.part, p.weights) for p in parts))
-    model = Model(View(TEXT_BUCKETS), View(META_BUCKETS), rest[2:5], float(rest[5]))
+    text, meta, evidence, rest = (np.array(w) for _, w in sorted((p.part, p.weights) for p in parts))
+    model = Model(View(TEXT_BUCKETS), View(META_BUCKETS), rest[2:5], float(rest[5]), evidence, float(rest[6]))
     model.text.weights, model.text.bias = text, rest[0]
     model.meta.weights, model.meta.bias = meta, rest[1]
     return model
@@ -279,19 +331,21 @@ def classify(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED_R
         return plain.withColumns({
             "text_score": F.lit(0.0), "meta_score": F.lit(0.0), "probability": F.lit(0.5), "kept": F.lit(True)
         })
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # two arrays of fixed length
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # three arrays of fixed length
 
     def scored(batch: pa.RecordBatch) -> Iterator[dict]:
         fitted = shared.value
         for block in text_blocks(batch.column("text")):
             n = block.rows
-            text = fitted.text.score(*text_features(block), n)
+            words = text_features(block)
+            text = fitted.text.score(*words, n)
             meta_sets = batch.column("__meta").slice(block.row, n)
             row = np.repeat(np.arange(n), np.asarray(meta_sets.value_lengths()))
             meta = fitted.meta.score(row, np.asarray(meta_sets.flatten()), n)
             p = fitted.probability(text, meta)
+            kept = (p >= fitted.threshold) & (fitted.toxicity(*words, n) < fitted.toxic_threshold)
             yield {c: batch.column(c).slice(block.row, n) for c in carried} | {
-                "text_score": text, "meta_score": meta, "probability": p, "kept": p >= fitted.threshold,
+                "text_score": text, "meta_score": meta, "probability": p, "kept": kept,
             }
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)

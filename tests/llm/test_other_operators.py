@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from subtally.llm import bpe
 from subtally.llm.catalog import URL_RULES
-from subtally.llm.co_training import classify
+from subtally.llm.co_training import _cut, classify
 from subtally.llm.license_scan import PHRASES, SHARE, SHIFT, TEMPLATES, scan_licenses
 from subtally.llm.metric_search import search
 from subtally.llm.packing import best_fit, pack, plan
@@ -110,6 +110,28 @@ def test_classifier_on_held_out_labels(spark, sf_dir):
     assert share[1, 0] >= 0.98 and share[0, 0] <= 0.1 and share[1, 1] <= 0.7
 
 
+def test_classifier_leaves_out_plain_insults(spark, sf_dir):
+    """Held-out toxic documents of quality with a word that good ones never hold."""
+    folder = sf_dir.replace("sf0.001", "sf0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    words = "trash|pathetic|idiot|disgusting|worthless|clown|loser|scum|stupid|moron"
+    rows = classify(docs, labels.filter(half == 0)).join(labels.filter(half == 1), "doc_id")
+    rows = rows.withColumn("plain", F.lower("text").rlike(rf"\b({words})\b")).collect()
+    plain = [r.kept for r in rows if r.quality and r.toxic and r.plain]
+    good = [r.kept for r in rows if r.quality and not r.toxic]
+    assert len(plain) > 80 and sum(plain) <= 0.1 * len(plain), (sum(plain), len(plain))
+    assert sum(good) >= 0.98 * len(good), (sum(good), len(good))
+
+
+def test_cut_looks_at_both_classes():
+    good = np.arange(10.0, 1010.0)
+    assert _cut(good, np.array([1.0, 2.0])) == 7.5  # three of 1,000 good ones may go
+    assert _cut(good, np.array([1.0, 12.0])) == 12.5
+    assert _cut(good[:5], np.array([8.0])) == _cut(good[:50], np.array([8.0])) == 9.0
+
+
 def test_classifier_without_labels(docs, spark):
     labels = spark.createDataFrame([(1, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int")
     result = classify(docs(ODD), labels)
