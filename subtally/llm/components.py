@@ -1,7 +1,7 @@
 """Connected components of an edge table.
 
-Edges are first contracted in parts of bounded size, each within one task. If one part is
-enough this is the answer; otherwise the contracted edges go through alternating large-star
+Edges are first contracted in parts of bounded expected size, each within one task; the
+edges of one node are dealt over all parts. If one part is enough this is the answer; otherwise the contracted edges go through alternating large-star
 and small-star steps until all of them hang on roots.
 """
 
@@ -70,15 +70,24 @@ def _settled(stars: DataFrame) -> bool:
     return not stars.select(F.col("v").alias("u")).distinct().join(stars, "u", "left_semi").take(1)
 
 
+def _dealt(pairs: DataFrame, parts: int) -> DataFrame:
+    """Edges in parts by both ends, so that a node with very many edges fills no part.
+
+    A single part has one key: it stays whole also where more partitions are made.
+    """
+    key = F.xxhash64("a", "b")
+    return pairs.repartition(parts, key if parts > 1 else key % 1)
+
+
 def components(edges: DataFrame, part_edges: int = PART_EDGES) -> DataFrame:
     """(node, component) for every node of the edges (a, b); a component is its smallest node.
 
-    A node with very many neighbours is reduced to its smallest neighbour before the
-    shuffle. The number of rounds grows with the logarithm of the longest chain.
+    In the star steps a node with very many neighbours is reduced to its smallest neighbour
+    before the shuffle. The number of rounds grows with the logarithm of the longest chain.
     """
-    pairs = stored(edges.select("a", "b").filter("a <> b"))
+    pairs = stored(edges.select("a", "b").filter("a <> b").distinct())
     parts = pairs.count() // part_edges + 1
-    current = stored(pairs.repartition(parts, F.xxhash64("a") % parts).mapInArrow(_contract, _STAR))
+    current = stored(_dealt(pairs, parts).mapInArrow(_contract, _STAR))
     while parts > 1 and not _settled(current):
         current = stored(_stars(_stars(current, True), False))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

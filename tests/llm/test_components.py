@@ -2,8 +2,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from subtally.llm.components import components, local_roots
+from subtally.llm.components import _dealt, components, local_roots
 
 
 def expected(edges):
@@ -38,6 +39,13 @@ def test_components(spark, name, part_edges):
     assert len(rows) == len({r.node for r in rows})
 
 
+def test_edges_of_one_node_are_dealt_over_all_parts(spark):
+    stars = spark.range(4000).selectExpr("7L AS a", "id + 10 AS b")
+    parts = _dealt(stars, 8).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 700
+    assert components(stars, 500).filter("component = 7").count() == 4001
+
+
 def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
