@@ -71,8 +71,8 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shingle count and group of near duplicates of every document."""
-    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_hash")
+    """Shingle count, group of near duplicates and number of links of every document."""
+    return near_duplicates(read(spark, sf_dir, "documents"), count_links=True).drop("text_hash")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

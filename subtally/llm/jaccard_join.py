@@ -14,13 +14,20 @@ are indexed: token -> sets, with set size and token position.
 * Candidates are compared on their prefixes, which bounds the overlap from above, and those
   that remain on their full sets.
 
+That finds the groups, and every link lies within one. A link that has not been compared by
+then joins two members of long lists. `jaccard_join` returns all links: those compared, and
+for members of long lists the sets of a group are cut into blocks by size and hash, and each pair of blocks that sizes
+admit is one cell, in which all overlaps are counted on whole sets. Each pair of sets meets in
+one cell only. Copies of a set are its multiplicity, not links of their own; `near_duplicates`
+can count the links of each document without making a row for each link.
+
 The global order puts tokens that very many sets share last, so they seldom are in a
 prefix. It is estimated from the texts whose hash falls into one of `ORDER_SHARE` parts
 and holds at most `ORDER_TOKENS` tokens. Any order gives the same result; this one only
 saves work. The join itself covers all sets. Tokens and set ids are 64-bit hashes.
 
 Defined results: null texts and texts without words have an empty set, are linked with
-nothing and are their own component. Fewer words than a shingle count as one shingle.
+nothing (0 links) and are their own component. Fewer words than a shingle count as one shingle.
 Repeated rows have equal sets and share a component, whose id is the smallest id that is
 not null. Other columns are not read.
 """
@@ -52,6 +59,9 @@ PIVOTS = 6
 #: Members of a block, and of a salted part of a very long list.
 BLOCK_SETS = 256
 PART_SETS = 4096
+#: Expected tokens of a block of a group, and columns of a matrix in which overlaps are counted.
+LINK_TOKENS = 1 << 18
+LINK_COLUMNS = 1 << 12
 _U = np.uint64
 
 
@@ -343,14 +353,14 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefix
     facts = known.select(F.col("a").alias("set"), F.col("b").alias("pivot"), "low", "high").unionByName(
         known.select(F.col("b").alias("set"), F.col("a").alias("pivot"), "low", "high")
     )
-    left = left.join(facts, ["set", "pivot"], "left").join(prefixes.select("set", "tokens"), "set")
+    left = left.join(facts, ["set", "pivot"], "left")
     member = F.struct(
         "set", "n", "rest", "grp", "pivot", "tokens",
         F.when(F.col("set") == F.col("pivot"), F.col("n")).otherwise(F.coalesce("low", F.lit(0))).alias("low"),
         F.when(F.col("set") == F.col("pivot"), F.col("n")).otherwise(F.coalesce("high", "n")).alias("high"),
     )
-    blocks = left.groupBy("token", "block").agg(  # at most BLOCK_SETS members
-        F.collect_list(member).alias("members"), F.min("n").alias("n_min"), F.max("n").alias("n_max"),
+    blocks = left.groupBy("token", "block").agg(
+        F.min("n").alias("n_min"), F.max("n").alias("n_max"),
         F.max("rest").alias("rest_max"), F.min("grp").alias("grp_min"), F.max("grp").alias("grp_max"),
     )
     other = blocks.select("token", *[F.col(c).alias(f"{c}_2") for c in blocks.columns if c != "token"])
@@ -363,7 +373,23 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefix
         & ~((F.col("grp_min") == F.col("grp_max")) & (F.col("grp_min_2") == F.col("grp_max_2"))
             & (F.col("grp_min") == F.col("grp_min_2")))
     )
-    both = blocks.join(other, "token").filter(reach).select("token", "members", "members_2")
+    reached = stored(blocks.join(other, "token").filter(reach).select("token", "block", "block_2"))
+    alone, apart = reached.filter("block = block_2"), reached.filter("block < block_2")
+
+    def filled(keys: DataFrame) -> DataFrame:
+        """The wanted blocks with their members, at most BLOCK_SETS."""
+        rows = left.join(keys, ["token", "block"], "left_semi").join(prefixes.select("set", "tokens"), "set")
+        return rows.groupBy("token", "block").agg(F.collect_list(member).alias("members"))
+
+    # Tokens are moved again only for pairs of different blocks.
+    ends = apart.select("token", F.explode(F.array("block", "block_2")).alias("block")).distinct()
+    two = filled(ends)
+    both = filled(alone).select("token", "members", F.col("members").alias("members_2")).unionByName(
+        apart.join(two, ["token", "block"]).join(
+            two.select("token", F.col("block").alias("block_2"), F.col("members").alias("members_2")),
+            ["token", "block_2"],
+        ).select("token", "members", "members_2")
+    )
 
     def pairs(batch: pa.RecordBatch) -> Iterator[dict]:
         for token, x, y in zip(np.asarray(batch.column(0)).view(np.uint64), batch.column(1), batch.column(2)):
@@ -406,10 +432,8 @@ def _merged(groups: DataFrame, late: DataFrame) -> DataFrame:
     return moved.unionByName(fresh).groupBy("set").agg(F.min("grp").alias("grp"))
 
 
-def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
-                    text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """One row per document: its id and text hash, `n_shingles` and `component_id`."""
-    sets = _Sets(documents, text, row_id, size, percent)
+def _groups(sets: _Sets, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """set, grp of all linked sets; a, b, low of the links compared; sets of the long lists."""
     found = stored(
         sets.postings().repartition("token", "part").mapInArrow(_search_lists(percent), _LIST_ROW)
     )
@@ -425,13 +449,187 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: in
         _cross_pairs(members, known, groups, _one_per_set(sets.prefixes), percent)
         .join(known.select("a", "b"), ["a", "b"], "left_anti")
     )
-    late = stored(sets.verified(rest).filter("linked").select("a", "b"))
+    late = stored(sets.verified(rest).filter("linked").select("a", "b", "low"))
     if late.take(1):
         groups = _merged(groups, late)
+    compared = known.filter("linked").select("a", "b", "low").unionByName(late)
+    return groups, compared, members.select("set").distinct()
+
+
+def _copies(sets: _Sets) -> DataFrame:
+    return sets.rows.filter("n > 0").groupBy("set").agg(F.count("*").alias("copies"), F.first("n").alias("n"))
+
+
+def _cells(sets: _Sets, members: DataFrame, percent: int) -> DataFrame:
+    """cell, side, same, set, n, copies, tokens: pairs of blocks (or one block with itself)."""
+    # Linked sets are at most one class apart.
+    size_class = F.col("n") if percent >= 100 else F.floor(F.log("n") / np.log(100 / percent))
+    totals = members.groupBy("grp").agg(F.sum("n").alias("total"))
+    small = F.col("total") <= LINK_TOKENS
+    classed = members.join(totals, "grp").withColumn("cls", F.when(small, F.lit(0)).otherwise(size_class).cast("long"))
+    parts = classed.groupBy("grp", "cls").agg((F.floor(F.sum("n") / LINK_TOKENS) + 1).alias("parts"))
+    placed = classed.join(parts, ["grp", "cls"]).withColumn("part", F.pmod(F.xxhash64("set"), "parts"))
+    block = F.struct("cls", "part")
+    blocks = parts.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    blocks = blocks.select("grp", block.alias("x"))
+    pairs = blocks.join(blocks.withColumnRenamed("x", "y"), "grp").filter("x <= y AND y.cls - x.cls <= 1")
+    sides = pairs.select(
+        "grp", F.xxhash64("grp", "x", "y").alias("cell"), (F.col("x") == F.col("y")).alias("same"),
+        F.explode(F.array_distinct(F.array(F.struct(F.col("x").alias("b"), F.lit(0).alias("side")), F.struct(
+            F.col("y").alias("b"), F.when(F.col("x") == F.col("y"), 0).otherwise(1).alias("side"))))).alias("at"),
+    ).select("grp", "cell", "same", "at.side", F.col("at.b.cls").alias("cls"), F.col("at.b.part").alias("part"))
+    whole = _one_per_set(sets.full(members)).select("set", "tokens")
+    # Tokens are moved once by set and once by cell; where they go is found without them.
+    cells = placed.join(sides, ["grp", "cls", "part"]).groupBy("set", "n", "copies").agg(
+        F.collect_list(F.struct("cell", "side", "same")).alias("cells")
+    )
+    return cells.join(whole, "set").select(F.explode("cells").alias("at"), "set", "n", "copies", "tokens").select(
+        "at.cell", "at.side", "at.same", "set", "n", "copies", "tokens"
+    )
+
+
+def _overlaps(first: list[np.ndarray], second: list[np.ndarray] | None) -> np.ndarray:
+    """Overlap of each set of `first` with each of `second` (or of `first` itself)."""
+    sides = [first] if second is None else [first, second]
+    found = []
+    for side in sides:
+        tokens, count = np.unique(np.concatenate(side), return_counts=True)
+        found.append(tokens[count > 1] if second is None else tokens)
+    common = found[0] if second is None else np.intersect1d(*found, assume_unique=True)
+    places = []
+    for side in sides:
+        row = np.repeat(np.arange(len(side)), [len(x) for x in side])
+        flat = np.concatenate(side)
+        at = np.searchsorted(common, flat)
+        ok = at < len(common)
+        ok[ok] = common[at[ok]] == flat[ok]
+        places.append((row[ok], at[ok]))
+    total = np.zeros((len(first), len(sides[-1])), np.float32)
+    for low in range(0, len(common), LINK_COLUMNS):
+        held = []
+        for side, (row, at) in zip(sides, places):
+            here = (at >= low) & (at < low + LINK_COLUMNS)
+            matrix = np.zeros((len(side), min(LINK_COLUMNS, len(common) - low)), np.float32)
+            matrix[row[here], at[here] - low] = 1
+            held.append(matrix)
+        total += held[0] @ held[-1].T
+    return total.astype(np.int64)  # sets of fewer than 2**24 tokens are counted exactly
+
+
+def _cell_links(percent: int, rows: bool):
+    """Links of the cells of a partition: a row for each, or their number for each set."""
+
+    def links(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        same = bool(cell["same"][0].as_py())
+        side = np.asarray(cell["side"])
+        sides = []
+        for k in (0,) if same else (0, 1):
+            own = cell.filter(pa.array(side == k)).combine_chunks()
+            if not len(own):
+                return
+            sides.append({c: np.asarray(own[c]) for c in ("set", "n", "copies")} | {
+                "tokens": _token_lists(own["tokens"].combine_chunks())})
+        p, q = sides[0], sides[-1]
+        both = _overlaps(p["tokens"], None if same else q["tokens"])
+        linked = both >= needed(p["n"][:, None], q["n"][None, :], percent)
+        if rows:
+            if same:
+                linked = np.triu(linked, 1)
+            for at in range(0, len(p["set"]), 64):  # bounded batches
+                i, j = np.nonzero(linked[at : at + 64])
+                i += at
+                swap = p["set"][i] > q["set"][j]
+                columns = [np.where(swap, y, x) for c in ("set", "n", "copies")
+                           for x, y in ((p[c][i], q[c][j]), (q[c][j], p[c][i]))]
+                yield _batch(_LINK, *columns, both[i, j])
+            return
+        if same:
+            np.fill_diagonal(linked, False)
+        yield _batch(_COUNT, p["set"], linked @ q["copies"])
+        if not same:
+            yield _batch(_COUNT, q["set"], linked.T @ p["copies"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            key = np.asarray(batch.column("cell"))
+            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
+                if held and held[0].column("cell")[0].as_py() != int(key[low]):
+                    yield from links(pa.Table.from_batches(held))
+                    held = []
+                if high > low:
+                    held.append(batch.slice(low, high - low))
+        if held:
+            yield from links(pa.Table.from_batches(held))
+
+    return run
+
+
+_LINK = "a long, b long, n_a long, n_b long, copies_a long, copies_b long, overlap long"
+_COUNT = "set long, links long"
+
+
+def _batch(schema: str, *columns: np.ndarray) -> pa.RecordBatch:
+    names = [c.split()[0] for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names)
+
+
+def _linked(sets: _Sets, found: tuple[DataFrame, DataFrame, DataFrame], percent: int, rows: bool) -> DataFrame:
+    """A row for each link, or the number of links of each set (in parts)."""
+    groups, compared, long = found
+    copies = _copies(sets)
+    members = stored(groups.join(long, "set", "left_semi").join(copies, "set"))
+    # A group with one member of long lists has no pairs of them.
+    several = members.groupBy("grp").count().filter("count > 1").select("grp")
+    members = stored(members.join(several, "grp", "left_semi"))
+    cells = _cells(sets, members, percent).repartition("cell").sortWithinPartitions("cell")
+    late = cells.mapInArrow(_cell_links(percent, rows), _LINK if rows else _COUNT)
+    # Two ends among the members were counted in a cell.
+    ends = [members.select(F.col("set").alias(x), F.lit(True).alias(f"in_{x}")) for x in ("a", "b")]
+    early = compared.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    early = early.filter("in_a IS NULL OR in_b IS NULL")
+    for x in ("a", "b"):
+        early = early.join(copies.select(
+            F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("copies").alias(f"copies_{x}")), x)
+    if rows:
+        return late.unionByName(early.withColumn("overlap", F.col("low")).select(*late.columns))
+    return late.unionByName(early.select("a", "b", "copies_a", "copies_b").select(F.explode(F.array(
+        F.struct(F.col("a").alias("set"), F.col("copies_b").alias("links")),
+        F.struct(F.col("b").alias("set"), F.col("copies_a").alias("links")))).alias("x")).select("x.*"))
+
+
+def jaccard_join(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
+                 text: str = "text", row_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """All links between different sets, and the documents of the sets.
+
+    Links: a < b, sizes, copies (documents) of both sets, overlap. Documents: id, text hash,
+    set (null without words).
+    """
+    sets = _Sets(documents, text, row_id, size, percent)
+    links = _linked(sets, _groups(sets, percent), percent, True)
+    return links, sets.rows.select(F.col("doc").alias(row_id), "text_hash", "set")
+
+
+def near_duplicates(documents: DataFrame, size: int = SHINGLE_WORDS, percent: int = PERCENT,
+                    text: str = "text", row_id: str = "doc_id", count_links: bool = False) -> DataFrame:
+    """One row per document: its id and text hash, `n_shingles` and `component_id`.
+
+    With `count_links` also `n_links`, the number of other documents it is linked with.
+    """
+    sets = _Sets(documents, text, row_id, size, percent)
+    linked = _groups(sets, percent)
+    groups = linked[0]
     rows = sets.rows.select("doc", "text_hash", "set", "n").join(groups, "set", "left")
     rows = rows.withColumn("grp", F.coalesce("grp", "set"))
     smallest = rows.filter("grp IS NOT NULL").groupBy("grp").agg(F.min("doc").alias("least"))
-    return rows.join(smallest, "grp", "left").select(
+    columns = [
         F.col("doc").alias(row_id), "text_hash", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc")).alias("component_id"),
-    )
+    ]
+    if count_links:
+        copies = _copies(sets).select("set", (F.col("copies") - 1).alias("links"))
+        links = _linked(sets, linked, percent, False).unionByName(copies)
+        rows = rows.join(links.groupBy("set").agg(F.sum("links").alias("n_links")), "set", "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return rows.join(smallest, "grp", "left").select(*columns)

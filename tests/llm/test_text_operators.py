@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from brute import ODD
 
-from subtally.llm.jaccard_join import near_duplicates
+from subtally.llm.jaccard_join import jaccard_join, near_duplicates
 from subtally.llm.quality_rules import score_quality
 from subtally.llm.substring_dedup import difference_cover, remove_passages
 from subtally.llm.suffix_dedup import remove_repeats, repeated_strings
@@ -106,6 +106,30 @@ def test_groups_of_long_lists(docs, monkeypatch):
     assert got == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("tokens", [1 << 18, 300], ids=["one block", "blocks"])
+@pytest.mark.parametrize("rows", [near_copies(9, 150), ODD, []], ids=["copies", "odd", "none"])
+def test_all_links(docs, monkeypatch, rows, tokens):
+    """Every link between different texts, also within known groups, and their number."""
+    monkeypatch.setattr("subtally.llm.jaccard_join.LINK_TOKENS", tokens)
+    monkeypatch.setattr("subtally.llm.jaccard_join.LINK_COLUMNS", 64)
+    monkeypatch.setattr("subtally.llm.jaccard_join.SHORT_LIST", 4)
+    sets = [brute.shingle_set(t) for _, t in rows]
+    close = [[bool(x & y) and 100 * len(x & y) >= 75 * len(x | y) for y in sets] for x in sets]
+    got = collected(near_duplicates(docs(rows), count_links=True), "doc_id", "n_links")
+    want = [(d, sum(near) - near[i]) for i, ((d, _), near) in enumerate(zip(rows, close))]
+    assert got == sorted(want, key=repr)
+    links, members = jaccard_join(docs(rows))
+    names = {}
+    for r in members.filter("set IS NOT NULL").collect():
+        names.setdefault(r.set, []).append(r.doc_id)
+    found = [(r.a, r.b) for r in links.collect()]
+    assert len(found) == len(set(found)) and all(a < b for a, b in found)
+    assert all(r.copies_a == len(names[r.a]) and r.copies_b == len(names[r.b]) for r in links.collect())
+    pairs = {frozenset((d, e)) for a, b in found for d in names[a] for e in names[b]}
+    assert pairs == {frozenset((rows[i][0], rows[j][0])) for i in range(len(rows)) for j in range(i)
+                     if close[i][j] and sets[i] != sets[j]}
+
+
 def test_counts(docs, spark, sf_dir):
     rows = ODD + [(100, "a b\na b\n\n \nc\nc\na b"), (101, "x|y <b> 100% #1"), (102, "é ü\nß")]
     rows += [(1000 + d, t) for d, t in duckdb.sql(
