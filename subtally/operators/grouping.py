@@ -7,6 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Pieces of an order for each shuffle partition, and sampled rows for each piece.
+PIECES_PER_PARTITION = 4
+SAMPLES_PER_PIECE = 4
+
 
 def first_per_group(
     frame: DataFrame, keys: Sequence[str | Column], order: Sequence[Column], rank: str = "rn"
@@ -25,55 +29,107 @@ def not_in(frame: DataFrame, key: str, values: DataFrame) -> DataFrame:
 
     Nothing is left when `values` holds a NULL, everything when it is empty, and a NULL
     key is otherwise dropped. Spark would answer `NOT IN` by broadcasting `values`
-    whatever its size; here the two facts about it are scalar subqueries and the
-    matching is an ordinary anti join.
+    whatever its size. Here one aggregate yields both facts about `values` as a relation of
+    one row, which every row of `frame` is held against, and the matching is an ordinary
+    anti join.
     """
     (name,) = values.columns
-    value = F.col(name)
-    has_null = values.select(F.coalesce(F.bool_or(value.isNull()), F.lit(False))).scalar()
-    is_empty = values.select(F.count(F.lit(1)) == 0).scalar()
-    candidates = frame.filter(~has_null).filter(F.col(key).isNotNull() | is_empty)
-    listed = values.select(value.alias("__listed"))
-    return candidates.join(listed, candidates[key] == listed["__listed"], "left_anti")
+    listed = values.select(F.col(name).alias("__listed"))
+    size, known = F.count(F.lit(1)), F.count("__listed")
+    # 2: empty, so that every key is kept; 1: without NULL, known keys only; 0: none.
+    fact = listed.agg(F.when(size == 0, 2).when(size == known, 1).otherwise(0).alias("fact")).scalar()
+    comparable = fact >= F.when(F.col(key).isNull(), 2).otherwise(1)
+    return frame.filter(comparable).join(listed, F.col(key) == F.col("__listed"), "left_anti")
+
+
+def ordered_place(names: Sequence[str]) -> Column:
+    """A struct that compares like the named columns in ascending order, NULL last."""
+    fields = []
+    for i, name in enumerate(names):
+        fields += [F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}")]
+    return F.struct(*fields)
+
+
+def with_pieces(frame: DataFrame, names: Sequence[str], piece: str = "__piece") -> DataFrame:
+    """Cut the order of all rows by `names` into numbered pieces of about equal size.
+
+    The numbers grow along the order, so a key that leads it may lie in many pieces, and
+    no piece holds more than a small share of all rows, whoever they belong to. Rows equal
+    in all of `names` stay together. The cuts come from a sample of fixed size per shuffle
+    partition, the rows of smallest hash, taken as a scalar subquery of the same query;
+    each row finds its piece by binary search. The cuts only balance the work: whatever
+    they are, numbers follow the order.
+    """
+    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = PIECES_PER_PARTITION * partitions
+    place = ordered_place(names)
+    sample = (
+        frame.select(place.alias("place"))
+        .orderBy(F.xxhash64("place"))
+        .limit(wanted * SAMPLES_PER_PIECE)
+        .agg(F.sort_array(F.collect_list("place")).alias("sorted"))
+    )
+    every = F.filter("sorted", lambda _, i: i % SAMPLES_PER_PIECE == SAMPLES_PER_PIECE - 1)
+    # A column of generated code, read by reference and dropped before any row is copied.
+    found = frame.withColumns(
+        {"__cuts": sample.select(every).scalar(), "__place": place, piece: F.lit(0)}
+    )
+    for k in range(wanted.bit_length() - 1, -1, -1):
+        further = F.col(piece) + (1 << k)
+        # A place beyond the last cut is NULL, which is no reason to go on.
+        passed = F.get("__cuts", further - 1) <= F.col("__place")
+        found = found.withColumn(piece, F.when(passed, further).otherwise(F.col(piece)))
+    return found.drop("__cuts", "__place")
 
 
 def with_neighbours(
     frame: DataFrame,
     key: str,
-    order: Sequence[Column],
-    chunk: Column,
+    order: Sequence[str],
     lags: Mapping[str, str],
     leads: Mapping[str, str],
 ) -> DataFrame:
     """Previous (`lags`) and next (`leads`) values per `key` in `order`, as name -> source.
 
-    For keys of unbounded size. Each key is cut into chunks and no task holds more than
-    one of them. `chunk` must follow the order: it only grows along it, NULL last. The
-    first and last row of each chunk then take their outer neighbour in a second window
-    that holds nothing but such edge rows, two per chunk and key.
+    For keys of unbounded size: `order` is ascending, NULL last, and should tell all rows
+    of a key apart. All rows are cut into pieces along (key, order) and shuffled once, by
+    piece. Each piece finds its neighbours by itself; then its first and last row alone, two
+    rows a piece whatever the size of the data, are laid side by side and stitched.
     """
-    inner = Window.partitionBy(key, "__chunk").orderBy(*order)
-    cut = frame.withColumn("__chunk", chunk).withColumns(
+    names = [key, *order]
+    inside = Window.partitionBy("__piece").orderBy(*[F.asc_nulls_last(name) for name in names])
+    held, after = F.lag(F.struct(key)).over(inside), F.lead(F.struct(key)).over(inside)
+    same_before = held.getField(key).eqNullSafe(F.col(key))
+    same_after = after.getField(key).eqNullSafe(F.col(key))
+    cut = with_pieces(frame, names).withColumns(
         {
-            "__position": F.row_number().over(inner),
-            "__last": F.lead(F.lit(1)).over(inner).isNull(),
-            **{name: F.lag(source).over(inner) for name, source in lags.items()},
-            **{name: F.lead(source).over(inner) for name, source in leads.items()},
+            "__first": held.isNull(),
+            "__last": after.isNull(),
+            **{name: F.when(same_before, F.lag(source).over(inside)) for name, source in lags.items()},
+            **{name: F.when(same_after, F.lead(source).over(inside)) for name, source in leads.items()},
         }
     )
-    first = F.col("__position") == 1
-    edge = first | F.col("__last")
-    outer = Window.partitionBy(key, "__edge", "__spread").orderBy(*order, "__position")
-    joined = cut.withColumns({"__edge": edge, "__spread": F.when(~edge, F.col("__chunk"))})
-    return joined.withColumns(
-        {
-            **{
-                name: F.when(first, F.lag(source).over(outer)).otherwise(F.col(name))
-                for name, source in lags.items()
-            },
-            **{
-                name: F.when(F.col("__last"), F.lead(source).over(outer)).otherwise(F.col(name))
-                for name, source in leads.items()
-            },
-        }
-    ).drop("__chunk", "__position", "__last", "__edge", "__spread")
+
+    def edge(where: str, sources: Mapping[str, str]) -> Column:
+        values = [F.col(source).alias(name) for name, source in sources.items()]
+        return F.max(F.when(F.col(where), F.struct(F.col(key).alias("__key"), *values)))
+
+    edges = cut.filter("__first OR __last").groupBy("__piece").agg(
+        edge("__first", leads).alias("head"), edge("__last", lags).alias("tail")
+    )
+    along = Window.orderBy("__piece")
+    seams = edges.select(
+        "__piece", F.lag("tail").over(along).alias("__tail"), F.lead("head").over(along).alias("__head")
+    )
+    joined = cut.join(seams, "__piece", "left")
+
+    def stitched(name: str, where: str, seam: str) -> Column:
+        of_key = F.col(seam).isNotNull() & F.col(f"{seam}.__key").eqNullSafe(F.col(key))
+        outer = F.when(of_key, F.col(f"{seam}.{name}"))
+        return F.when(F.col(where), outer).otherwise(F.col(name)).alias(name)
+
+    return joined.select(
+        *frame.columns,
+        *[stitched(name, "__first", "__tail") for name in lags],
+        *[stitched(name, "__last", "__head") for name in leads],
+    )

@@ -68,14 +68,13 @@ def paid_history(t: BillingTables) -> DataFrame:
 def price_changes(history: DataFrame) -> DataFrame:
     """Next price and date and previous subscription id along each customer's lines.
 
-    A customer's lines are not bounded by anything, hence the cut into days.
+    A customer's lines are not bounded by anything, hence neighbours across pieces.
     """
     names = ["subscription_start", "invoice_id", "line_key", "subscription_price"]
     return with_neighbours(
         history.select("customer", "subscription", *names),
         key="customer",
-        order=[F.asc_nulls_last(name) for name in names],
-        chunk=F.to_date("subscription_start"),
+        order=names,
         lags={"prev_subscription": "subscription"},
         leads={
             "next_subscription_price": "subscription_price",
