@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from subtally.llm import bpe, oracles
 from subtally.llm.co_training import classify
 from subtally.llm.common import hex_digest, read
+from subtally.llm.decontamination import decontaminate
 from subtally.llm.jaccard_join import near_duplicates
 from subtally.llm.license_scan import scan_licenses
 from subtally.llm.metric_search import search
@@ -107,6 +108,15 @@ def op10_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, hit words and benchmark items of every document."""
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate(documents, read(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        hex_digest(F.array_join("items", ",")).alias("items_sha256"), "contaminated",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filters": op1_url_filters,
@@ -119,6 +129,7 @@ def queries() -> dict[str, Query]:
         "op8_co_training": op8_co_training,
         "op9_license_scan": op9_license_scan,
         "op10_metric_search": op10_metric_search,
+        "op12_decontamination": op12_decontamination,
     }
 
 
@@ -129,4 +140,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_jaccard_join": oracles.jaccard_join(),
         "op9_license_scan": oracles.license_scan(),
         "op10_metric_search": oracles.METRIC_SEARCH,
+        "op12_decontamination": oracles.DECONTAMINATION,
     }

@@ -143,3 +143,37 @@ s AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
        vec_id, score
 FROM s QUALIFY rank <= 5"""
+
+
+DECONTAMINATION = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+),
+t AS (
+  SELECT DISTINCT item, size, array_to_string(w[s:s + size - 1], ' ') AS phrase
+  FROM (SELECT item, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s
+        FROM b WHERE len(w) > 0)
+),
+o AS (
+  SELECT n, s, d.size, array_to_string(w[s:s + size - 1], ' ') AS phrase
+  FROM (SELECT n, w, size, unnest(range(1, len(w) - size + 2)) AS s
+        FROM d JOIN (SELECT DISTINCT size FROM t) ON len(w) >= size) d
+),
+f AS (SELECT o.n, o.s, o.size, t.item FROM o JOIN t ON o.size = t.size AND o.phrase = t.phrase),
+h AS (SELECT n, count(DISTINCT word) AS n_hit
+      FROM (SELECT n, unnest(range(s, s + size)) AS word FROM f) GROUP BY n),
+i AS (SELECT n, list_sort(list(DISTINCT item)) AS items FROM f WHERE item IS NOT NULL GROUP BY n)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (n) LEFT JOIN i USING (n)"""

@@ -7,7 +7,7 @@ import pytest
 
 from subtally.llm import catalog
 
-TABLES = ("documents", "embeddings", "pages", "labels")
+TABLES = ("documents", "embeddings", "pages", "labels", "benchmark", "conversations")
 
 
 @pytest.mark.parametrize("key", list(catalog.oracle_sql()))
