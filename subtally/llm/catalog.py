@@ -12,6 +12,7 @@ from subtally.llm import bpe, oracles
 from subtally.llm.co_training import classify
 from subtally.llm.common import hex_digest, read
 from subtally.llm.decontamination import decontaminate
+from subtally.llm.hard_negatives import mine
 from subtally.llm.jaccard_join import near_duplicates
 from subtally.llm.license_scan import scan_licenses
 from subtally.llm.metric_search import search
@@ -108,6 +109,13 @@ def op10_metric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five negatives for each of five positives of every hundredth vector."""
+    embeddings = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(embeddings.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, hit words and benchmark items of every document."""
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -129,6 +137,7 @@ def queries() -> dict[str, Query]:
         "op8_co_training": op8_co_training,
         "op9_license_scan": op9_license_scan,
         "op10_metric_search": op10_metric_search,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_decontamination": op12_decontamination,
     }
 
@@ -140,5 +149,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_jaccard_join": oracles.jaccard_join(),
         "op9_license_scan": oracles.license_scan(),
         "op10_metric_search": oracles.METRIC_SEARCH,
+        "op11_hard_negatives": oracles.HARD_NEGATIVES,
         "op12_decontamination": oracles.DECONTAMINATION,
     }

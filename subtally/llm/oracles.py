@@ -177,3 +177,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (n) LEFT JOIN i USING (n)"""
+
+
+HARD_NEGATIVES = """
+WITH e AS (
+  SELECT row_number() OVER () AS n, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.n AS anchor, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM e a JOIN e c ON a.vec_id % 100 = 0 AND a.n <> c.n
+),
+p AS (
+  SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE same QUALIFY place <= 5
+)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, place ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT same
+ AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5"""
