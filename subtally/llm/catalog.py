@@ -17,6 +17,7 @@ from subtally.llm.jaccard_join import near_duplicates
 from subtally.llm.license_scan import scan_licenses
 from subtally.llm.metric_search import search
 from subtally.llm.packing import pack
+from subtally.llm.prefix_trie import conversation_trie
 from subtally.llm.quality_rules import score_quality
 from subtally.llm.substring_dedup import remove_passages
 from subtally.llm.suffix_dedup import remove_repeats
@@ -125,6 +126,11 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of the conversations with shared openings."""
+    return conversation_trie(read(spark, sf_dir, "conversations"), shared=True).drop("n_words")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filters": op1_url_filters,
@@ -139,6 +145,7 @@ def queries() -> dict[str, Query]:
         "op10_metric_search": op10_metric_search,
         "op11_hard_negatives": op11_hard_negatives,
         "op12_decontamination": op12_decontamination,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -151,4 +158,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_metric_search": oracles.METRIC_SEARCH,
         "op11_hard_negatives": oracles.HARD_NEGATIVES,
         "op12_decontamination": oracles.DECONTAMINATION,
+        "op13_prefix_trie": oracles.PREFIX_TRIE,
     }

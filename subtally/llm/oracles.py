@@ -204,3 +204,50 @@ SELECT p.anchor_id, positive_id,
 FROM p JOIN s ON s.anchor = p.anchor AND NOT same
  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
 QUALIFY rank <= 5"""
+
+
+# CRC-32 by bit steps: a byte to combine (plus one), then eight shifts (zeros); 3988292384 is
+# its reversed polynomial.
+PREFIX_TRIE = r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+         struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS said
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (SELECT conv_id, list(said ORDER BY pos) AS said FROM t GROUP BY conv_id),
+m AS (
+  SELECT conv_id, said, conv_id - conv_id % 20 AS base,
+         CAST(xor(list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+             string_split(CAST(conv_id AS VARCHAR), ''),
+             lambda c: [CAST(ascii(c) + 1 AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda c, s: CASE WHEN s > 0 THEN xor(c, s - 1)
+                             WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END),
+           4294967295) % 4 AS INTEGER) AS h
+  FROM own
+),
+c AS (
+  SELECT m.conv_id, list_concat(coalesce(b.said, [])[1:m.h], m.said[m.h + 1:]) AS said
+  FROM m LEFT JOIN own b ON b.conv_id = m.base
+),
+p AS (SELECT conv_id, d AS depth, said[1:d] AS path, len(said) = d AS last
+      FROM (SELECT conv_id, said, unnest(range(0, len(said) + 1)) AS d FROM c)),
+n AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '') AS ends,
+         CASE WHEN depth = 0 THEN 0 ELSE len(list_filter(regexp_split_to_array(
+           path[depth].x, '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS words
+  FROM p GROUP BY path, depth
+),
+k AS (SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children
+      FROM n WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path, depth)),
+s AS (
+  SELECT up.path, sum((f.n_convs - 1) * f.words) AS saved, count(*) FILTER (f.n_children = 0) AS leaves
+  FROM (SELECT f.path, f.n_convs, f.words, f.n_children, unnest(range(0, f.depth + 1)) AS d FROM f) f
+  JOIN f up ON up.depth = f.d AND up.path = f.path[1:f.d]
+  GROUP BY up.path
+)
+SELECT f.conv_id, f.depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN s USING (path) LEFT JOIN f q ON f.depth > 0 AND q.depth = f.depth - 1 AND q.path = f.path[1:f.depth - 1]"""
