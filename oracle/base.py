@@ -36,6 +36,9 @@ lines AS (
   FROM (
     SELECT 'il_' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey
              || '_' || CAST(round(l_extendedprice * 100) AS BIGINT) AS line_key,
+           CASE WHEN l_linenumber % 3 = 0 THEN 'il_' || l_orderkey || '_' || l_linenumber
+                ELSE 'il_' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey
+                       || '_' || CAST(round(l_extendedprice * 100) AS BIGINT) END AS json_id,
            'in_' || l_orderkey AS invoice_id,
            CASE l_returnflag WHEN 'R' THEN 'invoiceitem' ELSE 'subscription' END AS type,
            CAST(round(l_extendedprice * 100) AS BIGINT) AS amount,

@@ -24,12 +24,17 @@ class Flavour:
         return "".join(f", {name}" for name in names if used[name])
 
 
+#: The discount of a line id: of its rows, the smallest first element of a list.
+FIRST_DISCOUNT = "SELECT json_id, min(discounts[1]) AS off FROM lines GROUP BY json_id"
+
+
 def candidates(f: Flavour) -> str:
     """Paid subscription lines that compete for a customer's month."""
     discount = "0"
     joins = ""
     if f.net and f.json:
-        discount = "discounts[1]"
+        discount = "off"
+        joins = f"\n  LEFT JOIN ({FIRST_DISCOUNT}) d USING (json_id)"
     elif f.net:
         discount = "off"
         joins = """
@@ -44,7 +49,8 @@ def candidates(f: Flavour) -> str:
         subscription = ", NULL AS canceled, NULL AS reason"
     return f"""
 candidates AS (
-  SELECT i.invoice_id, i.customer, i.email, i.status, l.line_key, l.line_start, l.line_end,
+  SELECT i.invoice_id, i.customer, i.email, i.status, {"l.json_id" if f.json else "l.line_key"} AS line_key,
+         l.line_start, l.line_end, l.amount,
          {discount} AS discount,
          round_even((coalesce(l.amount, 0)::DOUBLE - coalesce({discount}, 0)::DOUBLE) / 100, 0)
            AS total{subscription}
@@ -58,8 +64,8 @@ winners AS (
   SELECT * FROM candidates
   QUALIFY row_number() OVER (
     PARTITION BY customer, date_trunc('month', line_start)
-    ORDER BY line_start DESC NULLS FIRST, invoice_id, line_key,
-             discount NULLS LAST, canceled NULLS LAST, reason NULLS LAST) = 1
+    ORDER BY line_start DESC NULLS FIRST, invoice_id, line_key, line_end NULLS LAST,
+             amount NULLS LAST, discount NULLS LAST, canceled NULLS LAST, reason NULLS LAST) = 1
 )"""
 
 
@@ -196,7 +202,7 @@ def delinquent(f: Flavour) -> str:
   LEFT JOIN (SELECT line_key, unnest(discounts) AS off FROM lines) d USING (line_key)"""
         off = "off"
     else:
-        joins, off = "", "discounts[1]"
+        joins, off = f"\n  LEFT JOIN ({FIRST_DISCOUNT}) d USING (json_id)", "off"
     return f"""
 failed AS (
   SELECT s.sub_id, s.customer, s.status, s.reason, i.invoice_id, l.line_key, l.line_start,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subtally.functions.money import net_units
-from subtally.operators.lines import invoice_lines, with_product_prices
+from subtally.operators.lines import invoice_lines, with_first_discount, with_product_prices
 from subtally.operators.periods import PAYMENT_FAILED, reasoned_subscriptions
 from subtally.sources.tables import BillingTables
 
@@ -35,6 +35,8 @@ def failed_payments(t: BillingTables, net: bool = False) -> DataFrame:
     invoices = t.invoices.select(F.col("id").alias("invoice_id"))
     wanted = failed.select("invoice_id")
     lines = invoice_lines(t, kind=None, product="price", discount=net, only=wanted)
+    if net and t.is_json:
+        lines = with_first_discount(t, lines)
     rows = failed.join(invoices, "invoice_id").join(lines, "invoice_id")
     priced = with_product_prices(t, rows)
     columns = ["id", "customer", "status", "reason", "invoice_id", "product_name", "price_cents"]

@@ -36,16 +36,16 @@ def invoice_lines(
     Always invoice_id, line_key, amount; then line_start and line_end (`period`),
     product (of the line's price or plan), interval, discount. `how` is the join to
     period and price. A line whose plan or interval is missing is dropped when either
-    is asked for. A normalized line comes once per discount row, a JSON line has the
-    first element of its own discount list. `only` (one column, invoice_id) cuts the lines
-    down to those invoices before the parts are joined.
+    is asked for. `discount` gives a normalized line once per discount row; the JSON layout
+    has its discounts per line id, see `with_first_discount`. `only` (one column, invoice_id)
+    cuts the lines down to those invoices before the parts are joined.
     """
     lines = t.invoice_line_items
     if kind is not None:
         lines = lines.filter(F.col("type") == kind)
     if t.is_json:
         lines = _of_invoices(lines, only)
-        return _json_lines(lines, period, product is not None, interval, discount)
+        return _json_lines(lines, period, product is not None, interval)
     rows = lines.select(
         F.col(LINE_HASH).alias("line_key"), F.col(invoice_column).alias("invoice_id"), "amount"
     )
@@ -83,9 +83,7 @@ def _child(t: BillingTables, name: str, **columns: str) -> DataFrame:
     return table.select(F.col(LINE_HASH).alias("line_key"), *renamed)
 
 
-def _json_lines(
-    lines: DataFrame, period: bool, product: bool, interval: bool, discount: bool
-) -> DataFrame:
+def _json_lines(lines: DataFrame, period: bool, product: bool, interval: bool) -> DataFrame:
     columns: list = ["invoice_id", F.col("id").alias("line_key"), "amount"]
     if product:
         columns.append(jsontext.field(F.col("price"), "product").alias("product"))
@@ -95,12 +93,32 @@ def _json_lines(
         lines = lines.withColumn("span", jsontext.epoch_range(F.col("period")))
         columns.append(epoch_timestamp(F.col("span.start")).alias("line_start"))
         columns.append(epoch_timestamp(F.col("span.end")).alias("line_end"))
-    if discount:
-        columns.append(jsontext.first_amount(F.col("discount_amounts")).alias("discount"))
     rows = lines.select(*columns)
     return rows.filter(F.col("interval").isNotNull()) if interval else rows
 
 
+def first_discounts(t: BillingTables) -> DataFrame:
+    """line_key, discount of the JSON layout: one row for each line id that has a discount.
+
+    A line id may be that of several rows, and its discount is the first element of the list
+    of any of them. Which row counts is open; here it is the one whose first element is
+    smallest, a minimum that every map task takes before the shuffle.
+    """
+    first = jsontext.first_amount(F.col("discount_amounts"))
+    listed = t.invoice_line_items.select(F.col("id").alias("line_key"), first.alias("discount"))
+    known = listed.filter(F.col("line_key").isNotNull() & F.col("discount").isNotNull())
+    return known.groupBy("line_key").agg(F.min("discount").alias("discount"))
+
+
+def with_first_discount(t: BillingTables, lines: DataFrame) -> DataFrame:
+    """Add the discount of each line's id; a line without one, or without an id, has NULL.
+
+    The right side has one row per id, so a hot id multiplies nothing and its lines can be
+    split by adaptive execution.
+    """
+    return lines.join(first_discounts(t), "line_key", "left")
+
+
 def with_product(t: BillingTables, lines: DataFrame, how: str = "inner") -> DataFrame:
     """Add product_name of the line's product."""
     products = t.products.select(F.col("id").alias("product"), F.col("name").alias("product_name"))

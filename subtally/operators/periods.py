@@ -11,7 +11,7 @@ from subtally.functions import jsontext
 from subtally.functions.dates import month_starts
 from subtally.functions.money import monthly_share, net_units, whole_units
 from subtally.operators.grouping import first_per_group
-from subtally.operators.lines import invoice_lines, with_product_prices
+from subtally.operators.lines import invoice_lines, with_first_discount, with_product_prices
 from subtally.sources.schemas import SUBSCRIPTION_HASH
 from subtally.sources.tables import BillingTables
 
@@ -61,9 +61,10 @@ def keep_invoice(
     whose subscription failed on payment, after the choice was made. `how="left"` keeps
     invoices of unknown subscriptions and lines without a period.
 
-    Equal starts are decided by invoice and line. The line end, last in that order,
-    decides nothing more; it makes this read of the periods the same as the one in
-    `billed_lines`, so that both share one shuffle of them.
+    Equal starts are decided by invoice, line and line end. The line end decides only among
+    JSON lines of one id; it makes this read of the periods the same as the one in
+    `billed_lines`, so that both share one shuffle of them. A JSON line's discount hangs on
+    its id, so it is looked up for the winners alone.
     """
     invoices = t.invoices.filter(F.col("status") == PAID).select(
         F.col("id").alias("invoice_id"), "customer", "customer_email", "status", "subscription"
@@ -76,7 +77,7 @@ def keep_invoice(
     )
     ties = [
         F.asc_nulls_last(name)
-        for name in ("invoice_id", "line_key", "discount", "line_end", "canceled_date", "reason")
+        for name in ("invoice_id", "line_key", "line_end", *["amount", "discount"] * net, "canceled_date", "reason")
         if name in rows.columns
     ]
     kept = first_per_group(
@@ -85,6 +86,7 @@ def keep_invoice(
     if drop_failed:
         kept = kept.filter(F.col("reason") != PAYMENT_FAILED)
     if net:
+        kept = with_first_discount(t, kept) if t.is_json else kept
         kept = kept.withColumn("total", net_units(F.col("amount"), F.col("discount")))
     wanted = ["canceled_date"] * (cancel or reason) + ["reason"] * reason + ["total"] * net
     return kept.select(

@@ -37,7 +37,7 @@ def first_invoices(t: BillingTables) -> DataFrame:
             "month": F.month("line_start"),
         }
     )
-    order = ["subscription_start", "invoice_id", "line_key"]
+    order = ["subscription_start", "invoice_id", "line_key", "product_name", "subscription_end"]
     return first_per_group(dated, ["customer"], [F.asc_nulls_last(name) for name in order])
 
 

@@ -90,6 +90,9 @@ class _Star:
                 _tag("_", F.col("l_partkey")), _tag("_", F.col("l_suppkey")),
                 _tag("_", _cents(F.col("l_extendedprice"))),
             ).alias("id"),
+            F.when(number % 3 == 0, F.concat(_tag("il_", F.col("l_orderkey")), _tag("_", number))).alias(
+                "shared_id"
+            ),
             _tag("in_", F.col("l_orderkey")).alias("invoice_id"),
             F.when(F.col("l_returnflag") == "R", "invoiceitem")
             .otherwise("subscription")
@@ -220,9 +223,10 @@ def _normalized(wide: Callable[[str], DataFrame], name: str) -> DataFrame:
 
 
 def _with_json_columns(lines: DataFrame) -> DataFrame:
+    """Lines of the JSON layout; every third line number of an invoice shares one line id."""
     discounts = F.transform("discounts", lambda cents: F.struct(cents.alias("amount")))
     return lines.select(
-        "id",
+        F.coalesce("shared_id", "id").alias("id"),
         "invoice_id",
         "type",
         "amount",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from subtally.functions.dates import clock, month_label, month_starts
-from subtally.operators import movements, periods
+from subtally.operators import delinquency, movements, periods
 from subtally.operators.grouping import not_in
 from subtally.plans import analytics, arpu, counts, mrr, receivables
 from tests.ledger import epoch, invoice, ledger, line, rows, subscription
@@ -218,6 +218,40 @@ def test_discounts_multiply_lines_or_first_counts(spark, layout, candidates, tot
     assert periods.keep_invoice(t, net=True).first().total == total
 
 
+@pytest.mark.parametrize("own,others,total", [
+    ([], [[300, 100]], 7.0),
+    ([], [[], [200]], 8.0),
+    ([500], [[], []], 5.0),
+    ([500], [[300, 900]], 7.0),  # which row counts is open: the smallest first element
+    ([], [[], []], 10.0),
+])
+def test_json_discount_hangs_on_the_line_id(spark, own, others, total):
+    """Rows of other invoices and types count, when they have the line's id."""
+    t = ledger(
+        spark, "json", [invoice("i1")],
+        [line("i1", "2023-01-01", "2023-02-01", id="same", discounts=own)]
+        + [line(f"x{i}", "2023-01-01", "2023-02-01", id="same", type="invoiceitem", discounts=d)
+           for i, d in enumerate(others)]
+        + [line("i2", "2023-01-01", "2023-02-01", id="another", discounts=[50])],
+    )
+    assert [r.total for r in periods.keep_invoice(t, net=True).collect()] == [total]
+
+
+def test_json_line_without_id_has_no_discount(spark):
+    t = ledger(spark, "json", [invoice("i1")],
+               [line("i1", "2023-01-01", "2023-02-01", id=None, discounts=[300])])
+    assert [r.total for r in periods.keep_invoice(t, net=True).collect()] == [10.0]
+
+
+def test_delinquent_json_lines_share_the_discount_of_their_id(spark):
+    t = ledger(
+        spark, "json", [invoice("i1")],
+        [line("i1", "2023-01-01", "2023-02-01", id="same"), line("i9", "2023-01-01", "2023-02-01", id="same", discounts=[300])],
+        [subscription(latest_invoice="i1", canceled_at=1, reason="payment_failed")],
+    )
+    assert [r.total for r in delinquency.failed_payments(t, net=True).collect()] == [7.0]
+
+
 @BOTH
 def test_lapse_without_free_move_is_lost(spark, layout):
     t = ledger(spark, layout, [invoice("i1")], [line("i1", "2023-01-01", "2023-02-01")], [subscription()])
