@@ -49,23 +49,40 @@ def running(
 ) -> DataFrame:
     """Add running totals per key along `order` (ascending, no nulls), the row's own included.
 
-    For keys of unbounded size: totals run inside pieces of the order, and the totals of a
-    key's earlier pieces, one row for each key and piece, are added.
+    For keys of unbounded size: rows are dealt by pieces of the order, totals run inside each
+    piece, and only a piece's first key can go on from earlier pieces. What it brings along is
+    added up over one row for each piece.
     """
     kinds = {**{n: (c, F.sum) for n, c in (sums or {}).items()}, **{n: (c, F.bit_xor) for n, c in (xors or {}).items()}}
-    values = {f"__{name}": column for name, (column, _) in kinds.items()}
-    cut = with_pieces(frame.withColumns(values), [key, *order])
-    inside = Window.partitionBy("__piece", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(key).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
-    totals = cut.groupBy("__piece", key).agg(*[f(f"__{n}").alias(f"__{n}") for n, (_, f) in kinds.items()])
-    carried = totals.select(
-        "__piece", key, *[F.coalesce(f(f"__{n}").over(earlier), F.lit(0)).alias(f"__c_{n}") for n, (_, f) in kinds.items()]
+    cut = with_pieces(frame.withColumns({f"__{n}": c for n, (c, _) in kinds.items()}), [key, *order])
+    cut = cut.repartition("__piece")
+    inside = Window.partitionBy("__piece", key).orderBy(*order)
+    far = inside.rowsBetween(Window.unboundedPreceding, 0)
+    piece = Window.partitionBy("__piece").orderBy(key, *order)
+    inner = cut.withColumns({
+        "__first": F.lag(key).over(piece).isNull(), "__last": F.lead(key).over(piece).isNull(),
+        **{n: f(f"__{n}").over(far) for n, (_, f) in kinds.items()},
+    })
+    ends = inner.filter("__first OR __last").groupBy("__piece").agg(
+        F.max(F.when(F.col("__first"), F.col(key))).alias("head"),
+        F.max(F.when(F.col("__last"), F.struct(F.col(key).alias("key"), *kinds))).alias("tail"),
     )
-    both = cut.withColumns({n: f(f"__{n}").over(inside) for n, (_, f) in kinds.items()}).join(carried, ["__piece", key])
+    along = Window.orderBy("__piece")
+    same = Window.partitionBy("tail.key").orderBy("__piece").rowsBetween(Window.unboundedPreceding, 0)
+    # One task holds a row for each piece.
+    brought = ends.repartition(1).withColumns({f"__{n}": f(f"tail.{n}").over(same) for n, (_, f) in kinds.items()})
+    carried = brought.select("__piece", F.col("head").alias("__head"), *[
+        F.when(F.lag("tail.key").over(along) == F.col("head"), F.lag(f"__{n}").over(along)).alias(f"__c_{n}")
+        for n in kinds
+    ])
+    both = inner.join(carried, "__piece")
     add = {F.sum: lambda a, b: a + b, F.bit_xor: lambda a, b: a.bitwiseXOR(b)}
-    return both.select(
-        *frame.columns, *[add[f](F.col(n), F.col(f"__c_{n}")).alias(n) for n, (_, f) in kinds.items()]
-    )
+
+    def total(name: str, how) -> Column:
+        earlier = F.when(F.col(key) == F.col("__head"), F.col(f"__c_{name}"))
+        return add[how](F.col(name), F.coalesce(earlier, F.lit(0))).alias(name)
+
+    return both.select(*frame.columns, *[total(n, f) for n, (_, f) in kinds.items()])
 
 
 def numbered_turns(
@@ -87,25 +104,40 @@ def numbered_turns(
     return placed.select("conv_id", "pos", "tid")
 
 
-def share_openings(turns: DataFrame, family: int = FAMILY, openings: int = OPENINGS) -> DataFrame:
-    """Numbered turns with the first ones replaced by those of the family's first conversation.
+def members_of(turns: DataFrame) -> DataFrame:
+    """conv_id and n_turns of every conversation."""
+    return turns.groupBy("conv_id").agg(F.count("*").alias("n_turns"))
+
+
+def share_openings(
+    turns: DataFrame, members: DataFrame, family: int = FAMILY, openings: int = OPENINGS
+) -> tuple[DataFrame, DataFrame]:
+    """Turns and members, with first turns replaced by those of the family's first conversation.
 
     Conversation c takes the first h turns of conversation c - c % family, with h the
     unsigned CRC-32 of its number modulo `openings`, and drops as many of its own.
     """
-    length = F.crc32(F.col("conv_id").cast("string")) % openings
     base = F.col("conv_id") - F.col("conv_id") % family
-    heads = turns.filter((base == F.col("conv_id")) & (F.col("pos") < openings)).select(
-        F.col("conv_id").alias("base"), F.col("pos").alias("head"), F.col("tid").alias("head_tid")
+    length = F.crc32(F.col("conv_id").cast("string")) % openings
+    heads = turns.filter((base == F.col("conv_id")) & (F.col("pos") < openings)).groupBy(
+        F.col("conv_id").alias("base")
+    ).agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "tid"))), lambda t: t["tid"]).alias("heads"))
+    none = F.array().cast("array<binary>")
+    told = stored(
+        members.withColumns({"h": length, "base": base}).join(stored(heads), "base", "left").select(
+            "conv_id", "n_turns", "h", F.slice(F.coalesce("heads", none), 1, F.col("h").cast("int")).alias("taken"),
+        )
     )
-    available = heads.groupBy("base").agg(F.count("*").alias("heads"))
-    own = turns.withColumns({"h": length, "base": base}).filter("pos > h").join(available, "base", "left").select(
-        "conv_id", (F.col("pos") - F.col("h") + F.least("h", F.coalesce("heads", F.lit(0)))).alias("pos"), "tid"
+    # Where the family's first conversation is too short, own turns move up; a small table as a rule.
+    gaps = stored(told.filter("size(taken) < h").select("conv_id", (F.size("taken") - F.col("h")).alias("gap")))
+    own = turns.filter(F.col("pos") > length).join(gaps, "conv_id", "left").select(
+        "conv_id", (F.col("pos") + F.coalesce("gap", F.lit(0))).alias("pos"), "tid"
     )
-    taken = turns.select("conv_id").distinct().withColumns({"h": length, "base": base}).join(heads, "base").filter(
-        "head <= h"
+    taken = told.select("conv_id", F.posexplode("taken").alias("at", "tid")).select(
+        "conv_id", (F.col("at") + 1).cast("long").alias("pos"), "tid"
     )
-    return own.unionByName(taken.select("conv_id", F.col("head").alias("pos"), F.col("head_tid").alias("tid")))
+    left = F.size("taken") + F.greatest(F.col("n_turns") - F.col("h"), F.lit(0))
+    return own.unionByName(taken), told.select("conv_id", left.alias("n_turns"))
 
 
 def _hashes(place: Column, turn_id: Column) -> tuple[Column, Column]:
@@ -114,7 +146,10 @@ def _hashes(place: Column, turn_id: Column) -> tuple[Column, Column]:
 
 
 def _blocks(turns: DataFrame, members: DataFrame) -> DataFrame:
-    """conv_id, block, key of the prior node, turn ids by place; a first block for every member."""
+    """conv_id, block, key of the prior node, turn ids by place; a first block for every member.
+
+    e1, e2 are the block's own part of the keys of prefixes that go beyond it.
+    """
     slot = (F.col("pos") - 1) % WIDTH
     one, two = _hashes(F.col("pos").cast("long"), F.col("tid"))
     cells = turns.groupBy("conv_id", F.expr(f"(pos - 1) div {WIDTH}").alias("block")).agg(  # WIDTH turns at most
@@ -122,11 +157,10 @@ def _blocks(turns: DataFrame, members: DataFrame) -> DataFrame:
         F.bit_xor(one).alias("e1"), F.bit_xor(two).alias("e2"),
     )
     keyed = running(stored(cells), "conv_id", ["block"], xors={"p1": F.col("e1"), "p2": F.col("e2")})
-    keyed = keyed.withColumns({"p1": F.col("p1").bitwiseXOR(F.col("e1")), "p2": F.col("p2").bitwiseXOR(F.col("e2"))})
-    silent = members.join(turns.select("conv_id").distinct(), "conv_id", "left_anti")
+    keyed = keyed.withColumns({f"p{i}": F.col(f"p{i}").bitwiseXOR(F.col(f"e{i}")) for i in (1, 2)})
     nothing = [F.lit(None).cast("binary").alias(name) for name in _SLOTS]
     zero = [F.lit(0).cast("long").alias(name) for name in ("block", "p1", "p2", "e1", "e2")]
-    return keyed.unionByName(silent.select("conv_id", *zero, *nothing))
+    return keyed.unionByName(members.filter("n_turns = 0").select("conv_id", *zero, *nothing))
 
 
 def _rolled_up(blocks: DataFrame, measures: str) -> DataFrame:
@@ -148,25 +182,23 @@ def _rolled_up(blocks: DataFrame, measures: str) -> DataFrame:
             folded = folded.bitwiseXOR(F.when(length > i, _hashes(place, F.col(name))[which]).otherwise(0))
         return folded
 
-    names = measures.split(" AS ")[1:]
+    names = [part.split(",")[0].strip() for part in measures.split(" AS ")[1:]]
     return nodes.select(
         key(0, F.col("j")).alias("k1"), key(1, F.col("j")).alias("k2"),
         key(0, F.col("j") - 1).alias("q1"), key(1, F.col("j") - 1).alias("q2"),
         (F.col("block") * WIDTH + F.col("j")).alias("depth"), "last",
-        *[name.split(",")[0].strip() for name in names],
+        *names,
     )
 
 
-def _ends(turns: DataFrame, members: DataFrame) -> DataFrame:
+def _ends(blocks: DataFrame) -> DataFrame:
     """k1, k2 and digest of the members that end at each node where any does.
 
     A digest is one stream by its nature: the members of a node pass in order through one
     task, which holds no more of them than a batch.
     """
-    one, two = _hashes(F.col("pos").cast("long"), F.col("tid"))
-    totals = turns.groupBy("conv_id").agg(F.bit_xor(one).alias("k1"), F.bit_xor(two).alias("k2"))
-    ends = members.join(totals, "conv_id", "left").select(
-        F.coalesce("k1", F.lit(0)).alias("k1"), F.coalesce("k2", F.lit(0)).alias("k2"), "conv_id"
+    ends = blocks.groupBy("conv_id").agg(F.bit_xor("e1").alias("k1"), F.bit_xor("e2").alias("k2")).select(
+        "k1", "k2", "conv_id"
     )
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,13 +227,12 @@ def _rows(done: list[tuple[int, int, str]]) -> pa.RecordBatch:
 
 
 def prefix_trie(turns: DataFrame, members: DataFrame) -> DataFrame:
-    """The nodes of the trie of numbered `turns` (conv_id, pos, tid) of all `members` (conv_id).
+    """The trie of numbered `turns` (conv_id, pos, tid) of all `members` (conv_id, n_turns).
 
-    conv_id, the smallest member; depth; parent_conv_id; n_convs; n_children; n_leaves,
-    saved_tokens over the subtree; ends_sha256 of the members that end there. `n_words` is
-    that of the last turn.
+    A row for each node: conv_id, the smallest member; depth; parent_conv_id; n_convs;
+    n_children; n_leaves and saved_tokens of the subtree; ends_sha256 of the members that end
+    there; n_words of the last turn.
     """
-    turns, members = stored(turns), stored(members)
     blocks = stored(_blocks(turns, members))
     words = F.conv(F.hex(F.substring("last", 17, 8)), 16, 10).cast("long")
     nodes = stored(
@@ -219,27 +250,22 @@ def prefix_trie(turns: DataFrame, members: DataFrame) -> DataFrame:
     )
     weight = (F.col("n_convs") - 1) * F.col("n_words")
     summed = stored(running(stored(linked), "conv_id", ["up"], sums={"below": weight}))
-    owned = summed.groupBy("conv_id").agg(
+    owned = stored(summed.groupBy("conv_id").agg(
         F.sum(weight).alias("owned_saved"), F.sum((F.col("n_children") == 0).cast("long")).alias("owned_leaves")
-    )
+    ))
     weighed = blocks.join(owned, "conv_id", "left").fillna(0, ["owned_saved", "owned_leaves"])
-    members_own = _rolled_up(weighed, "sum(owned_saved) AS all_saved, sum(owned_leaves) AS n_leaves").select(
-        "k1", "k2", "all_saved", "n_leaves"
-    )
-    ends = _ends(turns, members)
-    return (
-        summed.join(owned.select("conv_id", "owned_saved"), "conv_id")
-        .join(members_own, ["k1", "k2"]).join(ends, ["k1", "k2"], "left")
-        .select(
-            "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
-            (F.col("below") + F.col("all_saved") - F.col("owned_saved")).alias("saved_tokens"),
-            F.coalesce("ends_sha256", F.lit(hashlib.sha256().hexdigest())).alias("ends_sha256"), "n_words",
-        )
+    others = _rolled_up(
+        weighed, "sum(owned_saved) AS all_saved, min_by(owned_saved, conv_id) AS own_saved, sum(owned_leaves) AS n_leaves"
+    ).select("k1", "k2", (F.col("all_saved") - F.col("own_saved")).alias("beside"), "n_leaves")
+    return summed.join(others, ["k1", "k2"]).join(_ends(blocks), ["k1", "k2"], "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        (F.col("below") + F.col("beside")).alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.lit(hashlib.sha256().hexdigest())).alias("ends_sha256"), "n_words",
     )
 
 
 def conversation_trie(conversations: DataFrame, shared: bool = False, **columns: str) -> DataFrame:
     """The trie of all conversations, with openings shared inside families if `shared`."""
     turns = stored(numbered_turns(conversations, **columns))
-    members = turns.select("conv_id").distinct()
-    return prefix_trie(share_openings(turns) if shared else turns, members)
+    members = members_of(turns)
+    return prefix_trie(*share_openings(turns, members) if shared else (turns, members))
