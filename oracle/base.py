@@ -19,6 +19,7 @@ invoices AS (
          CASE WHEN o_orderkey % 4 = 0 THEN 'subscription_create'
               ELSE 'subscription_cycle' END AS billing_reason,
          'pi_' || o_orderkey AS payment_intent,
+         CAST(o_orderkey % 4 AS INTEGER) AS attempt_count,
          CAST(epoch(o_orderdate) AS BIGINT) AS from_s,
          CAST(epoch(o_orderdate) AS BIGINT) + 2592000 AS to_s,
          CAST(round(o_totalprice * 100) AS BIGINT) AS total,
@@ -63,6 +64,7 @@ subs AS (
          last_seen AS from_s,
          last_seen + 2592000 AS to_s,
          CASE WHEN c_custkey % 6 IN (3, 4) THEN last_seen + 3456000 END AS cancel_s,
+         c_custkey % 2 = 0 AS cancel_at_period_end,
          CASE c_custkey % 6 WHEN 3 THEN 'cancellation_requested'
                             WHEN 4 THEN 'payment_failed' END AS reason
   FROM customer
@@ -73,11 +75,13 @@ subs AS (
 
 CATALOG = """
 product_numbers AS (SELECT DISTINCT p_partkey % 20 AS n FROM part),
-products AS (SELECT 'prod_' || n AS product, 'plan ' || n AS product_name FROM product_numbers),
+products AS (
+  SELECT 'prod_' || n AS product, 'plan ' || n AS product_name FROM product_numbers WHERE n <> 16
+),
 prices AS (
   SELECT 'prod_' || n AS product,
          CAST(CASE WHEN n % 5 = 0 THEN 0 ELSE n * 1000 + 990 END AS BIGINT) AS cents
-  FROM product_numbers
+  FROM product_numbers WHERE n <> 12
   UNION ALL
   SELECT 'prod_3', CAST(7777 AS BIGINT) FROM product_numbers WHERE n = 3
 )"""

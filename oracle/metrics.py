@@ -84,7 +84,8 @@ changes AS (
 ENDED = """
 ended AS (
   SELECT i.invoice_id, i.customer, s.sub_id, i.status AS invoice_status,
-         s.status AS subscription_status, product_name, s.reason, l.line_start
+         s.status AS subscription_status, product_name, s.reason, l.line_start, l.line_end,
+         i.billing_reason, s.cancel_at_period_end, i.attempt_count, i.paid AS invoice_paid
   FROM subs s JOIN invoices i ON i.invoice_id = s.latest_invoice
   LEFT JOIN lines l ON l.invoice_id = i.invoice_id
   LEFT JOIN products p ON p.product = l.product

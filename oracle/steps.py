@@ -140,15 +140,20 @@ def _table_rows(json: bool) -> str:
 
 
 _INVOICED = """
-SELECT i.invoice_id, l.line_key, i.customer, i.sub_id AS subscription, i.paid, p.product_name,
-       r.cents AS subscription_price, l.line_start AS subscription_start,
-       l.line_end AS subscription_end
+SELECT i.invoice_id, l.line_key, i.customer, i.email AS customer_email, i.sub_id AS subscription,
+       i.paid, i.status AS invoice_status, p.product_name, r.cents AS subscription_price,
+       make_timestamp(i.from_s * 1000000) AS usage_start,
+       make_timestamp(i.to_s * 1000000) AS usage_end,
+       l.line_start AS subscription_start, l.line_end AS subscription_end
 FROM invoices i JOIN lines l USING (invoice_id)
 JOIN products p USING (product) JOIN prices r USING (product)"""
 
 _LIVE = """
 live AS (
-  SELECT sub_id AS subscription_id, latest_invoice AS invoice_id, status AS subscription_status,
+  SELECT sub_id AS subscription_id, customer AS subscription_customer,
+         latest_invoice AS invoice_id, status AS subscription_status,
+         make_timestamp(from_s * 1000000) AS subscription_period_start,
+         make_timestamp(to_s * 1000000) AS subscription_period_end,
          'month' AS plan_interval,
          'plan ' || CAST(replace(sub_id, 'sub_', '') AS BIGINT) % 20 AS plan_nickname,
          CAST(replace(sub_id, 'sub_', '') AS BIGINT) % 20 * 1000 AS plan_amount
@@ -228,8 +233,10 @@ FROM final_periods WHERE starts <> ends AND status = 'paid'""",
         "P18": statement(
             [*STAR, delinquent(net)],
             """
-SELECT sub_id AS id, customer, status, reason, invoice_id, product_name, price_cents,
-       line_start, month, year, total
+SELECT sub_id AS id, customer, status, type, reason, invoice_id, product_name, price_cents,
+       make_timestamp((cancel_s + 259200) * 1000000) AS cancel_at,
+       make_timestamp(cancel_s * 1000000) AS cancelled_at,
+       line_start, line_end, month, year, total
 FROM failed""",
         ),
         "P19": statement(
@@ -294,7 +301,8 @@ FROM changes"""),
         "C6": _analytics("SELECT year, month, so_far AS cumulative_new_customers FROM months"),
         "C7": _analytics("""
 SELECT invoice_id, customer, sub_id AS subscription_id, invoice_status, subscription_status,
-       product_name, reason, line_start AS subscription_start
+       product_name, reason, billing_reason, cancel_at_period_end, attempt_count, invoice_paid,
+       line_start AS subscription_start, line_end AS subscription_end
 FROM ended"""),
         "C8": _churned("cancellation_requested"),
         "C9": _churned("payment_failed"),

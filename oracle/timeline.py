@@ -81,9 +81,10 @@ def periods(f: Flavour) -> str:
     extras = f.extras("canceled", "reason")
     total = ", total" if f.net else ""
     year_total = ", round_even(total / 12, 0) AS total" if f.net else ""
+    side = "LEFT" if f.outer else "INNER"
     return f"""
 priced AS (
-  SELECT product, product_name, cents // 100 AS unit FROM products JOIN prices USING (product)
+  SELECT product, product_name, cents // 100 AS unit FROM products {side} JOIN prices USING (product)
 ),
 yearly AS (
   SELECT customer, email, status, product_name, unit{extras}{year_total},
@@ -93,14 +94,14 @@ yearly AS (
            CAST(unnest(generate_series(CAST({span}.line_start AS DATE),
                                        CAST({span}.line_start AS DATE) + INTERVAL 11 MONTH,
                                        INTERVAL 1 MONTH)) AS DATE) AS day
-    FROM kept w JOIN lines l USING (invoice_id) JOIN priced c USING (product)
+    FROM kept w JOIN lines l USING (invoice_id) {side} JOIN priced c USING (product)
     WHERE l.type = 'subscription' AND l.span = 'year'
   )
 ),
 others AS (
   SELECT {shared}{extras}{total},
          CAST({span}.line_start AS DATE) AS starts, CAST({span}.line_end AS DATE) AS ends
-  FROM kept w JOIN lines l USING (invoice_id) JOIN priced c USING (product)
+  FROM kept w JOIN lines l USING (invoice_id) {side} JOIN priced c USING (product)
   WHERE l.type = 'subscription' AND l.span <> 'year'
 ),
 periods AS (SELECT * FROM yearly UNION SELECT * FROM others),
@@ -205,7 +206,8 @@ def delinquent(f: Flavour) -> str:
         joins, off = f"\n  LEFT JOIN ({FIRST_DISCOUNT}) d USING (json_id)", "off"
     return f"""
 failed AS (
-  SELECT s.sub_id, s.customer, s.status, s.reason, i.invoice_id, l.line_key, l.line_start,
+  SELECT s.sub_id, s.customer, s.status, s.reason, s.cancel_s, i.invoice_id, l.line_key, l.type,
+         l.line_start, l.line_end,
          product_name, cents AS price_cents,
          CAST(month(l.line_start) AS INTEGER) AS month,
          CAST(year(l.line_start) AS INTEGER) AS year,

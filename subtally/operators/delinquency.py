@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from subtally.functions.dates import epoch_timestamp
 from subtally.functions.money import net_units
 from subtally.operators.lines import invoice_lines, with_first_discount, with_product_prices
 from subtally.operators.periods import PAYMENT_FAILED, reasoned_subscriptions
@@ -22,7 +23,9 @@ def cancelled(t: BillingTables, subscriptions: DataFrame) -> DataFrame:
 def failed_subscriptions(t: BillingTables) -> DataFrame:
     """Subscriptions with a cancel date whose payment failed."""
     reasoned = reasoned_subscriptions(t, "inner").filter(F.col("reason") == PAYMENT_FAILED)
-    return cancelled(t, reasoned.select("id", "customer", "latest_invoice", "status", "reason"))
+    return cancelled(
+        t, reasoned.select("id", "customer", "latest_invoice", "status", "reason", "cancel_at", "canceled_at")
+    )
 
 
 def failed_payments(t: BillingTables, net: bool = False) -> DataFrame:
@@ -39,11 +42,14 @@ def failed_payments(t: BillingTables, net: bool = False) -> DataFrame:
         lines = with_first_discount(t, lines)
     rows = failed.join(invoices, "invoice_id").join(lines, "invoice_id")
     priced = with_product_prices(t, rows)
-    columns = ["id", "customer", "status", "reason", "invoice_id", "product_name", "price_cents"]
+    columns = ["id", "customer", "status", "type", "reason", "invoice_id", "product_name", "price_cents"]
     total = [net_units(F.col("amount"), F.col("discount")).alias("total")] if net else []
     return priced.select(
         *columns,
+        epoch_timestamp(F.col("cancel_at")).alias("cancel_at"),
+        epoch_timestamp(F.col("canceled_at")).alias("cancelled_at"),
         "line_start",
+        "line_end",
         F.month("line_start").alias("month"),
         F.year("line_start").alias("year"),
         *total,

@@ -33,7 +33,7 @@ def invoice_lines(
 ) -> DataFrame:
     """Lines of one type, or of all, with the asked-for parts.
 
-    Always invoice_id, line_key, amount; then line_start and line_end (`period`),
+    Always invoice_id, line_key, type, amount; then line_start and line_end (`period`),
     product (of the line's price or plan), interval, discount. `how` is the join to
     period and price. A line whose plan or interval is missing is dropped when either
     is asked for. `discount` gives a normalized line once per discount row; the JSON layout
@@ -47,7 +47,7 @@ def invoice_lines(
         lines = _of_invoices(lines, only)
         return _json_lines(lines, period, product is not None, interval)
     rows = lines.select(
-        F.col(LINE_HASH).alias("line_key"), F.col(invoice_column).alias("invoice_id"), "amount"
+        F.col(LINE_HASH).alias("line_key"), F.col(invoice_column).alias("invoice_id"), "type", "amount"
     )
     rows = _of_invoices(rows, only)
     extra: list = []
@@ -70,7 +70,7 @@ def invoice_lines(
     if discount:
         rows = rows.join(_child(t, "discount_amounts", discount="amount"), "line_key", "left")
         extra.append("discount")
-    return rows.select("invoice_id", "line_key", "amount", *extra)
+    return rows.select("invoice_id", "line_key", "type", "amount", *extra)
 
 
 def _of_invoices(lines: DataFrame, only: DataFrame | None) -> DataFrame:
@@ -84,7 +84,7 @@ def _child(t: BillingTables, name: str, **columns: str) -> DataFrame:
 
 
 def _json_lines(lines: DataFrame, period: bool, product: bool, interval: bool) -> DataFrame:
-    columns: list = ["invoice_id", F.col("id").alias("line_key"), "amount"]
+    columns: list = ["invoice_id", F.col("id").alias("line_key"), "type", "amount"]
     if product:
         columns.append(jsontext.field(F.col("price"), "product").alias("product"))
     if interval:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from subtally.functions.dates import epoch_timestamp
 from subtally.operators.grouping import not_in, with_neighbours
 from subtally.operators.lines import invoice_lines, with_product, with_product_prices
 from subtally.operators.periods import PAYMENT_FAILED
@@ -20,17 +21,30 @@ REQUESTED = "cancellation_requested"
 
 def invoiced_lines(t: BillingTables) -> DataFrame:
     """Every invoice line with its product, one row per price, and its period."""
-    invoices = t.invoices.select(F.col("id").alias("invoice_id"), "customer", "subscription", "paid")
+    invoices = t.invoices.select(
+        F.col("id").alias("invoice_id"),
+        "customer",
+        "customer_email",
+        "subscription",
+        "paid",
+        F.col("status").alias("invoice_status"),
+        epoch_timestamp(F.col("period_start")).alias("usage_start"),
+        epoch_timestamp(F.col("period_end")).alias("usage_end"),
+    )
     lines = invoice_lines(t, kind=None, product="price")
     priced = with_product_prices(t, invoices.join(lines, "invoice_id"))
     return priced.select(
         "invoice_id",
         "line_key",
         "customer",
+        "customer_email",
         "subscription",
         "paid",
+        "invoice_status",
         "product_name",
         F.col("price_cents").alias("subscription_price"),
+        "usage_start",
+        "usage_end",
         F.col("line_start").alias("subscription_start"),
         F.col("line_end").alias("subscription_end"),
     )
@@ -50,11 +64,14 @@ def live_subscriptions(t: BillingTables) -> DataFrame:
         .join(plans, SUBSCRIPTION_HASH)
         .select(
             F.col("id").alias("subscription_id"),
+            F.col("customer").alias("subscription_customer"),
             F.col("latest_invoice").alias("invoice_id"),
             F.col("status").alias("subscription_status"),
             "plan_interval",
             "plan_nickname",
             "plan_amount",
+            epoch_timestamp(begins).alias("subscription_period_start"),
+            epoch_timestamp(ends).alias("subscription_period_end"),
         )
     )
 
@@ -133,11 +150,17 @@ def ended_subscriptions(t: BillingTables) -> DataFrame:
             F.col("id").alias("subscription_id"),
             F.col("latest_invoice").alias("invoice_id"),
             F.col("status").alias("subscription_status"),
+            "cancel_at_period_end",
             "reason",
         )
     )
     invoices = t.invoices.select(
-        F.col("id").alias("invoice_id"), "customer", F.col("status").alias("invoice_status")
+        F.col("id").alias("invoice_id"),
+        "customer",
+        F.col("status").alias("invoice_status"),
+        "billing_reason",
+        "attempt_count",
+        F.col("paid").alias("invoice_paid"),
     )
     lines = invoice_lines(
         t, kind=None, product="price", how="left", invoice_column="invoice", only=ended.select("invoice_id")
@@ -151,7 +174,12 @@ def ended_subscriptions(t: BillingTables) -> DataFrame:
         "subscription_status",
         "product_name",
         "reason",
+        "billing_reason",
+        "cancel_at_period_end",
+        "attempt_count",
+        "invoice_paid",
         F.col("line_start").alias("subscription_start"),
+        F.col("line_end").alias("subscription_end"),
     )
 
 

@@ -82,7 +82,11 @@ def voluntary_churn_left(t: BillingTables, as_of: AsOf = None) -> DataFrame:
     Unlike `voluntary_churn`, failed payments count, a missing subscription, product or
     price does not exclude a row, and a last paid period need not have ended.
     """
-    periods = customer_periods(t, cancel=True, how="left")
+    return _outer_churn(t, as_of)
+
+
+def _outer_churn(t: BillingTables, as_of: AsOf, how: str = "left") -> DataFrame:
+    periods = customer_periods(t, cancel=True, how=how)
     coded = with_neighbours(period_keys(periods)).withColumn(
         "churn", churn_code(as_of, ended_only=False)
     )

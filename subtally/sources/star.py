@@ -18,6 +18,9 @@ from subtally.sources.tables import BillingTables
 
 DAY = 86400
 PRODUCTS = 20
+# Lines name them, but one has no row in products and the other none in prices.
+UNKNOWN_PRODUCT = 16
+UNPRICED_PRODUCT = 12
 
 
 def _tag(prefix: str, key: Column) -> Column:
@@ -147,18 +150,18 @@ class _Star:
 
     def products(self) -> DataFrame:
         n = F.col("n")
-        return self.product_numbers().select(
+        return self.product_numbers().filter(n != UNKNOWN_PRODUCT).select(
             _tag("prod_", n).alias("id"), _tag("plan ", n).alias("name")
         )
 
     def prices(self) -> DataFrame:
-        """One price per product, and a second one of product 3."""
+        """One price per product, a second one of product 3, none of one product."""
         n = F.col("n")
         listed = F.when(n % 5 == 0, F.lit(0)).otherwise(n * 1000 + 990).cast("long")
         amounts = F.when(n == 3, F.array(listed, F.lit(7777).cast("long"))).otherwise(
             F.array(listed)
         )
-        return self.product_numbers().select(
+        return self.product_numbers().filter(n != UNPRICED_PRODUCT).select(
             _tag("prod_", n).alias("product"), F.explode(amounts).alias("unit_amount")
         )
 

@@ -120,7 +120,9 @@ def _as_text(frame: DataFrame, *names: str) -> DataFrame:
 
 def _churned(t: BillingTables, reason: str) -> DataFrame:
     rows = analytics.churned(t, analytics.ended_subscriptions(t))
-    return rows.filter(F.col("reason") == reason).drop("subscription_id")
+    return rows.filter(F.col("reason") == reason).select(
+        "invoice_id", "customer", "invoice_status", "product_name", "subscription_status", "reason", "subscription_start"
+    )
 
 
 def table_rows(t: BillingTables) -> DataFrame:

@@ -10,8 +10,9 @@ import pytest
 
 import __spark_entry__ as entry_module
 from oracle.steps import all_statements
-from subtally import read_tables
-from subtally.catalog import metric_queries, step_queries
+from subtally import read_tables, steps
+from subtally.catalog import AS_OF, metric_queries, over_star, step_queries
+from subtally.plans import counts
 from subtally.session import ZONE
 from subtally.sources.star import billing_tables
 
@@ -86,5 +87,19 @@ def test_matches_duckdb(spark, duck, key):
     assert got[1]
 
 
+@pytest.mark.parametrize("key,step", [
+    ("P2c", lambda t: steps._expanded(t, True, "inner", cancel=True)),
+    ("P3c", lambda t: steps._expanded(t, False, "inner", cancel=True)),
+    ("Q03", lambda t: counts._outer_churn(t, AS_OF, how="inner")),
+])
+def test_outer_variants_are_proven(spark, duck, key, step):
+    """Inner joins in their place give other rows than the check."""
+    frame = over_star(step)(spark, SF_DIR)
+    result = duck.execute(CHECKS[key])
+    columns = [d[0] for d in result.description]
+    got = _canonical(frame.columns, [tuple(r) for r in frame.collect()])
+    assert got[0] == sorted(columns) and got != _canonical(columns, result.fetchall())
+
+
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0
