@@ -72,14 +72,16 @@ def with_pieces(frame: DataFrame, names: Sequence[str], piece: str = "__piece")
     every = F.filter("sorted", lambda _, i: i % SAMPLES_PER_PIECE == SAMPLES_PER_PIECE - 1)
     # A column of generated code, read by reference and dropped before any row is copied.
     found = frame.withColumns(
-        {"__cuts": sample.select(every).scalar(), "__place": place, piece: F.lit(0)}
+        {"__cuts": sample.select(every).scalar(), "__place": place, "__at": F.lit(0)}
     )
     for k in range(wanted.bit_length() - 1, -1, -1):
-        further = F.col(piece) + (1 << k)
+        further = F.col("__at") + (1 << k)
         # A place beyond the last cut is NULL, which is no reason to go on.
         passed = F.get("__cuts", further - 1) <= F.col("__place")
-        found = found.withColumn(piece, F.when(passed, further).otherwise(F.col(piece)))
-    return found.drop("__cuts", "__place")
+        found = found.withColumn("__at", F.when(passed, further).otherwise(F.col("__at")))
+    # The optimizer follows a join key down through projections and puts each step into the
+    # next one, which doubles it and more; it does not look into what a generator makes.
+    return found.select(*[F.col(f"`{name}`") for name in frame.columns], F.explode(F.array("__at")).alias(piece))
 
 
 def with_neighbours(

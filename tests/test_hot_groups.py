@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +163,17 @@ def test_not_in_reads_its_right_side_for_one_aggregate(spark):
     initial = _plan(result).split("\n+- == Initial Plan ==")[1]
     assert len(set(re.findall(r"Subquery (subquery#\d+)", initial))) == 1
     assert "BroadcastNestedLoopJoin" not in _plan(result) and "LeftAnti" in _plan(result)
+
+
+def test_many_partitions_cost_no_planning_time(spark):
+    """The optimizer does not expand the binary search, whose depth grows with the partitions."""
+    _, frame = _events(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4000")
+    try:
+        start = time.perf_counter()
+        plan = with_neighbours(frame, "key", ["s", "id"], {"b": "value"}, {"a": "value"})
+        plan._jdf.queryExecution().executedPlan()
+        assert time.perf_counter() - start < 20  # about a second; minutes when expanded
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
