@@ -32,9 +32,8 @@ invoices AS (
 LINES = """
 lines AS (
   SELECT *, make_timestamp(start_s * 1000000) AS line_start,
-         make_timestamp((start_s + CASE span WHEN 'year' THEN 31536000 ELSE 2592000 END) * 1000000)
-           AS line_end
-  FROM (
+         make_timestamp(end_s * 1000000) AS line_end
+  FROM (SELECT *, start_s + CASE span WHEN 'year' THEN 31536000 ELSE 2592000 END AS end_s FROM (
     SELECT 'il_' || l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey
              || '_' || CAST(round(l_extendedprice * 100) AS BIGINT) AS line_key,
            CASE WHEN l_linenumber % 3 = 0 THEN 'il_' || l_orderkey || '_' || l_linenumber
@@ -49,9 +48,10 @@ lines AS (
                      ELSE CAST([] AS BIGINT[]) END AS discounts,
            CAST(epoch(o_orderdate) AS BIGINT) + (l_linenumber % 3) * 1728000 AS start_s,
            CASE WHEN l_partkey % 8 = 0 THEN 'year' ELSE 'month' END AS span,
-           'prod_' || (l_partkey % 20) AS product
+           'prod_' || (l_partkey % 20) AS product,
+           l_linenumber = 5 AS quoted
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-  )
+  ))
 )"""
 
 SUBSCRIPTIONS = """

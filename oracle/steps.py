@@ -113,30 +113,75 @@ FROM coded WHERE code = {code} GROUP BY ALL""",
     )
 
 
-def _table_rows(json: bool) -> str:
-    tables = {
-        "invoices": "invoices",
-        "products": "products",
-        "prices": "prices",
-        "payment_intents": "intents",
-        "refunds": "refunds",
-        "invoice_line_items": "lines",
-        "subscriptions": "subs",
-    }
-    if not json:
-        tables |= {
-            "invoice_line_items_period": "lines",
-            "invoice_line_items_price": "lines",
-            "invoice_line_items_plan": "lines",
-            "invoice_line_items_discount_amounts": "(SELECT unnest(discounts) FROM lines)",
-            "subscriptions_plan": "subs",
-            "subscriptions_cancellation_details": "(FROM subs WHERE reason IS NOT NULL)",
-        }
-    counts = [
-        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}"
-        for name, source in tables.items()
+_NUMBER = "CAST(replace(sub_id, 'sub_', '') AS BIGINT) % 20"
+_SUBSCRIPTION = [
+    *"sub_id, customer, status, latest_invoice, from_s, to_s".split(", "),
+    *"cancel_s + 259200, cancel_s, cancel_at_period_end".split(", "),
+]
+
+# Source and columns of every table, in the order of its schema.
+_SHARED_TABLES = {
+    "invoices": (
+        "invoices",
+        "invoice_id, customer, email, sub_id, status, paid, charge, billing_reason, payment_intent, "
+        "from_s, to_s, total, subtotal, untaxed, attempt_count".split(", "),
+    ),
+    "products": ("products", ["product", "product_name"]),
+    "prices": ("prices", ["product", "cents"]),
+    "payment_intents": ("intents", ["invoice_id", "pi_status"]),
+    "refunds": ("refunds", ["refunded"]),
+}
+_NORMALIZED_TABLES = {
+    "invoice_line_items": (
+        "lines", ["line_key", "line_key", "invoice_id", "invoice_id", "type", "amount"]
+    ),
+    "invoice_line_items_period": ("lines", ["line_key", "start_s", "end_s"]),
+    "invoice_line_items_price": ("lines", ["line_key", "product"]),
+    "invoice_line_items_plan": ("lines", ["line_key", "span", "product"]),
+    "invoice_line_items_discount_amounts": (
+        "(SELECT line_key, unnest(discounts) AS off FROM lines)", ["line_key", "off"]
+    ),
+    "subscriptions": ("subs", [*_SUBSCRIPTION, "sub_id"]),
+    "subscriptions_plan": ("subs", ["sub_id", "'month'", f"'plan ' || {_NUMBER}", f"{_NUMBER} * 1000"]),
+    "subscriptions_cancellation_details": ("(FROM subs WHERE reason IS NOT NULL)", ["sub_id", "reason"]),
+}
+_JSON_TABLES = {
+    "invoice_line_items": (
+        "(SELECT *, CASE WHEN quoted THEN '\"' ELSE '' END AS q FROM lines)",
+        [
+            *"json_id, invoice_id, type, amount".split(", "),
+            """'{"start":' || q || start_s || q || ',"end":' || q || end_s || q || '}'""",
+            """'{"product":"' || product || '"}'""",
+            """'{"interval":"' || span || '"}'""",
+            """'[' || array_to_string(list_transform(discounts, lambda d: '{"amount":' || d || '}'), ',') || ']'""",
+        ],
+    ),
+    "subscriptions": (
+        "subs",
+        [*_SUBSCRIPTION, """'{"reason":' || coalesce('"' || reason || '"', 'null') || '}'"""],
+    ),
+}
+
+
+def _table_contents(json: bool) -> str:
+    tables = {**_SHARED_TABLES, **(_JSON_TABLES if json else _NORMALIZED_TABLES)}
+    sums = [
+        f"""
+SELECT '{name}' AS table_name, count(*) AS row_count,
+       CAST(coalesce(sum(CAST('0x' || substr(md5(array_to_string(list_transform(
+         [{", ".join(f"CAST({column} AS VARCHAR)" for column in columns)}], lambda v: coalesce(v, '~')), '|')), 1, 8)
+         AS BIGINT)), 0) AS BIGINT) AS content
+FROM {source}"""
+        for name, (source, columns) in tables.items()
     ]
-    return statement([*STAR, REFUNDS, INTENTS], "\nUNION ALL\n".join(counts))
+    return statement([*STAR, REFUNDS, INTENTS], "\nUNION ALL\n".join(sums))
+
+
+def _not_in(variant: str, listed: str) -> str:
+    return (
+        f"SELECT '{variant}' AS variant, invoice_id AS id, charge FROM invoices "
+        f"WHERE charge NOT IN ({listed})"
+    )
 
 
 _INVOICED = """
@@ -187,8 +232,59 @@ def step_statements() -> dict[str, str]:
     net = Flavour(net=True)
     json_full = Flavour(json=True, cancel=True, reason=True, net=True)
     return {
-        "X01": _table_rows(False),
-        "X01j": _table_rows(True),
+        "X01": _table_contents(False),
+        "X01j": _table_contents(True),
+        "X14": statement(
+            [INVOICES, REFUNDS],
+            "\nUNION ALL\n".join([
+                _not_in("refunds", "SELECT refunded FROM refunds"),
+                _not_in("unknown", "SELECT charge FROM invoices WHERE attempt_count = 0"),
+                _not_in("nothing", "SELECT refunded FROM refunds WHERE FALSE"),
+            ]),
+        ),
+        "X26": statement(
+            [INVOICES],
+            """
+SELECT *, CAST(sum(invoices) OVER (ORDER BY year, month) AS BIGINT) AS so_far,
+       CAST(sum(invoices) OVER (ORDER BY year) AS BIGINT) AS so_far_by_year
+FROM (SELECT CAST(year(make_timestamp(from_s * 1000000)) AS INTEGER) AS year,
+             CAST(month(make_timestamp(from_s * 1000000)) AS INTEGER) AS month, count(*) AS invoices
+      FROM invoices GROUP BY ALL)""",
+        ),
+        "X31": statement(
+            [LINES],
+            """
+SELECT product, amount::DOUBLE / 100 AS amount FROM lines WHERE span = 'year'
+UNION
+SELECT product, amount // 100 FROM lines WHERE span <> 'year'""",
+        ),
+        "X32": statement(
+            [LINES],
+            """
+SELECT line_key, CAST(day AS TIMESTAMP) AS subscription_start,
+       CAST(CAST(day + INTERVAL 1 MONTH AS DATE) AS TIMESTAMP) AS subscription_end
+FROM (SELECT line_key, CAST(unnest(generate_series(CAST(line_start AS DATE),
+        CAST(line_start AS DATE) + INTERVAL 11 MONTH, INTERVAL 1 MONTH)) AS DATE) AS day
+      FROM lines WHERE span = 'year')""",
+        ),
+        "X44": statement(
+            [LINES],
+            """
+SELECT rpad(monthname(line_start), 9, ' ') AS month_name, count(*) AS lines, 9 AS width
+FROM lines GROUP BY ALL""",
+        ),
+        "X49": statement(
+            [LINES],
+            """
+SELECT line_key, total, round_even(total / 12, 0) AS share
+FROM (SELECT line_key, round_even((amount::DOUBLE - coalesce(off, 0)::DOUBLE) / 100, 0) AS total
+      FROM lines LEFT JOIN (SELECT line_key, unnest(discounts) AS off FROM lines) USING (line_key))""",
+        ),
+        "X51": statement(
+            [LINES],
+            "SELECT line_key AS id, amount - 3000000 AS cents, (amount - 3000000) // 100 AS units FROM lines",
+        ),
+        "X53": statement([LINES], 'SELECT json_id AS id, start_s AS "start", end_s AS "end" FROM lines'),
         "P1": _kept(FULL),
         "P1a": _kept(Flavour()),
         "P1b": _kept(Flavour(cancel=True, reason=True, drop_failed=True)),

@@ -28,13 +28,17 @@ def failed_subscriptions(t: BillingTables) -> DataFrame:
     )
 
 
-def failed_payments(t: BillingTables, net: bool = False) -> DataFrame:
+def failed_payments(
+    t: BillingTables, net: bool = False, subscriptions: DataFrame | None = None
+) -> DataFrame:
     """Lines of the latest invoice of each subscription cancelled for a failed payment.
 
     All line types and invoice states; one row per price of the line's product and, in
     the normalized layout with `net`, per discount. `total` is the net line amount.
+    `subscriptions` are the failed ones, where the caller has them already.
     """
-    failed = failed_subscriptions(t).withColumnRenamed("latest_invoice", "invoice_id")
+    subscriptions = failed_subscriptions(t) if subscriptions is None else subscriptions
+    failed = subscriptions.withColumnRenamed("latest_invoice", "invoice_id")
     invoices = t.invoices.select(F.col("id").alias("invoice_id"))
     wanted = failed.select("invoice_id")
     lines = invoice_lines(t, kind=None, product="price", discount=net, only=wanted)
@@ -98,8 +102,8 @@ def delinquent_by_month(t: BillingTables, alias: str, net: bool = False) -> Data
     """Distinct customers, or the sum of net line amounts, by month of the failed line."""
     # Customers of failed subscriptions include all of `failed_payments` and cost no
     # join with invoices; the final semi join removes the rest.
-    suspects = failed_subscriptions(t).select("customer")
-    repeated = repeat_customers(invoice_months(t, suspects))
-    failed = failed_payments(t, net).join(repeated, "customer", "left_semi")
+    subscriptions = failed_subscriptions(t)
+    repeated = repeat_customers(invoice_months(t, subscriptions.select("customer")))
+    failed = failed_payments(t, net, subscriptions).join(repeated, "customer", "left_semi")
     measure = F.sum("total") if net else F.countDistinct("customer")
     return failed.groupBy("month", "year").agg(measure.alias(alias))

@@ -106,6 +106,7 @@ class _Star:
             (start + F.when(yearly, 365 * DAY).otherwise(30 * DAY)).alias("end"),
             F.when(yearly, "year").otherwise("month").alias("interval"),
             _tag("prod_", F.col("l_partkey") % PRODUCTS).alias("product"),
+            (number == 5).alias("quoted"),
         )
 
     def subscriptions(self) -> DataFrame:
@@ -226,14 +227,19 @@ def _normalized(wide: Callable[[str], DataFrame], name: str) -> DataFrame:
 
 
 def _with_json_columns(lines: DataFrame) -> DataFrame:
-    """Lines of the JSON layout; every third line number of an invoice shares one line id."""
+    """Lines of the JSON layout; every third line number of an invoice shares one line id.
+
+    The epochs of some lines are quoted.
+    """
     discounts = F.transform("discounts", lambda cents: F.struct(cents.alias("amount")))
     return lines.select(
         F.coalesce("shared_id", "id").alias("id"),
         "invoice_id",
         "type",
         "amount",
-        F.to_json(F.struct("start", "end")).alias("period"),
+        F.when(F.col("quoted"), F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in ("start", "end")])))
+        .otherwise(F.to_json(F.struct("start", "end")))
+        .alias("period"),
         F.to_json(F.struct("product")).alias("price"),
         F.to_json(F.struct("interval")).alias("plan"),
         F.to_json(discounts).alias("discount_amounts"),

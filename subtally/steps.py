@@ -1,4 +1,4 @@
-"""The pipeline steps (P, C) and the table scan (X01) by survey id.
+"""The pipeline steps (P, C), the table scan and primitives with rules of their own (X) by survey id.
 
 Each entry runs one step of the metrics over whole tables and returns its rows.
 """
@@ -9,11 +9,17 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from subtally.functions import jsontext, money
+from subtally.functions.dates import epoch_timestamp, month_label
 from subtally.operators import delinquency, movements, periods
+from subtally.operators.grouping import not_in
+from subtally.operators.lines import invoice_lines
 from subtally.plans import analytics, arpu, counts, mrr, receivables
+from subtally.plans.months import month_order
 from subtally.sources.schemas import SCHEMAS, Layout
 from subtally.sources.tables import BillingTables
 
@@ -125,22 +131,112 @@ def _churned(t: BillingTables, reason: str) -> DataFrame:
     )
 
 
-def table_rows(t: BillingTables) -> DataFrame:
-    """Rows of every table of the layout."""
-    counted = [
+def table_contents(t: BillingTables) -> DataFrame:
+    """Rows of every table of the layout, and a sum over a digest of all columns of each row."""
+    def digest(names: list[str]) -> Column:
+        texts = [F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("~")) for name in names]
+        return F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8), 16, 10).cast("long")
+
+    summed = [
         getattr(t, name)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(name).alias("table_name"), "row_count")
-        for name in SCHEMAS[t.layout]
+        .agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.coalesce(F.sum(digest(StructType.fromDDL(schema).names)), F.lit(0)).alias("content"),
+        )
+        .select(F.lit(name).alias("table_name"), "row_count", "content")
+        for name, schema in SCHEMAS[t.layout].items()
     ]
-    return reduce(DataFrame.union, counted)
+    return reduce(DataFrame.union, summed)
+
+
+def not_in_variants(t: BillingTables) -> DataFrame:
+    """Invoices whose charge is not in three lists: of known charges, with a NULL, empty."""
+    lists = {
+        "refunds": t.refunds.select("charge"),
+        "unknown": t.invoices.filter("attempt_count = 0").select("charge"),
+        "nothing": t.refunds.filter(F.lit(False)).select("charge"),
+    }
+    kept = [
+        not_in(t.invoices, "charge", listed).select(F.lit(name).alias("variant"), "id", "charge")
+        for name, listed in lists.items()
+    ]
+    return reduce(DataFrame.union, kept)
+
+
+def running_invoices(t: BillingTables) -> DataFrame:
+    """Invoices by month with running sums; over years alone, months of a year are peers."""
+    start = epoch_timestamp(F.col("period_start"))
+    months = t.invoices.groupBy(F.year(start).alias("year"), F.month(start).alias("month")).agg(
+        F.count(F.lit(1)).alias("invoices")
+    )
+    return months.withColumns(
+        {
+            "so_far": F.sum("invoices").over(month_order()),
+            "so_far_by_year": F.sum("invoices").over(Window.orderBy(F.asc_nulls_last("year"))),
+        }
+    )
+
+
+def united_amounts(t: BillingTables) -> DataFrame:
+    """Distinct product and amount: fractions of yearly lines, whole units of the others.
+
+    The union goes by place, whatever the names, and whole numbers become fractions.
+    """
+    lines = invoice_lines(t, kind=None, product="price", interval=True, period=False)
+    yearly = F.col("interval") == periods.YEAR
+    fractions = lines.filter(yearly).select("product", money.fractional_units(F.col("amount")).alias("amount"))
+    whole = lines.filter(~yearly).select(F.col("product").alias("amount"), money.whole_units("amount").alias("product"))
+    return fractions.union(whole).distinct()
+
+
+def yearly_months(t: BillingTables) -> DataFrame:
+    """Twelve months of every yearly line, start and end generated in step."""
+    lines = invoice_lines(t, kind=None, interval=True).filter(F.col("interval") == periods.YEAR)
+    days = lines.select(
+        "line_key", "interval", F.to_date("line_start").alias("first_day"), F.to_date("line_end").alias("last_day")
+    )
+    return periods.expand_periods(days).drop("interval")
+
+
+def labelled_months(t: BillingTables) -> DataFrame:
+    """Lines by padded month name."""
+    named = invoice_lines(t, kind=None).select(month_label(F.to_date("line_start")).alias("month_name"))
+    return named.groupBy("month_name").agg(
+        F.count(F.lit(1)).alias("lines"), F.max(F.length("month_name")).alias("width")
+    )
+
+
+def net_amounts(t: BillingTables) -> DataFrame:
+    """Every line and discount with the rounded net amount and its twelfth."""
+    lines = invoice_lines(t, kind=None, period=False, discount=True)
+    total = money.net_units(F.col("amount"), F.col("discount"))
+    return lines.select("line_key", total.alias("total"), money.monthly_share(total).alias("share"))
+
+
+def whole_amounts(t: BillingTables) -> DataFrame:
+    """Amounts about zero in whole units, cut toward zero on both sides."""
+    lines = t.invoice_line_items.select("id", (F.col("amount") - 3_000_000).alias("cents"))
+    return lines.select("id", "cents", money.whole_units("cents").alias("units"))
+
+
+def json_spans(t: BillingTables) -> DataFrame:
+    """Start and end of every JSON line, quoted or not."""
+    span = jsontext.epoch_range(F.col("period"))
+    return t.invoice_line_items.select("id", span.getField("start").alias("start"), span.getField("end").alias("end"))
 
 
 def step_queries(as_of: dt.datetime) -> dict[str, tuple[Step, Layout]]:
     """Steps by id, with the layout each is registered for."""
     keep, spread = periods.keep_invoice, arpu.revenue_by_month
     plain: dict[str, Step] = {
-        "X01": table_rows,
+        "X01": table_contents,
+        "X14": not_in_variants,
+        "X26": running_invoices,
+        "X31": united_amounts,
+        "X32": yearly_months,
+        "X44": labelled_months,
+        "X49": net_amounts,
+        "X51": whole_amounts,
         "P1": lambda t: keep(t, reason=True, cancel=True),
         "P1a": keep,
         "P1b": lambda t: keep(t, reason=True, cancel=True, drop_failed=True),
@@ -214,7 +310,8 @@ def step_queries(as_of: dt.datetime) -> dict[str, tuple[Step, Layout]]:
         ),
     }
     json: dict[str, Step] = {
-        "X01j": table_rows,
+        "X01j": table_contents,
+        "X53": json_spans,
         "P1j": lambda t: keep(t, net=True),
         "P2a": lambda t: _expanded(t, True, reason=True, cancel=True, net=True),
         "P3a": lambda t: _expanded(t, False, reason=True, cancel=True, net=True),

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from oracle.base import REFUNDS, STAR, statement
 from oracle.steps import all_statements
 from subtally import read_tables, steps
 from subtally.catalog import AS_OF, metric_queries, over_star, step_queries
@@ -101,5 +102,25 @@ def test_outer_variants_are_proven(spark, duck, key, step):
     assert got[0] == sorted(columns) and got != _canonical(columns, result.fetchall())
 
 
+@pytest.mark.parametrize("trap,where", [
+    ("X14", "SELECT 1 FROM invoices WHERE charge IS NULL AND attempt_count = 0"),
+    ("X14", "SELECT 1 FROM refunds JOIN invoices ON charge = refunded"),
+    ("X26", "SELECT year(make_timestamp(from_s * 1000000)) FROM invoices GROUP BY 1 HAVING count(DISTINCT month(make_timestamp(from_s * 1000000))) > 1"),
+    ("X31", "SELECT 1 FROM lines WHERE span <> 'year' AND amount % 100 <> 0"),
+    ("X32", "SELECT 1 FROM lines WHERE span = 'year' AND day(line_start) > 28"),
+    ("X44", "SELECT 1 FROM lines WHERE length(monthname(line_start)) < 9"),
+    ("X49", "SELECT 1 FROM lines WHERE round((amount - coalesce(discounts[1], 0)) / 100) <> round_even((amount - coalesce(discounts[1], 0)) / 100, 0)"),
+    ("X51", "SELECT 1 FROM lines WHERE amount < 3000000 AND amount % 100 <> 0"),
+    ("X53", "SELECT 1 FROM lines WHERE quoted"),
+    ("P1j", "SELECT 1 FROM lines GROUP BY json_id HAVING count(DISTINCT coalesce(discounts[1], 0)) > 1"),
+    ("P2c", "SELECT 1 FROM lines LEFT JOIN products USING (product) WHERE product_name IS NULL AND span = 'year'"),
+    ("P3c", "SELECT 1 FROM lines JOIN products USING (product) LEFT JOIN prices USING (product) WHERE cents IS NULL AND span <> 'year'"),
+])
+def test_the_traps_are_in_the_fixture(duck, trap, where):
+    """Rows on which a naive translation of the step would differ."""
+    assert trap in CHECKS
+    assert duck.execute(statement([*STAR, REFUNDS], where)).fetchone()
+
+
 def test_entry_has_rows(spark):
     assert entry_module.entry(spark).count() > 0

@@ -83,3 +83,13 @@ def test_tables_read_back_from_files(spark, tmp_path):
     assert counts.upgrades(again).collect() == counts.upgrades(t).collect()
     with pytest.raises(AttributeError):
         again.invoice_line_items_period
+
+
+def test_failed_subscriptions_share_their_shuffles(unsized):
+    """The second read of the failed subscriptions reuses the reasons and the dated ids of the first."""
+    frame = QUERIES["Q12"](unsized, SF_DIR)
+    frame.collect()
+    final = _plan(frame).split("\n+- == Initial Plan ==")[0]
+    reused = [x for x in final.split("\n") if "ReusedExchange" in x]
+    assert any("ReusedExchange [_airbyte_subscriptions_hashid" in x for x in reused)
+    assert any("ReusedExchange [id#" in x for x in reused)
