@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from subtally.functions.dates import epoch_timestamp
 from subtally.functions.money import net_units
-from subtally.operators.lines import invoice_lines, with_first_discount, with_product_prices
+from subtally.operators.lines import (
+    invoice_lines,
+    with_first_discount,
+    with_lines,
+    with_product_prices,
+)
 from subtally.operators.periods import PAYMENT_FAILED, reasoned_subscriptions
 from subtally.sources.tables import BillingTables
 
@@ -44,7 +49,7 @@ def failed_payments(
     lines = invoice_lines(t, kind=None, product="price", discount=net, only=wanted)
     if net and t.is_json:
         lines = with_first_discount(t, lines)
-    rows = failed.join(invoices, "invoice_id").join(lines, "invoice_id")
+    rows = with_lines(t, failed.join(invoices, "invoice_id"), lines)
     priced = with_product_prices(t, rows)
     columns = ["id", "customer", "status", "type", "reason", "invoice_id", "product_name", "price_cents"]
     total = [net_units(F.col("amount"), F.col("discount")).alias("total")] if net else []
@@ -72,7 +77,7 @@ def invoice_months(t: BillingTables, customers: DataFrame) -> DataFrame:
     invoices = invoices.join(known, "subscription", "left_semi")
     lines = invoice_lines(t, kind=None, only=invoices.select("invoice_id"))
     return (
-        invoices.join(lines, "invoice_id")
+        with_lines(t, invoices, lines)
         .select("customer", F.year("line_start").alias("year"), F.month("line_start").alias("month"))
     )
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from subtally.functions import jsontext
 from subtally.functions.dates import epoch_timestamp
-from subtally.sources.schemas import LINE_HASH
+from subtally.sources.schemas import HOT_INVOICES, LINE_HASH, SALT
 from subtally.sources.tables import BillingTables
 
 SUBSCRIPTION = "subscription"
@@ -93,10 +93,26 @@ def _json_lines(lines: DataFrame, period: bool, product: bool, interval: bool) -
         lines = lines.withColumn("span", jsontext.epoch_range(F.col("period")))
         columns.append(epoch_timestamp(F.col("span.start")).alias("line_start"))
         columns.append(epoch_timestamp(F.col("span.end")).alias("line_end"))
+    if SALT in lines.columns:
+        columns.append(SALT)
     rows = lines.select(*columns)
     return rows.filter(F.col("interval").isNotNull()) if interval else rows
 
 
+def with_lines(t: BillingTables, invoices: DataFrame, lines: DataFrame) -> DataFrame:
+    """Invoices joined with their `invoice_lines`.
+
+    Lines of salted buckets stay where they are: an invoice whose lines are cut into parts
+    is repeated for each part and joined on both, so no task has all of its lines.
+    """
+    if SALT not in lines.columns:
+        return invoices.join(lines, "invoice_id")
+    hot = getattr(t, HOT_INVOICES)  # fewer rows than buckets
+    parts = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
+    repeated = invoices.join(hot, "invoice_id", "left").withColumn(SALT, F.explode(parts)).drop("parts")
+    return repeated.join(lines, ["invoice_id", SALT]).drop(SALT)
+
+
 def first_discounts(t: BillingTables) -> DataFrame:
     """line_key, discount of the JSON layout: one row for each line id that has a discount.
 

@@ -11,7 +11,12 @@ from subtally.functions import jsontext
 from subtally.functions.dates import month_starts
 from subtally.functions.money import monthly_share, net_units, whole_units
 from subtally.operators.grouping import first_per_group
-from subtally.operators.lines import invoice_lines, with_first_discount, with_product_prices
+from subtally.operators.lines import (
+    invoice_lines,
+    with_first_discount,
+    with_lines,
+    with_product_prices,
+)
 from subtally.sources.schemas import SUBSCRIPTION_HASH
 from subtally.sources.tables import BillingTables
 
@@ -69,7 +74,7 @@ def keep_invoice(
     invoices = t.invoices.filter(F.col("status") == PAID).select(
         F.col("id").alias("invoice_id"), "customer", "customer_email", "status", "subscription"
     )
-    rows = invoices.join(invoice_lines(t, discount=net, how=how), "invoice_id")
+    rows = with_lines(t, invoices, invoice_lines(t, discount=net, how=how))
     if cancel or reason:
         rows = rows.join(_cancellations(t, reason), "subscription", how)
     rows = rows.withColumns(
@@ -115,7 +120,7 @@ def billed_lines(
         "invoice_id", "customer", "customer_email", "status", "kept_start", "kept_end", *carried
     )
     lines = invoice_lines(t, product="price", interval=True, how=how)
-    rows = invoices.join(lines, "invoice_id")
+    rows = with_lines(t, invoices, lines)
     side = "line" if period_from == "line" else "kept"
     return with_product_prices(t, rows, how).select(
         "invoice_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from subtally.functions.dates import epoch_timestamp
 from subtally.operators.grouping import not_in, with_neighbours
-from subtally.operators.lines import invoice_lines, with_product, with_product_prices
+from subtally.operators.lines import invoice_lines, with_lines, with_product, with_product_prices
 from subtally.operators.periods import PAYMENT_FAILED
 from subtally.plans.months import by_month, month_order
 from subtally.sources.schemas import SUBSCRIPTION_HASH
@@ -32,7 +32,7 @@ def invoiced_lines(t: BillingTables) -> DataFrame:
         epoch_timestamp(F.col("period_end")).alias("usage_end"),
     )
     lines = invoice_lines(t, kind=None, product="price")
-    priced = with_product_prices(t, invoices.join(lines, "invoice_id"))
+    priced = with_product_prices(t, with_lines(t, invoices, lines))
     return priced.select(
         "invoice_id",
         "line_key",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from subtally.functions.dates import MONTHS_IN_YEAR, epoch_timestamp, month_label, month_starts
 from subtally.functions.money import fractional_units, whole_units
 from subtally.operators.grouping import not_in
-from subtally.operators.lines import invoice_lines, with_product_prices
+from subtally.operators.lines import invoice_lines, with_lines, with_product_prices
 from subtally.operators.periods import YEAR
 from subtally.sources.tables import BillingTables
 
@@ -47,7 +47,7 @@ def unrefunded_lines(t: BillingTables) -> DataFrame:
         "period_end",
     )
     lines = invoice_lines(t, kind=None, product="price", interval=True).drop("amount")
-    return with_product_prices(t, invoices.join(lines, "invoice_id"))
+    return with_product_prices(t, with_lines(t, invoices, lines))
 
 
 def spread_revenue(lines: DataFrame) -> DataFrame:

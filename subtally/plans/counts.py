@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from subtally.operators.delinquency import delinquent_by_month
 from subtally.operators.grouping import first_per_group
-from subtally.operators.lines import invoice_lines, with_product
+from subtally.operators.lines import invoice_lines, with_lines, with_product
 from subtally.operators.movements import (
     AsOf,
     all_movements_by_month,
@@ -28,7 +28,7 @@ def first_invoices(t: BillingTables) -> DataFrame:
         F.col("id").alias("invoice_id"), "customer", "status", "subtotal"
     )
     lines = invoice_lines(t, kind=None, product="plan")
-    rows = with_product(t, invoices.join(lines, "invoice_id"))
+    rows = with_product(t, with_lines(t, invoices, lines))
     dated = rows.withColumns(
         {
             "subscription_start": F.to_date("line_start"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from subtally.functions.dates import epoch_date
 from subtally.operators.delinquency import cancelled
 from subtally.operators.grouping import first_per_group
-from subtally.operators.lines import invoice_lines, with_product
+from subtally.operators.lines import invoice_lines, with_lines, with_product
 from subtally.operators.periods import PAID, reasoned_subscriptions
 from subtally.sources.tables import BillingTables
 
@@ -29,7 +29,7 @@ def latest_entries(t: BillingTables) -> DataFrame:
         F.col("invoice").alias("invoice_id"), F.col("status").alias("pi_status")
     )
     lines = invoice_lines(t, kind=None, period=False, product="price").drop("amount")
-    rows = with_product(t, invoices.join(intents, "invoice_id").join(lines, "invoice_id"))
+    rows = with_product(t, with_lines(t, invoices.join(intents, "invoice_id"), lines))
     ties = ["invoice_id", "line_key", "product_name", "pi_status"]
     return first_per_group(
         rows,

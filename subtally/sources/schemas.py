@@ -57,18 +57,13 @@ SCHEMAS: dict[str, dict[str, str]] = {
     "json": {**_SHARED, **_JSON},
 }
 
-# The join key each table is bucketed by when stored; None for the small ones.
-_SHARED_KEYS: dict[str, str | None] = {
-    "invoices": "id",
-    "products": None,
-    "prices": None,
-    "payment_intents": "invoice",
-    "refunds": "charge",
-}
-
+# The key each table is bucketed by when stored, None for the others. A bucket is one task, and a
+# scan of buckets has no exchange that adaptive execution could split. So only keys whose
+# rows are few on both sides of their joins count: a line and its parts, a subscription and
+# its parts. What joins on invoices, charges or customers is shuffled, or salted.
 BUCKET_KEYS: dict[str, dict[str, str | None]] = {
     "normalized": {
-        **_SHARED_KEYS,
+        **dict.fromkeys(_SHARED),
         "invoice_line_items": LINE_HASH,
         "invoice_line_items_period": LINE_HASH,
         "invoice_line_items_price": LINE_HASH,
@@ -78,5 +73,14 @@ BUCKET_KEYS: dict[str, dict[str, str | None]] = {
         "subscriptions_plan": SUBSCRIPTION_HASH,
         "subscriptions_cancellation_details": SUBSCRIPTION_HASH,
     },
-    "json": {**_SHARED_KEYS, "invoice_line_items": "invoice_id", "subscriptions": "id"},
+    "json": dict.fromkeys({**_SHARED, **_JSON}),
+}
+
+# Tables bucketed by a key that may be hot and by a salt, which cuts the rows of hot keys.
+SALTED_KEYS: dict[str, dict[str, str]] = {
+    "normalized": {},
+    "json": {"invoice_line_items": "invoice_id"},
 }
+SALT = "salt"
+# The hot keys of stored lines and into how many parts their rows are cut.
+HOT_INVOICES = "hot_invoices"

@@ -6,9 +6,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subtally.session import require_utc
-from subtally.sources.schemas import BUCKET_KEYS, SCHEMAS, Layout
+from subtally.sources.schemas import BUCKET_KEYS, HOT_INVOICES, SALT, SALTED_KEYS, SCHEMAS, Layout
 
 
 @dataclass(frozen=True)
@@ -46,21 +47,51 @@ def catalog_tables(
 ) -> BillingTables:
     """Open the tables of the layout from a database of the session catalog."""
     require_utc(spark)
-    frames = {name: spark.table(f"{database}.{name}") for name in SCHEMAS[layout]}
-    return BillingTables(layout, frames)
+    names = list(SCHEMAS[layout])
+    if spark.catalog.tableExists(f"{database}.{HOT_INVOICES}"):
+        names.append(HOT_INVOICES)
+    return BillingTables(layout, {name: spark.table(f"{database}.{name}") for name in names})
 
 
 def store_tables(t: BillingTables, database: str, buckets: int) -> None:
-    """Save the tables in a catalog database, bucketed by the key they are joined on.
+    """Save the tables in a catalog database, bucketed by the keys they are joined on.
 
-    Joins of a line with its child tables, the widest of every metric, then read
-    co-located buckets and shuffle nothing. Open the result with `catalog_tables`.
+    Joins of a normalized line with its child tables, the widest of every metric, then read
+    co-located buckets and shuffle nothing. JSON lines are bucketed by invoice and salt: the
+    rows of an invoice that would fill more than a bucket are dealt over several, and joins
+    replicate such an invoice instead of moving the lines (`operators.lines.with_lines`).
+    Open the result with `catalog_tables`.
     """
     for name, key in BUCKET_KEYS[t.layout].items():
         table = getattr(t, name)
-        if key:  # one task writes a bucket, so there is one file for each
-            table = table.repartition(buckets, key)
-        writer = table.write.format("parquet")
-        if key:
-            writer = writer.bucketBy(buckets, key).sortBy(key)
-        writer.saveAsTable(f"{database}.{name}")
+        if name in SALTED_KEYS[t.layout]:
+            salted = SALTED_KEYS[t.layout][name]
+            _store_buckets(_with_salt(table, salted, database, buckets), f"{database}.{name}", buckets, salted, SALT)
+        elif key:
+            _store_buckets(table, f"{database}.{name}", buckets, key)
+        else:
+            table.write.format("parquet").saveAsTable(f"{database}.{name}")
+
+
+def _store_buckets(table: DataFrame, name: str, buckets: int, *keys: str) -> None:
+    # One task writes a bucket, so there is one file for each.
+    dealt = table.repartition(buckets, *keys)
+    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
+def _with_salt(table: DataFrame, key: str, database: str, buckets: int) -> DataFrame:
+    """Add the salt: 0, or for keys of more rows than a bucket's share a part by row hash.
+
+    Fewer keys than buckets can be so large, which bounds the table of hot keys.
+    """
+    spark = table.sparkSession
+    size = F.lit(table.count()) / buckets
+    counted = table.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    hot = counted.filter(F.col("rows") > size)
+    parts = F.ceil(F.col("rows") / size).cast("int").alias("parts")
+    hot.select(key, parts).write.format("parquet").saveAsTable(f"{database}.{HOT_INVOICES}")
+    listed = spark.table(f"{database}.{HOT_INVOICES}")
+    # Rows without a key meet nothing, so they may lie anywhere.
+    parts = F.when(F.col(key).isNull(), buckets).otherwise(F.coalesce("parts", F.lit(1)))
+    part = F.pmod(F.xxhash64(*table.columns), parts).cast("int")
+    return table.join(listed, key, "left").select(*table.columns, part.alias(SALT))
