@@ -11,19 +11,18 @@ from pyspark.sql import functions as F
 
 def field(document: Column, name: str) -> Column:
     """Text of one top-level field, NULL when absent or JSON null."""
-    return F.from_json(document, f"`{name}` STRING").getField(name)
+    return F.get_json_object(document, f"$['{name}']")
 
 
 def epoch_range(period: Column) -> Column:
-    """A `{"start": n, "end": n}` document as a struct of longs, parsed once."""
+    """A `{"start": n, "end": n}` document as a struct of longs, parsed once.
+
+    The struct is cast as a whole: casts of its fields would each become a parse of its own.
+    """
     parsed = F.from_json(period, "`start` STRING, `end` STRING")
-    return F.struct(
-        parsed.getField("start").cast("long").alias("start"),
-        parsed.getField("end").cast("long").alias("end"),
-    )
+    return parsed.cast("struct<`start`: bigint, `end`: bigint>")
 
 
 def first_amount(amounts: Column) -> Column:
     """`amount` of the first element of a `[{"amount": n}, ...]` document."""
-    parsed = F.from_json(amounts, "ARRAY<STRUCT<`amount`: STRING>>")
-    return F.get(parsed, F.lit(0)).getField("amount").cast("double")
+    return F.get_json_object(amounts, "$[0].amount").cast("double")

@@ -1,10 +1,12 @@
 """Plan shapes that have to survive large data."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from subtally import catalog_tables, read_tables
-from subtally.plans import counts
+from subtally.functions import jsontext
+from subtally.plans import counts, mrr
 from subtally.sources.schemas import SCHEMAS
 from subtally.sources.star import billing_tables
 from subtally.sources.tables import store_tables
@@ -93,3 +95,31 @@ def test_failed_subscriptions_share_their_shuffles(unsized):
     reused = [x for x in final.split("\n") if "ReusedExchange" in x]
     assert any("ReusedExchange [_airbyte_subscriptions_hashid" in x for x in reused)
     assert any("ReusedExchange [id#" in x for x in reused)
+
+
+def test_each_json_document_is_parsed_once_for_all_lines(spark, tmp_path):
+    """The first read of the lines parses periods, the second products and intervals."""
+    stored = billing_tables(spark, SF_DIR, "json", folder=str(tmp_path / "billing"))
+    plan = _plan(mrr.upgrade_mrr(stored))
+    assert plan.count("from_json") == 1
+    for path in ("$['product']", "$['interval']", "$[0].amount"):
+        projected = [x for x in plan.split("\n") if "Project" in x or "partial_min" in x]
+        assert sum(path in x for x in projected) == 1
+
+
+@pytest.mark.parametrize("document,start", [
+    ('{"start":5,"end":6}', 5), ('{"start":"5","end":"6"}', 5), ('{"end":6,"start":4102444800}', 4102444800),
+    ('{"start":null,"end":6}', None), ('{"end":6}', None), (None, None), ('{"x":{"start":1},"start":2}', 2),
+])
+def test_json_epochs(spark, document, start):
+    frame = spark.createDataFrame([(document,)], "d string").select(jsontext.epoch_range(F.col("d")).alias("s"))
+    assert frame.select("s.start").first()[0] == start
+
+
+@pytest.mark.parametrize("document,amount", [
+    ("[]", None), (None, None), ('[{"amount":3},{"amount":4}]', 3.0), ('[{"amount":"3"}]', 3.0),
+    ('[{"amount":null},{"amount":4}]', None), ('[{"other":1}]', None),
+])
+def test_json_first_amounts(spark, document, amount):
+    frame = spark.createDataFrame([(document,)], "d string").select(jsontext.first_amount(F.col("d")))
+    assert frame.first()[0] == amount
