@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subtally.llm.common import arrow_map, lists
+from subtally.llm.common import arrow_map, lists, unused
 from subtally.llm.textblocks import BASE, Block, mix, text_blocks, words_of
 
 LABELLED_ROWS = 12_000
@@ -125,7 +125,8 @@ class View:
         moment, bias_moment = np.zeros(self.buckets), 0.0
         for _ in range(self.steps):
             error = weight * (y - _sigmoid(self.score(row, bucket, n)))
-            gradient = np.bincount(bucket, weights=error[row], minlength=self.buckets)
+            # Counts of nothing would be integers.
+            gradient = np.bincount(bucket, weights=error[row], minlength=self.buckets).astype(float)
             gradient -= self.decay * self.weights
             moment += gradient**2
             bias_moment += error.sum() ** 2
@@ -331,6 +332,7 @@ def classify(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED_R
         return plain.withColumns({
             "text_score": F.lit(0.0), "meta_score": F.lit(0.0), "probability": F.lit(0.5), "kept": F.lit(True)
         })
+    (meta_name,) = unused(plain, "__meta")
     shared = documents.sparkSession.sparkContext.broadcast(model)  # three arrays of fixed length
 
     def scored(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -339,7 +341,7 @@ def classify(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED_R
             n = block.rows
             words = text_features(block)
             text = fitted.text.score(*words, n)
-            meta_sets = batch.column("__meta").slice(block.row, n)
+            meta_sets = batch.column(meta_name).slice(block.row, n)
             row = np.repeat(np.arange(n), np.asarray(meta_sets.value_lengths()))
             meta = fitted.meta.score(row, np.asarray(meta_sets.flatten()), n)
             p = fitted.probability(text, meta)
@@ -350,6 +352,6 @@ def classify(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED_R
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
     return arrow_map(
-        plain.withColumn("__meta", meta_key(documents)), scored,
+        plain.withColumn(meta_name, meta_key(documents)), scored,
         f"{kinds}, text_score double, meta_score double, probability double, kept boolean",
     )

@@ -40,14 +40,27 @@ def arrow_map(
 ) -> DataFrame:
     """mapInArrow with column dictionaries instead of record batches."""
     target = to_arrow_schema(StructType.fromDDL(schema))
+    names = frame.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for columns in rows(batch):
+            for columns in rows(batch.rename_columns(names)):
                 arrays = [_array(columns[f.name], f.type) for f in target]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
-    return frame.mapInArrow(run, schema)
+    # Sent by place, because names may hold dots.
+    return frame.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(run, schema)
+
+
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where the frame has such columns."""
+    taken = {name.lower() for name in frame.columns}
+    free = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        free.append(name)
+    return free
 
 
 def _array(values, kind: pa.DataType) -> pa.Array:

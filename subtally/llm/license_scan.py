@@ -10,7 +10,7 @@ in that chain is the coverage. A short phrase counts where its own diagonal cove
 it, that is, where its words stand consecutively. Only column functions, joins, grouping
 and windows are used.
 
-Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of the lower-cased text. Defined results: null
+Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after A-Z are lower-cased. Defined results: null
 and empty texts have no words, no places, empty labels and score 0. Rows equal in id and
 text are judged alike, row by row; null ids are kept. Extra columns are carried along,
 result columns replace input columns of the same name.
@@ -18,6 +18,8 @@ result columns replace input columns of the same name.
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,7 +88,8 @@ def scan_licenses(documents: DataFrame, phrases: dict[str, str] = PHRASES,
                   row_id: str = "doc_id", share: float = SHARE) -> DataFrame:
     """The documents with word count, places and labels of license phrases and notices."""
     others = [c for c in documents.columns if c not in RESULTS]
-    words = F.array_remove(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), _NOT_A_WORD), "")
+    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), ascii_uppercase, ascii_lowercase)
+    words = F.array_remove(F.split(lowered, _NOT_A_WORD), "")
     key = [F.col(row_id).alias("__id"), F.xxhash64(F.col(text)).alias("__text")]
     pairs = (
         documents.select(*key, words.alias("words"))

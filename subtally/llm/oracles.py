@@ -35,7 +35,7 @@ def license_scan() -> str:
     texts = [(t, n, True) for t, n in PHRASES.items()] + [(t, n, False) for t, n in TEMPLATES.items()]
     values = ", ".join(f"({i}, '{t}', '{n}', {p})" for i, (t, n, p) in enumerate(texts))
     return rf"""
-WITH t AS (
+WITH RECURSIVE t AS (
   SELECT template, label, phrase, unnest(range(len(w) - 1)) AS t_at, w, len(w) - 1 AS pairs
   FROM (SELECT *, string_split(words, ' ') AS w
         FROM (VALUES {values}) AS v(template, words, label, phrase))
@@ -49,16 +49,27 @@ d AS (
 ),
 g AS (SELECT n, pos, w[pos + 1] AS one, w[pos + 2] AS two
       FROM (SELECT n, w, unnest(range(len(w) - 1)) AS pos FROM d)),
-v AS (
-  SELECT n, template, label, phrase, pairs, pos - t_at AS diagonal, count(DISTINCT t_at) AS votes
+x AS (
+  SELECT DISTINCT n, template, label, phrase, pairs, t_at, pos, pos - t_at AS diagonal
   FROM g JOIN t ON one = t.w[t_at + 1] AND two = t.w[t_at + 2]
-  GROUP BY ALL
+),
+v AS (SELECT n, template, label, phrase, pairs, diagonal, count(*) AS votes FROM x GROUP BY ALL),
+near AS (
+  SELECT v.n, v.template, v.diagonal, x.t_at, x.pos FROM v JOIN x
+  ON x.n = v.n AND x.template = v.template AND NOT v.phrase
+  AND x.diagonal BETWEEN v.diagonal - {SHIFT} AND v.diagonal + {SHIFT}
+),
+chain(n, template, diagonal, t_at, pos, links) AS (
+  SELECT n, template, diagonal, t_at, pos, 1 FROM near
+  UNION
+  SELECT near.n, near.template, near.diagonal, near.t_at, near.pos, links + 1
+  FROM chain JOIN near ON near.n = chain.n AND near.template = chain.template
+   AND near.diagonal = chain.diagonal AND near.t_at > chain.t_at AND near.pos > chain.pos
 ),
 m AS (
-  SELECT *, least(1.0, sum(votes) OVER (PARTITION BY n, template ORDER BY diagonal
-           RANGE BETWEEN {SHIFT} PRECEDING AND {SHIFT} FOLLOWING) / pairs) AS covered,
-         phrase AND votes = pairs AS place
-  FROM v
+  SELECT v.*, coalesce(longest, votes) / pairs AS covered, phrase AND votes = pairs AS place
+  FROM v LEFT JOIN (SELECT n, template, diagonal, max(links) AS longest FROM chain GROUP BY ALL)
+  USING (n, template, diagonal)
 ),
 s AS (
   SELECT n, count(*) FILTER (place) AS n_base, min(diagonal) FILTER (place) AS first_word,
@@ -124,7 +135,8 @@ l AS (
 c(doc_id, root) AS (
   SELECT doc_id, doc_id FROM d UNION SELECT l.b, c.root FROM c JOIN l ON l.a = c.doc_id
 )
-SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(root) AS component_id
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(root) AS component_id,
+       (SELECT count(*) FROM l WHERE l.a = d.doc_id) AS n_links
 FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id) GROUP BY ALL"""
 
 

@@ -1,7 +1,7 @@
 """Quality rules: surface counts and a hashed n-gram likelihood ratio for every document.
 
 Two multinomials over hashed word uni- and bigrams are counted: one over all documents
-(raw corpus), one over trusted documents. A document's score is its mean log ratio of
+(raw corpus), one over all trusted documents. A document's score is its mean log ratio of
 the two, so length does not matter; one threshold, derived from trusted documents that are
 scored without their own counts, gives the verdict.
 
@@ -28,12 +28,11 @@ from subtally.llm.textblocks import (
 
 #: Buckets of the hashed n-grams: the model is two arrays of this length.
 BUCKETS = 1 << 16
-#: Most trusted rows the target multinomial is counted on (chosen by the hash of their id).
-#: The raw multinomial always covers all documents.
-TRUSTED_ROWS = 20_000
+#: Up to so many trusted ids (of 8 bytes) are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
 #: The threshold is this quantile of the trusted texts' held-out scores, less the margin.
 LOW_QUANTILE = 0.005
-MARGIN = 0.1
+MARGIN = 0.05
 SMOOTHING = 1.0
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -147,21 +146,22 @@ class Ratio:
         return float((own * (target - raw)).sum() / len(bucket))
 
 
-def _marked(documents: DataFrame, trusted: DataFrame, limit: int) -> DataFrame:
-    """text and whether it belongs to one of at most `limit` trusted ids."""
+def _marked(documents: DataFrame, trusted: DataFrame) -> DataFrame:
+    """text and whether it belongs to a trusted id."""
     ids = trusted.filter("doc_id IS NOT NULL").select("doc_id").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).withColumn("trusted", F.lit(True))
-    # At most `limit` ids of 8 bytes are broadcast.
-    return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left").drop("doc_id")
+    few = ids.count() <= BROADCAST_IDS
+    ids = ids.withColumn("trusted", F.lit(True))
+    texts = documents.select("doc_id", "text")
+    return texts.join(F.broadcast(ids) if few else ids, "doc_id", "left").drop("doc_id")
 
 
-def fit(documents: DataFrame, trusted: DataFrame, limit: int = TRUSTED_ROWS) -> tuple[Ratio, float]:
+def fit(documents: DataFrame, trusted: DataFrame) -> tuple[Ratio, float]:
     """The two multinomials, and the least score that still passes.
 
     The threshold follows from the trusted texts: each is scored without its own counts,
     as a text outside the sample would be, and `MARGIN` is taken off a low quantile.
     """
-    marked = _marked(documents, trusted, limit)
+    marked = _marked(documents, trusted)
     counts = arrow_map(marked, _counted, "bucket int, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")
     )
@@ -182,8 +182,7 @@ def fit(documents: DataFrame, trusted: DataFrame, limit: int = TRUSTED_ROWS) ->
 
     scores = arrow_map(marked.filter("trusted"), held_out, "score double")
     low, n = scores.agg(F.percentile("score", F.lit(LOW_QUANTILE)), F.count("score")).first()
-    # A quantile of few scores is uncertain; the margin is wider for them.
-    return ratio, low - MARGIN - n**-0.5 if n else -np.inf
+    return ratio, low - MARGIN if n else -np.inf
 
 
 def fails(n_words, n_repeat_words):
@@ -192,15 +191,14 @@ def fails(n_words, n_repeat_words):
 
 
 def score_quality(
-    documents: DataFrame, trusted: DataFrame, threshold: float | None = None,
-    limit: int = TRUSTED_ROWS,
+    documents: DataFrame, trusted: DataFrame, threshold: float | None = None
 ) -> DataFrame:
     """The documents with their counts, `base_failed`, `score` and `kept`.
 
     All input columns are returned; result columns replace input columns of the same name.
     Without a `threshold` the one that `fit` derives is used.
     """
-    ratio, derived = fit(documents, trusted, limit)
+    ratio, derived = fit(documents, trusted)
     threshold = derived if threshold is None else threshold
     model = documents.sparkSession.sparkContext.broadcast(ratio.table())
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subtally.llm.common import BitFilter, arrow_map, lists, stored
+from subtally.llm.common import BitFilter, arrow_map, lists, stored, unused
 from subtally.llm.suffix_dedup import leftmost_minima
 from subtally.llm.textblocks import (
     Block, Words, covered, covered_ranges, mix, prefix_sums, text_blocks, window_hashes, words_of,
@@ -197,12 +197,13 @@ def remove_passages(documents: DataFrame, min_words: int = MIN_WORDS,
     """The documents with `n_words`, `n_removed`, `removed` runs of words and `kept_text`."""
     spark = documents.sparkSession
     period = min_words - anchor_words + 1
+    doc_name, row_name, ranges_name, whole_name = unused(documents, "__doc", "__row", "__ranges", "__whole")
     keyed = documents.withColumns({
-        "__doc": F.coalesce(F.col(row_id).cast("long"), F.lit(_LAST_ID)),
-        "__row": F.xxhash64(F.col(text)),
+        doc_name: F.coalesce(F.col(row_id).cast("long"), F.lit(_LAST_ID)),
+        row_name: F.xxhash64(F.col(text)),
     })
     texts = keyed.select(
-        F.col("__doc").alias("doc"), F.col("__row").alias("text_hash"), F.col(text).alias("text")
+        F.col(doc_name).alias("doc"), F.col(row_name).alias("text_hash"), F.col(text).alias("text")
     )
 
     def anchors(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -293,7 +294,7 @@ def remove_passages(documents: DataFrame, min_words: int = MIN_WORDS,
         )
     )
     small = keyed.select(
-        F.col("__doc").alias("doc"), F.col("__row").alias("text_hash"),
+        F.col(doc_name).alias("doc"), F.col(row_name).alias("text_hash"),
         F.sha2(F.col(text), 256).alias("digest"),
     )
     first = small.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
@@ -306,19 +307,19 @@ def remove_passages(documents: DataFrame, min_words: int = MIN_WORDS,
     )
     by_text = (
         marks.unionByName(copies)
-        .groupBy(F.col("doc").alias("__doc"), F.col("text_hash").alias("__row"))
+        .groupBy(F.col("doc").alias(doc_name), F.col("text_hash").alias(row_name))
         # Ranges of one text, at most one for each of its words.
-        .agg(F.collect_set("range").alias("__ranges"), F.bool_or("whole").alias("__whole"))
+        .agg(F.collect_set("range").alias(ranges_name), F.bool_or("whole").alias(whole_name))
     )
-    joined = keyed.join(by_text, ["__doc", "__row"], "left").drop("__doc", "__row")
+    joined = keyed.join(by_text, [doc_name, row_name], "left").drop(doc_name, row_name)
     results = ("n_words", "n_removed", "removed", "kept_text")
     carried = [c for c in documents.columns if c not in results]
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
-        whole = np.asarray(batch.column("__whole").fill_null(False))
+        whole = np.asarray(batch.column(whole_name).fill_null(False))
         for block in text_blocks(batch.column(text)):
             words = words_of(block)
-            own = batch.column("__ranges").slice(block.row, block.rows)
+            own = batch.column(ranges_name).slice(block.row, block.rows)
             number = np.repeat(np.arange(block.rows), np.asarray(own.value_lengths().fill_null(0)))
             flat, base = own.flatten(), words.first[number]
             everything = whole[block.row : block.row + block.rows] & (words.counts >= min_words)

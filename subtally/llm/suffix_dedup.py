@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subtally.llm.common import BitFilter, arrow_map, stored
+from subtally.llm.common import BitFilter, arrow_map, stored, unused
 from subtally.llm.textblocks import _BYTE_VALUES, Block, covered_ranges, mix, prefix_sums, text_blocks
 
 MIN_BYTES = 400
@@ -261,12 +261,13 @@ def remove_repeats(documents: DataFrame, length: int = MIN_BYTES, seed: int = SE
                    text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """The documents with `n_bytes`, `n_removed`, `n_spans` and `kept_bytes`."""
     spark = documents.sparkSession
+    doc_name, row_name, d_name, r_name, ranges_name = unused(documents, "__doc", "__row", "__d", "__r", "__ranges")
     keyed = documents.withColumns({
-        "__doc": F.col(row_id).cast("long"), "__row": F.xxhash64(F.col(text)),
+        doc_name: F.col(row_id).cast("long"), row_name: F.xxhash64(F.col(text)),
     })
     long_texts = keyed.filter(F.octet_length(text) >= length)
     texts = long_texts.select(
-        F.col("__doc").alias("doc"), F.col("__row").alias("row"), F.col(text).alias("text")
+        F.col(doc_name).alias("doc"), F.col(row_name).alias("row"), F.col(text).alias("text")
     )
 
     def blocks(batch: pa.RecordBatch) -> Iterator[tuple[Block, np.ndarray]]:
@@ -344,29 +345,29 @@ def remove_repeats(documents: DataFrame, length: int = MIN_BYTES, seed: int = SE
     )
     copies = (
         long_texts.groupBy(F.sha2(F.col(text), 256).alias("digest"))
-        .agg(F.count("*").alias("n"), F.min("__row").alias("row"), F.min(F.octet_length(text)).alias("end"))
+        .agg(F.count("*").alias("n"), F.min(row_name).alias("row"), F.min(F.octet_length(text)).alias("end"))
         .filter("n > 1")
         .select("row", F.lit(0).cast("long").alias("first"), F.col("end").cast("long"))
     )
     whole = (
-        long_texts.select(F.col("__doc").alias("doc"), F.col("__row").alias("row"))
+        long_texts.select(F.col(doc_name).alias("doc"), F.col(row_name).alias("row"))
         .distinct()
         .join(copies, "row")
         .select("doc", "row", "first", "end")
     )
     by_text = (
         ranges.unionByName(whole)
-        .groupBy(F.col("doc").alias("d"), F.col("row").alias("r"))
-        .agg(F.collect_set(F.struct("first", "end")).alias("__ranges"))  # within one text
+        .groupBy(F.col("doc").alias(d_name), F.col("row").alias(r_name))
+        .agg(F.collect_set(F.struct("first", "end")).alias(ranges_name))  # within one text
     )
-    match = keyed["__doc"].eqNullSafe(by_text["d"]) & (keyed["__row"] == by_text["r"])
-    joined = keyed.join(by_text, match, "left").drop("__doc", "__row", "d", "r")
+    match = keyed[doc_name].eqNullSafe(by_text[d_name]) & (keyed[row_name] == by_text[r_name])
+    joined = keyed.join(by_text, match, "left").drop(doc_name, row_name, d_name, r_name)
     results = ("n_bytes", "n_removed", "n_spans", "kept_bytes")
     carried = [c for c in documents.columns if c not in results]
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         for block in text_blocks(batch.column(text)):
-            own = batch.column("__ranges").slice(block.row, block.rows)
+            own = batch.column(ranges_name).slice(block.row, block.rows)
             number = np.repeat(np.arange(block.rows), np.asarray(own.value_lengths().fill_null(0)))
             flat = own.flatten()
             base = block.offsets[number]

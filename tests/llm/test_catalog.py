@@ -18,7 +18,9 @@ def test_matches_duckdb(spark, sf_dir, key):
         con.execute(f"CREATE VIEW {table} AS FROM '{path + '/*' if os.path.isdir(path) else path}'")
     result = con.execute(catalog.oracle_sql()[key])
     columns = [c[0] for c in result.description]
-    rows = catalog.queries()[key](spark, sf_dir).select(*columns).collect()
+    frame = catalog.queries()[key](spark, sf_dir)
+    assert sorted(frame.columns) == sorted(columns)
+    rows = frame.select(*columns).collect()
     assert sorted(map(tuple, rows), key=repr) == sorted(result.fetchall(), key=repr)
 
 

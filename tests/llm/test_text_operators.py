@@ -8,7 +8,9 @@ import pyarrow as pa
 import pytest
 from brute import ODD
 
+from subtally.llm.co_training import classify
 from subtally.llm.jaccard_join import jaccard_join, near_duplicates
+from subtally.llm.license_scan import scan_licenses
 from subtally.llm.quality_rules import score_quality
 from subtally.llm.substring_dedup import difference_cover, remove_passages
 from subtally.llm.suffix_dedup import remove_repeats, repeated_strings
@@ -157,3 +159,51 @@ def test_string_arrays_stay_whole():
 
     column = pa.array(["ab", None, "", "cde"]).slice(1)
     assert [bytes(b.data) for b in text_blocks(column)] == [b"cde"]
+
+
+def test_extra_columns_may_have_any_name(spark, sf_dir):
+    """Names that the operators use inside, and dots, survive with their values."""
+    names = ["d", "r", "__doc", "__row", "__ranges", "__whole", "__meta", "a.b"]
+    rows = [(i, "one two three " * 40, "en", "s", 3, *[f"{n}{i}" for n in names]) for i in range(4)]
+    frame = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *names])
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    for result in (
+        remove_repeats(frame), remove_passages(frame), score_quality(frame, labels.filter("quality = 1")),
+        classify(frame, labels), scan_licenses(frame),
+    ):
+        got = {r.doc_id: tuple(r[n] for n in names) for r in result.collect()}
+        assert got == {i: tuple(f"{n}{i}" for n in names) for i in range(4)}
+
+
+def test_classifier_with_few_labels(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    few = labels.filter("quality = 1").limit(3).unionByName(labels.filter("quality = 0").limit(3))
+    assert classify(docs, few).count() == docs.count()
+
+
+def test_quality_score_is_the_mean_log_ratio(spark):
+    """Against plain Python over the texts' own buckets, and the verdict by the threshold."""
+    import numpy as np
+
+    from subtally.llm import quality_rules as q
+    from subtally.llm.textblocks import text_blocks
+
+    texts = ["a b c " * 10, "a b d " * 12, "x y z " * 9, "B c a", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    trusted = spark.createDataFrame([(0,), (1,), (0,), (77,), (None,)], "doc_id long")
+    grams = []
+    for text in texts:
+        (block,) = text_blocks(pa.array([text]))
+        grams.append(q.gram_buckets(block)[1].tolist())
+    raw, target = np.zeros(q.BUCKETS), np.zeros(q.BUCKETS)
+    for i, buckets in enumerate(grams):
+        for bucket in buckets:
+            raw[bucket] += 1
+            target[bucket] += i in (0, 1)
+    smooth = lambda c: np.log((c + q.SMOOTHING) / (c.sum() + q.SMOOTHING * q.BUCKETS))
+    ratio = smooth(target) - smooth(raw)
+    for row in score_quality(docs, trusted, threshold=0.0).collect():
+        buckets = grams[row.doc_id]
+        assert row.score == (pytest.approx(np.mean(ratio[buckets])) if buckets else None)
+        assert row.kept == (not row.base_failed and row.score >= 0)
