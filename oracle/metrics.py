@@ -18,7 +18,7 @@ from oracle.timeline import (
 REVENUE = """
 unrefunded AS (
   SELECT i.*, l.span, l.line_start, l.line_end, p.product_name, r.cents
-  FROM invoices i JOIN lines l USING (invoice_id)
+  FROM invoices i JOIN own_lines l USING (invoice_id)
   JOIN products p USING (product) JOIN prices r USING (product)
   WHERE i.charge NOT IN (SELECT refunded FROM refunds)
 ),
@@ -67,7 +67,7 @@ def revenue_monthly() -> str:
 HISTORY = """
 history AS (
   SELECT i.customer, i.sub_id, i.invoice_id, l.line_key, l.line_start, r.cents
-  FROM invoices i JOIN lines l USING (invoice_id)
+  FROM invoices i JOIN own_lines l USING (invoice_id)
   JOIN products USING (product) JOIN prices r USING (product)
   LEFT JOIN (SELECT latest_invoice FROM subs
              WHERE status IN ('active', 'past_due', 'incomplete') AND from_s <> to_s) s
@@ -144,7 +144,7 @@ latest AS (
          CAST(make_timestamp(from_s * 1000000) AS DATE) AS usage_start,
          CAST(make_timestamp(to_s * 1000000) AS DATE) AS usage_end,
          invoice_id, payment_intent
-  FROM invoices JOIN lines USING (invoice_id) JOIN products USING (product)
+  FROM invoices JOIN own_lines USING (invoice_id) JOIN products USING (product)
   JOIN intents USING (invoice_id)
 )"""
 
@@ -175,7 +175,7 @@ first_invoices AS (
   SELECT customer, invoice_id, line_key, subtotal, product_name,
          CAST(line_start AS DATE) AS subscription_start, CAST(line_end AS DATE) AS subscription_end,
          CAST(year(line_start) AS INTEGER) AS year, CAST(month(line_start) AS INTEGER) AS month
-  FROM invoices JOIN lines USING (invoice_id) JOIN products USING (product)
+  FROM invoices JOIN own_lines USING (invoice_id) JOIN products USING (product)
   WHERE status = 'paid' AND subtotal > 0
   QUALIFY row_number() OVER (
     PARTITION BY customer ORDER BY CAST(line_start AS DATE), invoice_id, line_key) = 1

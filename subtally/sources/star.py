@@ -18,9 +18,9 @@ from subtally.sources.tables import BillingTables
 
 DAY = 86400
 PRODUCTS = 20
-# Lines name them, but one has no row in products and the other none in prices.
-UNKNOWN_PRODUCT = 16
-UNPRICED_PRODUCT = 12
+# Named by some lines beside their own product: one has no row in products, the other none in prices.
+UNKNOWN_PRODUCT = "prod_20"
+UNPRICED_PRODUCT = "prod_21"
 
 
 def _tag(prefix: str, key: Column) -> Column:
@@ -106,6 +106,9 @@ class _Star:
             (start + F.when(yearly, 365 * DAY).otherwise(30 * DAY)).alias("end"),
             F.when(yearly, "year").otherwise("month").alias("interval"),
             _tag("prod_", F.col("l_partkey") % PRODUCTS).alias("product"),
+            F.when(F.col("l_partkey") % 25 == 16, UNKNOWN_PRODUCT)
+            .when(F.col("l_partkey") % 25 == 12, UNPRICED_PRODUCT)
+            .alias("other_product"),
             (number == 5).alias("quoted"),
         )
 
@@ -150,19 +153,21 @@ class _Star:
         return self._read("part").select((F.col("p_partkey") % PRODUCTS).alias("n")).distinct()
 
     def products(self) -> DataFrame:
+        """A row per number, and one of the product without a price."""
         n = F.col("n")
-        return self.product_numbers().filter(n != UNKNOWN_PRODUCT).select(
-            _tag("prod_", n).alias("id"), _tag("plan ", n).alias("name")
-        )
+        row = F.struct(_tag("prod_", n).alias("id"), _tag("plan ", n).alias("name"))
+        extra = F.struct(F.lit(UNPRICED_PRODUCT).alias("id"), F.lit("unpriced").alias("name"))
+        rows = F.when(n == 0, F.array(row, extra)).otherwise(F.array(row))
+        return self.product_numbers().select(F.inline(rows))
 
     def prices(self) -> DataFrame:
-        """One price per product, a second one of product 3, none of one product."""
+        """One price per product, and a second one of product 3."""
         n = F.col("n")
         listed = F.when(n % 5 == 0, F.lit(0)).otherwise(n * 1000 + 990).cast("long")
         amounts = F.when(n == 3, F.array(listed, F.lit(7777).cast("long"))).otherwise(
             F.array(listed)
         )
-        return self.product_numbers().filter(n != UNPRICED_PRODUCT).select(
+        return self.product_numbers().select(
             _tag("prod_", n).alias("product"), F.explode(amounts).alias("unit_amount")
         )
 
@@ -186,6 +191,12 @@ def _hashed_subscriptions(subscriptions: DataFrame) -> DataFrame:
     return subscriptions.withColumn(SUBSCRIPTION_HASH, F.col("id"))
 
 
+def _priced_products() -> Column:
+    """The product of a line and the other one it names, if any."""
+    other = F.col("other_product")
+    return F.when(other.isNull(), F.array("product")).otherwise(F.array("product", other))
+
+
 _NORMALIZED_CUTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "invoice_line_items": (
         "lines",
@@ -194,7 +205,10 @@ _NORMALIZED_CUTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
         ),
     ),
     "invoice_line_items_period": ("lines", lambda w: w.select(LINE_HASH, "start", "end")),
-    "invoice_line_items_price": ("lines", lambda w: w.select(LINE_HASH, "product")),
+    "invoice_line_items_price": (
+        "lines",
+        lambda w: w.select(LINE_HASH, F.explode(_priced_products()).alias("product")),
+    ),
     "invoice_line_items_plan": ("lines", lambda w: w.select(LINE_HASH, "interval", "product")),
     "invoice_line_items_discount_amounts": (
         "lines",
