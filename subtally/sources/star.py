@@ -158,7 +158,7 @@ class _Star:
         row = F.struct(_tag("prod_", n).alias("id"), _tag("plan ", n).alias("name"))
         extra = F.struct(F.lit(UNPRICED_PRODUCT).alias("id"), F.lit("unpriced").alias("name"))
         rows = F.when(n == 0, F.array(row, extra)).otherwise(F.array(row))
-        return self.product_numbers().select(F.inline(rows))
+        return self.product_numbers().select(F.explode(rows).alias("row")).select("row.*")
 
     def prices(self) -> DataFrame:
         """One price per product, and a second one of product 3."""
