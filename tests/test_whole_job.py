@@ -5,6 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from subtally.catalog import AS_OF
+from subtally.operators import grouping
 from subtally.plans import counts
 from subtally.sources.star import billing_tables
 
@@ -56,3 +58,15 @@ def test_lines_that_name_another_product_keep_their_own(spark, star):
     both = {tuple(sorted(r.p)) for r in named.collect() if len(r.p) > 1}
     assert both == {("prod_16", "prod_20"), ("prod_12", "prod_21"), ("prod_17", "prod_21")}
     assert t.products.filter("id = 'prod_20'").count() == t.prices.filter("product IN ('prod_20', 'prod_21')").count() == 0
+
+
+def test_tasks_of_periods_follow_the_invoices(spark, star, monkeypatch):
+    """Adaptive execution may not put together the tasks that hold a customer's periods."""
+    t = billing_tables(spark, star)
+    whole = counts.existing_customers(t, AS_OF).collect()
+    monkeypatch.setattr(grouping, "ROWS_PER_TASK", 6)
+    frame = counts.existing_customers(t, AS_OF)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    (dealt,) = [x for x in plan.split("\n") if "REPARTITION_BY" in x]
+    assert "hashpartitioning(customer" in dealt and ", 7), REPARTITION_BY_NUM" in dealt
+    assert whole and frame.collect() == whole
