@@ -13,6 +13,9 @@ are indexed: token -> sets, with set size and token position.
   Only pairs that are in different groups so far and that this bound admits are compared.
 * Candidates are compared on their prefixes, which bounds the overlap from above, and those
   that remain on their full sets.
+* Of two groups that long lists bring together, a few pairs are compared on their full sets at
+  first. One link makes them one group; only of groups that stay apart more and more pairs are
+  compared, in rounds, until all of them are.
 
 That finds the groups, and every link lies within one. A link that has not been compared by
 then joins two members of long lists. `jaccard_join` returns all links: those compared, and
@@ -39,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subtally.llm.common import BitFilter, arrow_map, lists, stored
@@ -56,6 +59,10 @@ FREQUENT = 4
 SHORT_LIST = 16
 #: Members of a long list that all others are compared with first.
 PIVOTS = 6
+#: Pairs of two groups that are compared on their full sets at first, and the growth of their
+#: number from round to round as long as the groups stay apart and have more.
+FIRST_PAIRS = 8
+MORE_PAIRS = 8
 #: Members of a block, and of a salted part of a very long list.
 BLOCK_SETS = 256
 PART_SETS = 4096
@@ -340,10 +347,29 @@ class _Sets:
         return _bounded(pairs, _one_per_set(self.full(wanted)), self._percent, True)
 
 
+_CROSS = "grp long, grp_2 long, a array<long>, b array<long>, above array<long>, sets array<long>"
+
+
+def _by_groups(groups: np.ndarray, pairs: np.ndarray, above: np.ndarray) -> dict:
+    """A row for each two groups with their pairs, those of the best bounds first."""
+    order = np.lexsort((pairs[1], pairs[0], -above, groups[1], groups[0]))
+    groups, pairs, above = groups[:, order], pairs[:, order], above[order]
+    new = np.ones(groups.shape[1], bool)
+    new[1:] = (groups[:, 1:] != groups[:, :-1]).any(axis=0)
+    bounds = np.append(np.flatnonzero(new), len(new))
+    sets = np.unique(pairs)
+    own = np.full(len(bounds), len(sets))
+    own[0] = 0  # all sets of the cell are in its first row
+    return {"grp": groups[0, new], "grp_2": groups[1, new], "a": lists(pairs[0], bounds),
+            "b": lists(pairs[1], bounds), "above": lists(above, bounds), "sets": lists(sets, own)}
+
+
 def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefixes: DataFrame,
                  percent: int) -> DataFrame:
     """Pairs of long lists whose sets are in different groups and whose bounds admit a link.
 
+    A row holds all pairs of two groups in a cell; the first row of a cell also all its sets.
+
     `members`: set, pivot, token, block, n, rest; `known`: compared pairs; `groups`: set, grp;
     `prefixes`: set, tokens. A pair is looked at in the list of its first common token only.
     """
@@ -396,7 +422,7 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefix
             p, q = ({n: np.asarray(v.values.field(n)) for n in
                      ("set", "n", "rest", "grp", "pivot", "low", "high")} for v in (x, y))
             first, second = (_token_lists(v.values.field("tokens")) for v in (x, y))
-            found: list[tuple[int, int]] = []
+            found: list[tuple[int, ...]] = []
             for at in range(len(p["set"])):
                 n = p["n"][at]
                 least = needed(n, q["n"], percent)
@@ -410,12 +436,43 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefix
                     before = one[: np.searchsorted(one, token)], two[: np.searchsorted(two, token)]
                     if np.isin(*before, assume_unique=True).any():
                         continue
-                    if _overlap(one, two, n, q["n"][j])[1] >= least[j]:
-                        found.append(tuple(sorted((p["set"][at], q["set"][j]))))
+                    above = _overlap(one, two, n, q["n"][j])[1] - least[j]
+                    if above >= 0:
+                        found.append((p["grp"][at], q["grp"][j], p["set"][at], q["set"][j], above))
             if found:
-                yield dict(zip("ab", np.array(found, np.int64).T))
-
-    return arrow_map(both, pairs, "a long, b long").distinct()
+                g, h, a, b, above = np.array(found, np.int64).T
+                yield _by_groups(np.sort((g, h), axis=0), np.sort((a, b), axis=0), above)
+
+    return arrow_map(both, pairs, _CROSS)
+
+
+def _across(cells: DataFrame, sets: _Sets, known: DataFrame, groups: DataFrame,
+            percent: int) -> tuple[DataFrame, DataFrame]:
+    """Groups after the links of `_cross_pairs`, and the links compared for that: a, b, low."""
+    whole = stored(_one_per_set(sets.full(cells.select(F.explode("sets").alias("set")).distinct())))
+    order = Window.partitionBy("grp", "grp_2").orderBy(F.desc("above"), "a", "b")
+    apart, late, reach, cut = cells.drop("sets"), None, FIRST_PAIRS, True
+    while cut:
+        pairs = apart.select("grp", "grp_2", F.inline(F.slice(F.arrays_zip("a", "b", "above"), 1, reach + 1)))
+        ranked = pairs.distinct().withColumn("rank", F.row_number().over(order))
+        best = stored(ranked.filter(F.col("rank") <= reach + 1))
+        # One more pair than is compared tells whether there are more.
+        cut = bool(best.filter(F.col("rank") > reach).take(1))
+        fresh = best.filter(F.col("rank") <= reach).select("a", "b").join(known, ["a", "b"], "left_anti")
+        done = stored(_bounded(fresh, whole, percent, True)).select("a", "b", "low", "linked")
+        known = known.unionByName(done.select("a", "b"))
+        links = done.filter("linked").drop("linked")
+        late = links if late is None else late.unionByName(links)
+        if links.take(1):
+            groups = stored(_merged(groups, links))
+            for x in ("grp", "grp_2"):  # a group is named by one of its sets
+                now = groups.select(F.col("set").alias(x), F.col("grp").alias("now"))
+                apart = apart.join(now, x, "left").withColumn(x, F.coalesce("now", x)).drop("now")
+            swap = F.struct(F.least("grp", "grp_2").alias("grp"), F.greatest("grp", "grp_2").alias("grp_2"))
+            apart = apart.filter("grp <> grp_2").select(swap.alias("g"), "a", "b", "above").select("g.*", "a", "b", "above")
+            apart = stored(apart) if cut else apart
+        reach *= MORE_PAIRS
+    return groups, late
 
 
 def _merged(groups: DataFrame, late: DataFrame) -> DataFrame:
@@ -445,13 +502,8 @@ def _groups(sets: _Sets, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]
     known = sets.compared(candidates)
     linked = known.filter("linked").select("a", "b")
     groups = stored(components(linked).select(F.col("node").alias("set"), F.col("component").alias("grp")))
-    rest = stored(
-        _cross_pairs(members, known, groups, _one_per_set(sets.prefixes), percent)
-        .join(known.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    late = stored(sets.verified(rest).filter("linked").select("a", "b", "low"))
-    if late.take(1):
-        groups = _merged(groups, late)
+    cells = stored(_cross_pairs(members, known, groups, _one_per_set(sets.prefixes), percent))
+    groups, late = _across(cells, sets, known.select("a", "b"), groups, percent)
     compared = known.filter("linked").select("a", "b", "low").unionByName(late)
     return groups, compared, members.select("set").distinct()
 

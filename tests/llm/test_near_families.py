@@ -1,0 +1,55 @@
+"""Families of near copies: few pairs on whole sets, all groups."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from subtally.llm import jaccard_join
+from subtally.llm.jaccard_join import near_duplicates
+
+
+def _family(near, far):
+    """Texts of one changed word each, and texts of two; these link with one in twenty of the others."""
+    rng = random.Random(near)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(100)]
+    for i, changes in enumerate([1] * near + [2] * far):
+        words = list(base)
+        for place in rng.sample(range(8, 94, 2), changes):
+            words[place] = f"x{i}y{place}"
+        yield i, " ".join(words)
+
+
+def _smallest(texts):
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in texts for w in [t.split()]}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in sets}
+
+
+def test_pairs_follow_the_texts(spark, monkeypatch):
+    texts = list(_family(160, 80))
+    compared = []
+    bounded = jaccard_join._bounded
+
+    def counted(pairs, sets, percent, whole):
+        if whole:
+            compared.append(pairs.count())
+        return bounded(pairs, sets, percent, whole)
+
+    monkeypatch.setattr(jaccard_join, "_bounded", counted)
+    # Two documents of other words keep the family apart from the rest.
+    rows = texts + [(1000, "one two three four five six"), (1001, None)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, F.col("doc_id"))
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents).collect()}
+    assert found == _smallest(texts) | {1000: 1000, 1001: 1001}
+    assert sum(compared) <= 25 * len(texts)
