@@ -61,7 +61,7 @@ SHORT_LIST = 16
 PIVOTS = 6
 #: Pairs of two groups that are compared on their full sets at first, and the growth of their
 #: number from round to round as long as the groups stay apart and have more.
-FIRST_PAIRS = 8
+FIRST_PAIRS = 64
 MORE_PAIRS = 8
 #: Members of a block, and of a salted part of a very long list.
 BLOCK_SETS = 256
@@ -347,29 +347,13 @@ class _Sets:
         return _bounded(pairs, _one_per_set(self.full(wanted)), self._percent, True)
 
 
-_CROSS = "grp long, grp_2 long, a array<long>, b array<long>, above array<long>, sets array<long>"
-
-
-def _by_groups(groups: np.ndarray, pairs: np.ndarray, above: np.ndarray) -> dict:
-    """A row for each two groups with their pairs, those of the best bounds first."""
-    order = np.lexsort((pairs[1], pairs[0], -above, groups[1], groups[0]))
-    groups, pairs, above = groups[:, order], pairs[:, order], above[order]
-    new = np.ones(groups.shape[1], bool)
-    new[1:] = (groups[:, 1:] != groups[:, :-1]).any(axis=0)
-    bounds = np.append(np.flatnonzero(new), len(new))
-    sets = np.unique(pairs)
-    own = np.full(len(bounds), len(sets))
-    own[0] = 0  # all sets of the cell are in its first row
-    return {"grp": groups[0, new], "grp_2": groups[1, new], "a": lists(pairs[0], bounds),
-            "b": lists(pairs[1], bounds), "above": lists(above, bounds), "sets": lists(sets, own)}
+_CROSS = "grp long, grp_2 long, a long, b long, above long"
 
 
 def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefixes: DataFrame,
                  percent: int) -> DataFrame:
     """Pairs of long lists whose sets are in different groups and whose bounds admit a link.
 
-    A row holds all pairs of two groups in a cell; the first row of a cell also all its sets.
-
     `members`: set, pivot, token, block, n, rest; `known`: compared pairs; `groups`: set, grp;
     `prefixes`: set, tokens. A pair is looked at in the list of its first common token only.
     """
@@ -441,36 +425,32 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefix
                         found.append((p["grp"][at], q["grp"][j], p["set"][at], q["set"][j], above))
             if found:
                 g, h, a, b, above = np.array(found, np.int64).T
-                yield _by_groups(np.sort((g, h), axis=0), np.sort((a, b), axis=0), above)
+                (g, h), (a, b) = np.sort((g, h), axis=0), np.sort((a, b), axis=0)
+                yield {"grp": g, "grp_2": h, "a": a, "b": b, "above": above}
 
-    return arrow_map(both, pairs, _CROSS)
+    return arrow_map(both, pairs, _CROSS).distinct()
 
 
-def _across(cells: DataFrame, sets: _Sets, known: DataFrame, groups: DataFrame,
-            percent: int) -> tuple[DataFrame, DataFrame]:
-    """Groups after the links of `_cross_pairs`, and the links compared for that: a, b, low."""
-    whole = stored(_one_per_set(sets.full(cells.select(F.explode("sets").alias("set")).distinct())))
+def _across(pairs: DataFrame, sets: _Sets, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups after the links among `_cross_pairs`, and the links compared for that: a, b, low."""
     order = Window.partitionBy("grp", "grp_2").orderBy(F.desc("above"), "a", "b")
-    apart, late, reach, cut = cells.drop("sets"), None, FIRST_PAIRS, True
-    while cut:
-        pairs = apart.select("grp", "grp_2", F.inline(F.slice(F.arrays_zip("a", "b", "above"), 1, reach + 1)))
-        ranked = pairs.distinct().withColumn("rank", F.row_number().over(order))
-        best = stored(ranked.filter(F.col("rank") <= reach + 1))
-        # One more pair than is compared tells whether there are more.
-        cut = bool(best.filter(F.col("rank") > reach).take(1))
-        fresh = best.filter(F.col("rank") <= reach).select("a", "b").join(known, ["a", "b"], "left_anti")
-        done = stored(_bounded(fresh, whole, percent, True)).select("a", "b", "low", "linked")
-        known = known.unionByName(done.select("a", "b"))
-        links = done.filter("linked").drop("linked")
+    late, reach, more = None, FIRST_PAIRS, True
+    while more:
+        ranked = stored(pairs.withColumn("rank", F.row_number().over(order)))
+        links = stored(sets.verified(ranked.filter(F.col("rank") <= reach).select("a", "b")).filter("linked"))
+        links = links.select("a", "b", "low")
         late = links if late is None else late.unionByName(links)
         if links.take(1):
             groups = stored(_merged(groups, links))
+        pairs = ranked.filter(F.col("rank") > reach).drop("rank")
+        more = bool(pairs.take(1))
+        if more:
             for x in ("grp", "grp_2"):  # a group is named by one of its sets
                 now = groups.select(F.col("set").alias(x), F.col("grp").alias("now"))
-                apart = apart.join(now, x, "left").withColumn(x, F.coalesce("now", x)).drop("now")
-            swap = F.struct(F.least("grp", "grp_2").alias("grp"), F.greatest("grp", "grp_2").alias("grp_2"))
-            apart = apart.filter("grp <> grp_2").select(swap.alias("g"), "a", "b", "above").select("g.*", "a", "b", "above")
-            apart = stored(apart) if cut else apart
+                pairs = pairs.join(now, x, "left").withColumn(x, F.coalesce("now", x)).drop("now")
+            low, high = F.least("grp", "grp_2").alias("grp"), F.greatest("grp", "grp_2").alias("grp_2")
+            pairs = stored(pairs.filter("grp <> grp_2").select(low, high, "a", "b", "above"))
+            more = bool(pairs.take(1))
         reach *= MORE_PAIRS
     return groups, late
 
@@ -502,8 +482,8 @@ def _groups(sets: _Sets, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]
     known = sets.compared(candidates)
     linked = known.filter("linked").select("a", "b")
     groups = stored(components(linked).select(F.col("node").alias("set"), F.col("component").alias("grp")))
-    cells = stored(_cross_pairs(members, known, groups, _one_per_set(sets.prefixes), percent))
-    groups, late = _across(cells, sets, known.select("a", "b"), groups, percent)
+    rest = _cross_pairs(members, known, groups, _one_per_set(sets.prefixes), percent)
+    groups, late = _across(rest.join(known.select("a", "b"), ["a", "b"], "left_anti"), sets, groups)
     compared = known.filter("linked").select("a", "b", "low").unionByName(late)
     return groups, compared, members.select("set").distinct()
 

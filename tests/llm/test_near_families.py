@@ -37,7 +37,7 @@ def _smallest(texts):
 
 
 def test_pairs_follow_the_texts(spark, monkeypatch):
-    texts = list(_family(160, 80))
+    texts = list(_family(400, 80))
     compared = []
     bounded = jaccard_join._bounded
 
