@@ -10,7 +10,8 @@ are indexed: token -> sets, with set size and token position.
 * A long list is not compared pair by pair. Its `PIVOTS` members of smallest hash are
   compared with all others first. What is known of a member against the first pivot then
   bounds its overlap with any other member: at most overlap(pivot, y) + |x| - overlap(pivot, x).
-  Only pairs that are in different groups so far and that this bound admits are compared.
+  Only pairs that are in different groups so far and that this bound admits are compared, block
+  by block: a block's sets travel, each with its partners, never a row for each pair.
 * Candidates are compared on their prefixes, which bounds the overlap from above, and those
   that remain on their full sets.
 
@@ -34,7 +35,7 @@ not null. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -340,12 +341,41 @@ class _Sets:
         return _bounded(pairs, _one_per_set(self.full(wanted)), self._percent, True)
 
 
-def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefixes: DataFrame,
-                 percent: int) -> DataFrame:
-    """Pairs of long lists whose sets are in different groups and whose bounds admit a link.
+def _by_cell(handle: Callable[[pa.Table], Iterator[pa.RecordBatch]]):
+    """Hands over the rows of one cell at a time, of batches in which cells stand together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            key = np.asarray(batch.column("cell"))
+            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
+                if held and held[0].column("cell")[0].as_py() != int(key[low]):
+                    yield from handle(pa.Table.from_batches(held))
+                    held = []
+                if high > low:
+                    held.append(batch.slice(low, high - low))
+        if held:
+            yield from handle(pa.Table.from_batches(held))
+
+    return run
+
+
+def _in_cells(rows: DataFrame, handle: Callable[[pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_by_cell(handle), schema)
+
+
+_CANDIDATE = "cell long, set long, n long, grp long, partners array<long>"
+
+
+def _cross_candidates(members: DataFrame, known: DataFrame, groups: DataFrame, prefixes: DataFrame,
+                      percent: int) -> DataFrame:
+    """Sets of long lists that may be linked with a set of another group, with these partners.
 
     `members`: set, pivot, token, block, n, rest; `known`: compared pairs; `groups`: set, grp;
-    `prefixes`: set, tokens. A pair is looked at in the list of its first common token only.
+    `prefixes`: set, tokens. Two blocks of a list (or one with itself) are a cell. A pair is
+    looked at in the list of its first common token only, and both its sets have a row in that
+    cell: there are as many rows as members of cells, not as pairs.
     """
     grouped = members.join(groups, "set", "left").withColumn("grp", F.coalesce("grp", "set"))
     mixed = grouped.groupBy("token").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).filter("x < y")
@@ -354,11 +384,6 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefix
         known.select(F.col("b").alias("set"), F.col("a").alias("pivot"), "low", "high")
     )
     left = left.join(facts, ["set", "pivot"], "left")
-    member = F.struct(
-        "set", "n", "rest", "grp", "pivot", "tokens",
-        F.when(F.col("set") == F.col("pivot"), F.col("n")).otherwise(F.coalesce("low", F.lit(0))).alias("low"),
-        F.when(F.col("set") == F.col("pivot"), F.col("n")).otherwise(F.coalesce("high", "n")).alias("high"),
-    )
     blocks = left.groupBy("token", "block").agg(
         F.min("n").alias("n_min"), F.max("n").alias("n_max"),
         F.max("rest").alias("rest_max"), F.min("grp").alias("grp_min"), F.max("grp").alias("grp_max"),
@@ -373,49 +398,102 @@ def _cross_pairs(members: DataFrame, known: DataFrame, groups: DataFrame, prefix
         & ~((F.col("grp_min") == F.col("grp_max")) & (F.col("grp_min_2") == F.col("grp_max_2"))
             & (F.col("grp_min") == F.col("grp_min_2")))
     )
-    reached = stored(blocks.join(other, "token").filter(reach).select("token", "block", "block_2"))
-    alone, apart = reached.filter("block = block_2"), reached.filter("block < block_2")
-
-    def filled(keys: DataFrame) -> DataFrame:
-        """The wanted blocks with their members, at most BLOCK_SETS."""
-        rows = left.join(keys, ["token", "block"], "left_semi").join(prefixes.select("set", "tokens"), "set")
-        return rows.groupBy("token", "block").agg(F.collect_list(member).alias("members"))
-
-    # Tokens are moved again only for pairs of different blocks.
-    ends = apart.select("token", F.explode(F.array("block", "block_2")).alias("block")).distinct()
-    two = filled(ends)
-    both = filled(alone).select("token", "members", F.col("members").alias("members_2")).unionByName(
-        apart.join(two, ["token", "block"]).join(
-            two.select("token", F.col("block").alias("block_2"), F.col("members").alias("members_2")),
-            ["token", "block_2"],
-        ).select("token", "members", "members_2")
+    reached = blocks.join(other, "token").filter(reach)
+    same = F.col("block") == F.col("block_2")
+    sides = reached.select(
+        "token", F.xxhash64("token", "block", "block_2").alias("cell"), same.alias("same"),
+        F.explode(F.when(same, F.array(F.struct("block", F.lit(0).alias("side")))).otherwise(F.array(
+            F.struct("block", F.lit(0).alias("side")),
+            F.struct(F.col("block_2").alias("block"), F.lit(1).alias("side"))))).alias("at"),
+    ).select("token", "cell", "same", "at.block", "at.side")
+    pivot = F.col("set") == F.col("pivot")
+    placed = left.join(sides, ["token", "block"]).select(
+        "cell", "side", "same", "token", "set", "n", "rest", "grp", "pivot",
+        F.when(pivot, F.col("n")).otherwise(F.coalesce("low", F.lit(0))).alias("low"),
+        F.when(pivot, F.col("n")).otherwise(F.coalesce("high", "n")).alias("high"),
     )
+    rows = placed.join(prefixes.select("set", "tokens"), "set")
+
+    def candidates(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        token = np.asarray(cell["token"]).view(np.uint64)[0]
+        side = np.asarray(cell["side"])
+        sides = []
+        for k in (0,) if cell["same"][0].as_py() else (0, 1):
+            own = cell.filter(pa.array(side == k)).combine_chunks()
+            if not len(own):
+                return
+            before = [t[: np.searchsorted(t, token)] for t in _token_lists(own["tokens"].combine_chunks())]
+            sides.append({c: np.asarray(own[c]) for c in ("set", "n", "rest", "grp", "pivot", "low", "high")} | {
+                "tokens": _token_lists(own["tokens"].combine_chunks()), "before": before})
+        p, q = sides[0], sides[-1]
+        partners: dict[int, list[int]] = {}
+        facts_of: dict[int, tuple[int, int]] = {}
+        for at in range(len(p["set"])):
+            n = p["n"][at]
+            least = needed(n, q["n"], percent)
+            ok = (np.minimum(p["rest"][at], q["rest"]) >= least) & (p["grp"][at] != q["grp"])
+            ok &= np.minimum(n, q["n"]) >= least
+            shared = p["pivot"][at] == q["pivot"]
+            ok &= ~shared | (q["high"] + n - p["low"][at] >= least)
+            ok &= ~shared | (p["high"][at] + q["n"] - q["low"] >= least)
+            if p is q:
+                ok[: at + 1] = False
+            own = int(p["set"][at])
+            for j in np.flatnonzero(ok).tolist():
+                if np.isin(p["before"][at], q["before"][j], assume_unique=True).any():
+                    continue
+                if _overlap(p["tokens"][at], q["tokens"][j], n, q["n"][j])[1] >= least[j]:
+                    second = int(q["set"][j])
+                    partners.setdefault(own, []).append(second)
+                    partners.setdefault(second, [])
+                    facts_of[own] = int(n), int(p["grp"][at])
+                    facts_of[second] = int(q["n"][j]), int(q["grp"][j])
+        if partners:
+            sets = list(partners)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([cell["cell"][0].as_py()] * len(sets), pa.int64()), pa.array(sets, pa.int64()),
+                pa.array([facts_of[s][0] for s in sets], pa.int64()),
+                pa.array([facts_of[s][1] for s in sets], pa.int64()),
+                pa.array([partners[s] for s in sets], pa.list_(pa.int64())),
+            ], ["cell", "set", "n", "grp", "partners"])
+
+    return _in_cells(rows, candidates, _CANDIDATE)
+
+
+def _cross_links(candidates: DataFrame, sets: _Sets, percent: int) -> DataFrame:
+    """a, b: links among the candidates, as many as it takes to join the groups of each cell.
+
+    Whole sets go to the cells of their candidates; two groups that a cell has joined are not
+    compared there any more.
+    """
+    whole = _one_per_set(sets.full(candidates.select("set").distinct())).select("set", "tokens")
 
-    def pairs(batch: pa.RecordBatch) -> Iterator[dict]:
-        for token, x, y in zip(np.asarray(batch.column(0)).view(np.uint64), batch.column(1), batch.column(2)):
-            p, q = ({n: np.asarray(v.values.field(n)) for n in
-                     ("set", "n", "rest", "grp", "pivot", "low", "high")} for v in (x, y))
-            first, second = (_token_lists(v.values.field("tokens")) for v in (x, y))
-            found: list[tuple[int, int]] = []
-            for at in range(len(p["set"])):
-                n = p["n"][at]
-                least = needed(n, q["n"], percent)
-                ok = (np.minimum(p["rest"][at], q["rest"]) >= least) & (p["grp"][at] != q["grp"])
-                ok &= np.minimum(n, q["n"]) >= least
-                shared = p["pivot"][at] == q["pivot"]
-                ok &= ~shared | (q["high"] + n - p["low"][at] >= least)
-                ok &= ~shared | (p["high"][at] + q["n"] - q["low"] >= least)
-                for j in np.flatnonzero(ok).tolist():
-                    one, two = first[at], second[j]
-                    before = one[: np.searchsorted(one, token)], two[: np.searchsorted(two, token)]
-                    if np.isin(*before, assume_unique=True).any():
-                        continue
-                    if _overlap(one, two, n, q["n"][j])[1] >= least[j]:
-                        found.append(tuple(sorted((p["set"][at], q["set"][j]))))
-            if found:
-                yield dict(zip("ab", np.array(found, np.int64).T))
-
-    return arrow_map(both, pairs, "a long, b long").distinct()
+    def links(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        names = cell["set"].to_pylist()
+        place = {s: i for i, s in enumerate(names)}
+        tokens = _token_lists(cell["tokens"].combine_chunks())
+        size, group = np.asarray(cell["n"]), cell["grp"].to_pylist()
+        root = {g: g for g in group}
+
+        def found(g: int) -> int:
+            while root[g] != g:
+                root[g] = g = root[root[g]]
+            return g
+
+        linked = []
+        for i, others in enumerate(cell["partners"].to_pylist()):
+            for j in map(place.__getitem__, others):
+                x, y = found(group[i]), found(group[j])
+                if x == y:
+                    continue
+                low, _ = _overlap(tokens[i], tokens[j], size[i], size[j])
+                if low >= needed(size[i], size[j], percent):
+                    root[x] = y
+                    linked.append(sorted((names[i], names[j])))
+        if linked:
+            yield _batch("a long, b long", *np.array(linked, np.int64).T)
+
+    return _in_cells(candidates.join(whole, "set"), links, "a long, b long")
 
 
 def _merged(groups: DataFrame, late: DataFrame) -> DataFrame:
@@ -433,7 +511,11 @@ def _merged(groups: DataFrame, late: DataFrame) -> DataFrame:
 
 
 def _groups(sets: _Sets, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """set, grp of all linked sets; a, b, low of the links compared; sets of the long lists."""
+    """set, grp of all linked sets; a, b, low of the links compared; sets of the long lists.
+
+    Links found across groups, by `_cross_links`, only tell the groups: both their sets are of
+    long lists, whose links `_linked` finds in cells.
+    """
     found = stored(
         sets.postings().repartition("token", "part").mapInArrow(_search_lists(percent), _LIST_ROW)
     )
@@ -445,14 +527,11 @@ def _groups(sets: _Sets, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]
     known = sets.compared(candidates)
     linked = known.filter("linked").select("a", "b")
     groups = stored(components(linked).select(F.col("node").alias("set"), F.col("component").alias("grp")))
-    rest = stored(
-        _cross_pairs(members, known, groups, _one_per_set(sets.prefixes), percent)
-        .join(known.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    late = stored(sets.verified(rest).filter("linked").select("a", "b", "low"))
+    cells = stored(_cross_candidates(members, known, groups, _one_per_set(sets.prefixes), percent))
+    late = stored(_cross_links(cells, sets, percent).distinct())
     if late.take(1):
         groups = _merged(groups, late)
-    compared = known.filter("linked").select("a", "b", "low").unionByName(late)
+    compared = known.filter("linked").select("a", "b", "low")
     return groups, compared, members.select("set").distinct()
 
 
@@ -517,7 +596,7 @@ def _overlaps(first: list[np.ndarray], second: list[np.ndarray] | None) -> np.nd
 
 
 def _cell_links(percent: int, rows: bool):
-    """Links of the cells of a partition: a row for each, or their number for each set."""
+    """Links of a cell: a row for each, or their number for each set."""
 
     def links(cell: pa.Table) -> Iterator[pa.RecordBatch]:
         same = bool(cell["same"][0].as_py())
@@ -549,21 +628,7 @@ def _cell_links(percent: int, rows: bool):
         if not same:
             yield _batch(_COUNT, q["set"], linked.T @ p["copies"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            key = np.asarray(batch.column("cell"))
-            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
-            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
-                if held and held[0].column("cell")[0].as_py() != int(key[low]):
-                    yield from links(pa.Table.from_batches(held))
-                    held = []
-                if high > low:
-                    held.append(batch.slice(low, high - low))
-        if held:
-            yield from links(pa.Table.from_batches(held))
-
-    return run
+    return links
 
 
 _LINK = "a long, b long, n_a long, n_b long, copies_a long, copies_b long, overlap long"
@@ -583,8 +648,7 @@ def _linked(sets: _Sets, found: tuple[DataFrame, DataFrame, DataFrame], percent:
     # A group with one member of long lists has no pairs of them.
     several = members.groupBy("grp").count().filter("count > 1").select("grp")
     members = stored(members.join(several, "grp", "left_semi"))
-    cells = _cells(sets, members, percent).repartition("cell").sortWithinPartitions("cell")
-    late = cells.mapInArrow(_cell_links(percent, rows), _LINK if rows else _COUNT)
+    late = _in_cells(_cells(sets, members, percent), _cell_links(percent, rows), _LINK if rows else _COUNT)
     # Two ends among the members were counted in a cell.
     ends = [members.select(F.col("set").alias(x), F.lit(True).alias(f"in_{x}")) for x in ("a", "b")]
     early = compared.join(ends[0], "a", "left").join(ends[1], "b", "left")

@@ -9,7 +9,7 @@ import pytest
 from brute import ODD
 
 from subtally.llm.co_training import classify
-from subtally.llm.jaccard_join import jaccard_join, near_duplicates
+from subtally.llm.jaccard_join import _Sets, jaccard_join, near_duplicates
 from subtally.llm.license_scan import scan_licenses
 from subtally.llm.quality_rules import score_quality
 from subtally.llm.substring_dedup import difference_cover, remove_passages
@@ -207,3 +207,22 @@ def test_quality_score_is_the_mean_log_ratio(spark):
         buckets = grams[row.doc_id]
         assert row.score == (pytest.approx(np.mean(ratio[buckets])) if buckets else None)
         assert row.kept == (not row.base_failed and row.score >= 0)
+
+
+def test_near_copies_in_different_groups_are_not_compared_as_rows_of_pairs(docs, monkeypatch):
+    """A family whose members are nearly, but seldom, linked: rows follow its sets, not its pairs."""
+    rnd = random.Random(7)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(90):
+        words = list(base)
+        for k, at in enumerate(rnd.sample(range(5, 95), 2)):
+            words[at] = f"c{i}_{k}"
+        rows.append((i, " ".join(words)))
+    compared = []
+    verified = _Sets.verified
+    monkeypatch.setattr(_Sets, "verified", lambda self, pairs: compared.append(pairs.count()) or verified(self, pairs))
+    got = collected(near_duplicates(docs(rows)), "doc_id", "n_shingles", "component_id")
+    want = [(d, *r) for (d, _), r in zip(rows, brute.groups(rows))]
+    assert got == sorted(want, key=repr)
+    assert sum(compared) <= 10 * len(rows)
