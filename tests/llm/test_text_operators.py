@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from brute import ODD
 
+from subtally.llm import suffix_dedup
 from subtally.llm.co_training import classify
 from subtally.llm.jaccard_join import _Sets, jaccard_join, near_duplicates
 from subtally.llm.license_scan import scan_licenses
@@ -226,3 +227,26 @@ def test_near_copies_in_different_groups_are_not_compared_as_rows_of_pairs(docs,
     want = [(d, *r) for (d, _), r in zip(rows, brute.groups(rows))]
     assert got == sorted(want, key=repr)
     assert sum(compared) <= 10 * len(rows)
+
+
+def test_strings_with_a_short_common_piece_stay_out_of_the_blocks(docs, monkeypatch):
+    """An anchor that occurs again is not enough: half of what is beside it must do so, too."""
+    rnd = random.Random(11)
+    own = lambda: "".join(rnd.choice("abcdefgh") for _ in range(350))
+    shared = own()[:200]
+    rows = [(i, own() + shared + own()) for i in range(30)]
+    met = []
+    blocks = suffix_dedup._in_blocks
+    monkeypatch.setattr(suffix_dedup, "_in_blocks", lambda c, *a: met.append(c.count()) or blocks(c, *a))
+    assert {r.n_removed for r in remove_repeats(docs(rows)).collect()} == {0}
+    assert met == [0]
+
+
+def test_a_copied_context_is_found_once(spark):
+    """Its copies are removed whole; only what is no copy needs its strings."""
+    rnd = random.Random(12)
+    text = bytes(rnd.randrange(97, 123) for _ in range(420))
+    rows = [(1, 10, 3, text), (1, 20, 1, text[5:] + b"#")]
+    contexts = spark.createDataFrame(rows, "hash long, content long, copies long, bytes binary")
+    found = suffix_dedup._by_counting(contexts, 400).collect()
+    assert sorted((r.content, r.first) for r in found) == [(20, i) for i in range(16)]
