@@ -58,7 +58,7 @@ SHORT_LIST = 16
 #: Members of a long list that all others are compared with first.
 PIVOTS = 6
 #: Members of a block, and of a salted part of a very long list.
-BLOCK_SETS = 256
+BLOCK_SETS = 1024
 PART_SETS = 4096
 #: Expected tokens of a block of a group, and columns of a matrix in which overlaps are counted.
 LINK_TOKENS = 1 << 18
@@ -365,9 +365,39 @@ def _in_cells(rows: DataFrame, handle: Callable[[pa.Table], Iterator[pa.RecordBa
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_by_cell(handle), schema)
 
 
+_NEAR = ("cell", "side", "same", "token", "set", "n", "rest", "grp", "pivot", "low", "high")
 _CANDIDATE = "cell long, set long, n long, grp long, partners array<long>"
 
 
+def _cell_sides(cell: pa.Table) -> list[dict]:
+    """Columns of the two blocks of a cell, or of the one that it holds against itself."""
+    same, side = bool(cell["same"][0].as_py()), np.asarray(cell["side"])
+    sides = []
+    for k in (0,) if same else (0, 1):
+        own = cell.filter(pa.array(side == k)).combine_chunks()
+        if not len(own):
+            return []
+        columns = {c: np.asarray(own[c]) for c in own.column_names if c != "tokens"}
+        if "tokens" in own.column_names:
+            columns["tokens"] = _token_lists(own["tokens"].combine_chunks())
+        sides.append(columns)
+    return sides
+
+
+def _admitted(p: dict, q: dict, at: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets of `q` the bounds admit with set `at` of `p`, and the overlap they need."""
+    n = p["n"][at]
+    least = needed(n, q["n"], percent)
+    ok = (np.minimum(p["rest"][at], q["rest"]) >= least) & (p["grp"][at] != q["grp"])
+    ok &= np.minimum(n, q["n"]) >= least
+    shared = p["pivot"][at] == q["pivot"]
+    ok &= ~shared | (q["high"] + n - p["low"][at] >= least)
+    ok &= ~shared | (p["high"][at] + q["n"] - q["low"] >= least)
+    if p is q:
+        ok[: at + 1] = False
+    return ok, least
+
+
 def _cross_candidates(members: DataFrame, known: DataFrame, groups: DataFrame, prefixes: DataFrame,
                       percent: int) -> DataFrame:
     """Sets of long lists that may be linked with a set of another group, with these partners.
@@ -408,37 +438,42 @@ def _cross_candidates(members: DataFrame, known: DataFrame, groups: DataFrame, p
     ).select("token", "cell", "same", "at.block", "at.side")
     pivot = F.col("set") == F.col("pivot")
     placed = left.join(sides, ["token", "block"]).select(
-        "cell", "side", "same", "token", "set", "n", "rest", "grp", "pivot",
+        *_NEAR[:-2],
         F.when(pivot, F.col("n")).otherwise(F.coalesce("low", F.lit(0))).alias("low"),
         F.when(pivot, F.col("n")).otherwise(F.coalesce("high", "n")).alias("high"),
     )
-    rows = placed.join(prefixes.select("set", "tokens"), "set")
+
+    def near(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        """The rows of sets that the bounds admit with any other: few, and yet without tokens."""
+        sides = _cell_sides(cell)
+        if not sides:
+            return
+        p, q = sides[0], sides[-1]
+        used = [np.zeros(len(side["set"]), bool) for side in sides]
+        for at in range(len(p["set"])):
+            ok, _ = _admitted(p, q, at, percent)
+            used[0][at] |= ok.any()
+            used[-1] |= ok
+        for side, keep in zip(sides, used):
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(side[c][keep]) for c in _NEAR], list(_NEAR))
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema)
+    rows = _in_cells(placed, near, kinds).join(prefixes.select("set", "tokens"), "set").select(*_NEAR, "tokens")
 
     def candidates(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        sides = _cell_sides(cell)
+        if not sides:
+            return
         token = np.asarray(cell["token"]).view(np.uint64)[0]
-        side = np.asarray(cell["side"])
-        sides = []
-        for k in (0,) if cell["same"][0].as_py() else (0, 1):
-            own = cell.filter(pa.array(side == k)).combine_chunks()
-            if not len(own):
-                return
-            before = [t[: np.searchsorted(t, token)] for t in _token_lists(own["tokens"].combine_chunks())]
-            sides.append({c: np.asarray(own[c]) for c in ("set", "n", "rest", "grp", "pivot", "low", "high")} | {
-                "tokens": _token_lists(own["tokens"].combine_chunks()), "before": before})
+        for side in sides:
+            side["before"] = [t[: np.searchsorted(t, token)] for t in side["tokens"]]
         p, q = sides[0], sides[-1]
         partners: dict[int, list[int]] = {}
         facts_of: dict[int, tuple[int, int]] = {}
         for at in range(len(p["set"])):
-            n = p["n"][at]
-            least = needed(n, q["n"], percent)
-            ok = (np.minimum(p["rest"][at], q["rest"]) >= least) & (p["grp"][at] != q["grp"])
-            ok &= np.minimum(n, q["n"]) >= least
-            shared = p["pivot"][at] == q["pivot"]
-            ok &= ~shared | (q["high"] + n - p["low"][at] >= least)
-            ok &= ~shared | (p["high"][at] + q["n"] - q["low"] >= least)
-            if p is q:
-                ok[: at + 1] = False
-            own = int(p["set"][at])
+            ok, least = _admitted(p, q, at, percent)
+            n, own = p["n"][at], int(p["set"][at])
             for j in np.flatnonzero(ok).tolist():
                 if np.isin(p["before"][at], q["before"][j], assume_unique=True).any():
                     continue
@@ -599,16 +634,11 @@ def _cell_links(percent: int, rows: bool):
     """Links of a cell: a row for each, or their number for each set."""
 
     def links(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-        same = bool(cell["same"][0].as_py())
-        side = np.asarray(cell["side"])
-        sides = []
-        for k in (0,) if same else (0, 1):
-            own = cell.filter(pa.array(side == k)).combine_chunks()
-            if not len(own):
-                return
-            sides.append({c: np.asarray(own[c]) for c in ("set", "n", "copies")} | {
-                "tokens": _token_lists(own["tokens"].combine_chunks())})
+        sides = _cell_sides(cell)
+        if not sides:
+            return
         p, q = sides[0], sides[-1]
+        same = p is q
         both = _overlaps(p["tokens"], None if same else q["tokens"])
         linked = both >= needed(p["n"][:, None], q["n"][None, :], percent)
         if rows:
