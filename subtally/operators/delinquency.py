@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from subtally.functions.dates import epoch_timestamp
 from subtally.functions.money import net_units
+from subtally.operators.grouping import may_be_in
 from subtally.operators.lines import (
     invoice_lines,
     with_first_discount,
@@ -45,11 +46,12 @@ def failed_payments(
     subscriptions = failed_subscriptions(t) if subscriptions is None else subscriptions
     failed = subscriptions.withColumnRenamed("latest_invoice", "invoice_id")
     invoices = t.invoices.select(F.col("id").alias("invoice_id"))
-    wanted = failed.select("invoice_id")
-    lines = invoice_lines(t, kind=None, product="price", discount=net, only=wanted)
-    if net and t.is_json:
-        lines = with_first_discount(t, lines)
+    lines = may_be_in(
+        invoice_lines(t, kind=None, product="price", discount=net), "invoice_id", failed.select("invoice_id")
+    )
     rows = with_lines(t, failed.join(invoices, "invoice_id"), lines)
+    if net and t.is_json:
+        rows = with_first_discount(t, rows)
     priced = with_product_prices(t, rows)
     columns = ["id", "customer", "status", "type", "reason", "invoice_id", "product_name", "price_cents"]
     total = [net_units(F.col("amount"), F.col("discount")).alias("total")] if net else []
@@ -75,7 +77,7 @@ def invoice_months(t: BillingTables, customers: DataFrame) -> DataFrame:
     )
     known = t.subscriptions.select(F.col("id").alias("subscription"))
     invoices = invoices.join(known, "subscription", "left_semi")
-    lines = invoice_lines(t, kind=None, only=invoices.select("invoice_id"))
+    lines = invoice_lines(t, kind=None)
     return (
         with_lines(t, invoices, lines)
         .select("customer", F.year("line_start").alias("year"), F.month("line_start").alias("month"))

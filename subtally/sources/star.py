@@ -31,6 +31,62 @@ def _cents(amount: Column) -> Column:
     return F.round(amount * 100).cast("long")
 
 
+#: What the other columns of a line are made of.
+ITEM_COLUMNS = ("l_partkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag")
+
+
+def _is_yearly() -> Column:
+    return F.col("l_partkey") % 8 == 0
+
+
+def _seconds() -> Column:
+    """Length of a line's period."""
+    return F.when(_is_yearly(), 365 * DAY).otherwise(30 * DAY)
+
+
+def _whole(frame: DataFrame, known: str, *keys: str) -> DataFrame:
+    """The same rows, of which every reader takes all columns from below, so that readers share shuffles.
+
+    The optimizer cuts columns and rows of one reader from every step below, which makes its
+    shuffles differ from those of the next reader; it does not look into what a generator makes
+    as long as two fields of it are read. `known`, which is never NULL, is always one of them.
+    Keys stay beside it, so that rows dealt by them are known to be; a filter on them is not taken
+    below a number that depends on the task.
+    """
+    frame = frame.withColumn("task", F.spark_partition_id())
+    rest = [F.col(name) for name in frame.columns if name not in keys]
+    rows = frame.select(*keys, F.explode(F.array(F.struct(*rest))).alias("row"))
+    return rows.filter(F.col(f"row.{known}").isNotNull()).select(*keys, "row.*")
+
+
+def _order_part() -> Column:
+    return F.concat(F.lit("il_"), F.substring("invoice_id", len("in_") + 1, 20))
+
+
+def _line_columns(items: DataFrame) -> DataFrame:
+    number = F.col("l_linenumber")
+    off = F.floor(F.col("l_extendedprice") * F.col("l_discount") * 100)
+    none = F.array().cast("array<bigint>")
+    first = F.when(F.col("l_discount") != 0, F.array(off)).otherwise(none)
+    second = F.when(number == 7, F.array(F.lit(100).cast("long"))).otherwise(none)
+    return items.select(
+        "id",
+        F.when(number % 3 == 0, F.concat(_order_part(), _tag("_", number))).alias("shared_id"),
+        "invoice_id",
+        F.when(F.col("l_returnflag") == "R", "invoiceitem").otherwise("subscription").alias("type"),
+        _cents(F.col("l_extendedprice")).alias("amount"),
+        F.concat(first, second).alias("discounts"),
+        (F.col("to_epoch") - _seconds()).alias("start"),
+        F.col("to_epoch").alias("end"),
+        F.when(_is_yearly(), "year").otherwise("month").alias("interval"),
+        _tag("prod_", F.col("l_partkey") % PRODUCTS).alias("product"),
+        F.when(F.col("l_partkey") % 25 == 16, UNKNOWN_PRODUCT)
+        .when(F.col("l_partkey") % 25 == 12, UNPRICED_PRODUCT)
+        .alias("other_product"),
+        (number == 5).alias("quoted"),
+    )
+
+
 class _Star:
     """The star tables and the wide rows the billing tables are cut from."""
 
@@ -67,51 +123,38 @@ class _Star:
             (key % 4).cast("int").alias("attempt_count"),
         )
 
-    def lines(self) -> DataFrame:
-        """Every line item with all that its child tables hold.
+    def _items(self) -> DataFrame:
+        """Line items with the time of their order, and the columns that need both sides or a key.
 
         Line numbers repeat within an order, so the id also names part, supplier and price.
         """
-        items = self._read("lineitem")
         orders = self._read("orders").select(
             F.col("o_orderkey").alias("l_orderkey"),
             F.unix_timestamp("o_orderdate").alias("ordered"),
         )
-        yearly = F.col("l_partkey") % 8 == 0
-        number = F.col("l_linenumber")
-        start = F.col("ordered") + (number % 3) * (20 * DAY)
-        off = F.floor(F.col("l_extendedprice") * F.col("l_discount") * 100)
-        first = F.when(F.col("l_discount") != 0, F.array(off)).otherwise(
-            F.array().cast("array<bigint>")
-        )
-        second = F.when(number == 7, F.array(F.lit(100).cast("long"))).otherwise(
-            F.array().cast("array<bigint>")
-        )
-        return items.join(orders, "l_orderkey").select(
+        start = F.col("ordered") + (F.col("l_linenumber") % 3) * (20 * DAY)
+        return self._read("lineitem").join(orders, "l_orderkey").select(
             F.concat(
-                _tag("il_", F.col("l_orderkey")), _tag("_", number),
+                _tag("il_", F.col("l_orderkey")), _tag("_", F.col("l_linenumber")),
                 _tag("_", F.col("l_partkey")), _tag("_", F.col("l_suppkey")),
                 _tag("_", _cents(F.col("l_extendedprice"))),
             ).alias("id"),
-            F.when(number % 3 == 0, F.concat(_tag("il_", F.col("l_orderkey")), _tag("_", number))).alias(
-                "shared_id"
-            ),
             _tag("in_", F.col("l_orderkey")).alias("invoice_id"),
-            F.when(F.col("l_returnflag") == "R", "invoiceitem")
-            .otherwise("subscription")
-            .alias("type"),
-            _cents(F.col("l_extendedprice")).alias("amount"),
-            F.concat(first, second).alias("discounts"),
-            start.alias("start"),
-            (start + F.when(yearly, 365 * DAY).otherwise(30 * DAY)).alias("end"),
-            F.when(yearly, "year").otherwise("month").alias("interval"),
-            _tag("prod_", F.col("l_partkey") % PRODUCTS).alias("product"),
-            F.when(F.col("l_partkey") % 25 == 16, UNKNOWN_PRODUCT)
-            .when(F.col("l_partkey") % 25 == 12, UNPRICED_PRODUCT)
-            .alias("other_product"),
-            (number == 5).alias("quoted"),
+            (start + _seconds()).alias("to_epoch"),
+            *ITEM_COLUMNS,
         )
 
+    def lines(self) -> DataFrame:
+        """Every line item with all that its child tables hold.
+
+        The tables cut from it join the orders and, dealt by their id, move only once for all of them.
+        """
+        return _line_columns(_whole(self._items().hint("rebalance", "id"), "invoice_id", "id"))
+
+    def plain_lines(self) -> DataFrame:
+        """The same rows as they come from their orders, for a table that is joined on the invoice."""
+        return _line_columns(_whole(self._items(), "invoice_id"))
+
     def subscriptions(self) -> DataFrame:
         last = (
             self._read("orders")
@@ -322,7 +365,7 @@ class _Store:
 
     def _derive(self, name: str) -> DataFrame:
         if name == "lines_json":
-            return _with_json_columns(self.wide("lines"))
+            return _with_json_columns(self.wide("plain_lines"))
         if name == "subscriptions_json":
             return _with_json_reason(self.wide("subscriptions"))
         return getattr(self.star, name)()
